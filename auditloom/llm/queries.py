@@ -9,13 +9,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditloom.llm import bpe, token_store
+from auditloom.llm import bpe, embedding_dedup, simhash, token_store
 from auditloom.llm.common import shared_dir, table
 from auditloom.llm.tokenization import default_path
 
 END_ID = 2
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     token_store.write_tokens(table(spark, sf_dir, "documents"), path, default_path(), END_ID)
@@ -26,9 +30,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), default_path())
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_token_store": op2_token_store,
     "op6_bpe": op6_bpe,
+    "op7_simhash": op7_simhash,
 }
 
 SQL: dict[str, str] = {}
