@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditloom.llm import bpe, embedding_dedup, simhash, token_store
+from auditloom.llm import bpe, embedding_dedup, lm, simhash, substring_dedup, token_store
 from auditloom.llm.common import shared_dir, table
 from auditloom.llm.tokenization import default_path
 
@@ -26,6 +26,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_digests(spark, path)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), default_path())
 
@@ -34,11 +38,17 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_token_store": op2_token_store,
+    "op5_lm_score": op5_lm_score,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL: dict[str, str] = {}
