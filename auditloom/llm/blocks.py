@@ -26,6 +26,7 @@ BLOCK_BYTES = 6_000_000
 PART_KEYS = 1_500_000
 #: Ranges that come from quantiles; finer blocks divide these evenly.
 RANGES = 1000
+FACTOR = 0x9E3779B97F4A7C15
 
 
 def extent(docs: DataFrame) -> tuple[int, int]:
@@ -62,6 +63,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
+def runs(h: np.ndarray, n: int) -> np.ndarray:
+    """Polynomial hashes of all runs of n consecutive values, by doubling."""
+    out, have, power, k = None, 0, h, 1
+    total = len(h) - n + 1
+    if total <= 0:
+        return np.zeros(0, np.uint64)
+    while n:
+        if n & 1:
+            tail = power[have:] if out is not None else power
+            out = tail if out is None else out[: len(tail)] * np.uint64(pow(FACTOR, k, 2**64)) + tail[: len(out)]
+            have += k
+        n >>= 1
+        if n:
+            power = power[:-k] * np.uint64(pow(FACTOR, k, 2**64)) + power[k:]
+            k *= 2
+    return mixed(out[:total])
+
+
 class Words:
     """The words of some documents: one list, ids of distinct words, their hashes, and where documents begin."""
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditloom.llm import bpe, embedding_dedup, lm, simhash, substring_dedup, token_store
+from auditloom.llm import bpe, decontaminate, embedding_dedup, lm, simhash, substring_dedup, token_store
 from auditloom.llm.common import shared_dir, table
 from auditloom.llm.tokenization import default_path
 
@@ -38,6 +38,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_score": op5_lm_score,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
+    "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

@@ -29,12 +29,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.blocks import Words, cut_parts, extent, mixed, packed, range_block, unpacked
+from auditloom.llm.blocks import Words, cut_parts, extent, packed, range_block, runs, unpacked
 from auditloom.llm.common import materialize, words_of
 
 WINDOW = 20
 PHRASE = 8
-FACTOR = 0x9E3779B97F4A7C15
 
 #: A window's answer: it occurs once; it recurs and is first in this block; it recurs and an earlier block has it.
 ONCE, FIRST_HERE, EARLIER = 0, 1, 2
@@ -44,24 +43,6 @@ ANSWER = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("flags", pa.bi
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
 
-def runs(h: np.ndarray, n: int) -> np.ndarray:
-    """Polynomial hashes of all runs of n consecutive values, by doubling."""
-    out, have, power, k = None, 0, h, 1
-    total = len(h) - n + 1
-    if total <= 0:
-        return np.zeros(0, np.uint64)
-    while n:
-        if n & 1:
-            tail = power[have:] if out is not None else power
-            out = tail if out is None else out[: len(tail)] * np.uint64(pow(FACTOR, k, 2**64)) + tail[: len(out)]
-            have += k
-        n >>= 1
-        if n:
-            power = power[:-k] * np.uint64(pow(FACTOR, k, 2**64)) + power[k:]
-            k *= 2
-    return mixed(out[:total])
-
-
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     k = 1
     size = len(x) - n + 1

@@ -56,9 +56,9 @@ def test_substring_query(spark, sf_dir):
 def test_runs():
     h = np.random.default_rng(0).integers(0, 2**64, 100, dtype=np.uint64)
     for n in (1, 3, 8, 20):
-        got = substring_dedup.runs(h, n)
+        got = blocks.runs(h, n)
         assert len(got) == 101 - n
-        assert (got == substring_dedup.runs(np.concatenate([h[50:], h[:50]]), n)[np.arange(101 - n) - 50])[50:].all()
+        assert (got == blocks.runs(np.concatenate([h[50:], h[:50]]), n)[np.arange(101 - n) - 50])[50:].all()
     x = np.sort(h)
     assert (blocks.unpacked(blocks.packed(x)) == x).all()
     assert [k for p, s in blocks.cut_parts(x, 8) for k in x[s]] == x.tolist()
