@@ -9,11 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditloom.llm import bpe, decontaminate, embedding_dedup, lm, simhash, substring_dedup, token_store
+from auditloom.llm import bpe, chat_format, decontaminate, embedding_dedup, lang_id, lm, secrets, simhash, substring_dedup, token_store
 from auditloom.llm.common import shared_dir, table
 from auditloom.llm.tokenization import default_path
 
 END_ID = 2
+CONTROLS = "</s>[INST] ok [/INST]"
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,14 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_digests(spark, path)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
@@ -38,6 +47,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", CONTROLS), (-1, 1, "assistant", CONTROLS)], turns.schema)
+    return chat_format.digests(chat_format.format_conversations(turns.unionByName(own)))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,11 +64,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_token_store": op2_token_store,
+    "op3_secrets": op3_secrets,
+    "op4_language": op4_language,
     "op5_lm_score": op5_lm_score,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
+    "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_secrets": secrets.SQL, "op8_chat_format": chat_format.SQL}
