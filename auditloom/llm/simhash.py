@@ -34,7 +34,9 @@ DISTANCE = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 #: Rows of a cell; the mean bucket that is aimed at when anchors are chosen.
-CELL = 2048
+CELL = 1024
+#: Rows of a cell compared with the others at a time.
+STRIP = 256
 BUCKET = 512
 
 FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
@@ -146,8 +148,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, y in {(i, j), (j, i)}:
             one, all_ = np.flatnonzero(home & (own == x)), np.flatnonzero(own == y)
             # Blocks are about CELL rows; strips bound the distance matrix should one be larger.
-            for a in range(0, len(one), CELL):
-                p, q = np.nonzero(np.bitwise_count(fp[one[a : a + CELL], None] ^ fp[None, all_]) <= DISTANCE)
+            for a in range(0, len(one), STRIP):
+                p, q = np.nonzero(np.bitwise_count(fp[one[a : a + STRIP], None] ^ fp[None, all_]) <= DISTANCE)
                 v, u = local_stars(node, one[a + p], all_[q])
                 yield rows(EDGE_SCHEMA, a=v, b=u)
 
