@@ -1,4 +1,4 @@
-"""All registered queries and their SQL; each module of this package adds its own."""
+"""All registered queries and their SQL; importing the other modules of this package fills them."""
 
 from __future__ import annotations
 
@@ -6,5 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+
+
+def register(name: str, query: Query, sql: str | None = None) -> None:
+    QUERIES[name] = query
+    if sql is not None:
+        SQL[name] = sql
+
+
+from auditloom.plans import findings, knowledge, labelled, texts, timeline  # noqa: E402, F401
