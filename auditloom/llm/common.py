@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditloom.functions.storage import materialize, shared_dir  # noqa: F401
+
 #: Texts are worked on in groups of about so many bytes.
 CHUNK_BYTES = 4_000_000
 #: Words are maximal runs of other characters than blank and U+0009 to U+000D.
@@ -22,24 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, a folder of our own."""
-    there = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if there.isDefined():
-        return there.get()
-    own = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="auditloom-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends there and lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_crc(doc_id: Column) -> Column:
     """crc32 of the id as text; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary"))

@@ -1,4 +1,4 @@
-"""Distributed connected components, local links of a block, and the splitting of hot buckets into cells."""
+"""Local links of a block, and the splitting of hot buckets into cells."""
 
 from __future__ import annotations
 
@@ -7,45 +7,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.common import materialize
+from auditloom.functions.storage import materialize
+from auditloom.operators.graph import connected_components  # noqa: F401
 
 #: Hot buckets up to this many are broadcast; more are joined by key.
 FEW = 10_000
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, component (the smallest node reachable) of every node of the undirected edges.
-
-    Alternating star contraction: the large star links each greater neighbour of a node to the node's smallest neighbour, the
-    small star each smaller neighbour and the node itself; a logarithmic number of rounds leaves stars around the smallest
-    nodes. The minima are summed map-side and written before they are joined, so that both sides of the join come straight
-    from tables and Spark can split a hub's edges. Each round is a table in the shared folder. Nothing is collected but the
-    count and a hash sum of the edges, which stop changing at the end. Null ends and loops are left out."""
-    now = materialize(edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).filter("u < v").distinct(), "edges")
-    state = _state(now)
-    if state[0] == 0:
-        return now.select(F.col("v").alias("node"), F.col("u").alias("component"))
-    while True:
-        both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))  # v: the centre
-        least = materialize(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m")), "stars")
-        large = both.join(least, "v").filter("u > v and u > m").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
-        large = materialize(large, "edges")
-        least = materialize(large.groupBy("v").agg(F.min("u").alias("m")), "stars")
-        small = large.join(least, "v").filter("u > m").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(least.select("v", F.col("m").alias("u")))
-        now = materialize(small.distinct(), "edges")
-        after = _state(now)
-        if after == state:
-            break
-        state = after
-    stars = now.select(F.col("v").alias("node"), F.col("u").alias("component"))
-    return stars.unionByName(now.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
-
-
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("v", "u") % 1_000_003).alias("h")).first()
-    return row["n"], row["h"] or 0
-
-
 def local_stars(nodes: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links i - j (positions in nodes) as edges of each linked node to the smallest node of its local component."""
     label = nodes.copy()
