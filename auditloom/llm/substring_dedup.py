@@ -20,6 +20,7 @@ first is the earlier one. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from itertools import compress
 
 import ahocorasick
@@ -94,7 +95,13 @@ def _confirm(sent: pa.Table) -> pa.Table:
     return pa.table([sent["block"].combine_chunks(), sent["part"].combine_chunks(), pa.array([out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], schema=ANSWER)
 
 
-def automaton(b: Block, recurring: np.ndarray) -> ahocorasick.Automaton | None:
+def spelled(ids: np.ndarray, digits: int) -> str:
+    """Word numbers as digits of base 64, each a character: an automaton's nodes then have few branches."""
+    places = 64 ** np.arange(digits - 1, -1, -1)
+    return (ids[:, None] // places % 64 + 0x100).astype("<u4").tobytes().decode("utf-32-le")
+
+
+def automaton(b: Block, recurring: np.ndarray, digits: int) -> ahocorasick.Automaton | None:
     """Of the phrases of the recurring windows (positions of their first words)."""
     if not len(recurring):
         return None
@@ -104,9 +111,10 @@ def automaton(b: Block, recurring: np.ndarray) -> ahocorasick.Automaton | None:
     at = recurring[window]
     inside = np.stack([h[at + k] == wanted for k in range(WINDOW - PHRASE + 1)])
     at = at + inside.argmax(axis=0)
-    out = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for phrase in b.words.ids[at[:, None] + np.arange(PHRASE)].tolist():
-        out.add_word(tuple(phrase))
+    out = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    text, size = spelled(b.words.ids[at[:, None] + np.arange(PHRASE)].ravel(), digits), PHRASE * digits
+    for a in range(0, len(text), size):
+        out.add_word(text[a : a + size])
     out.make_automaton()
     return out
 
@@ -121,15 +129,15 @@ def _remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
     count = len(b.words.ids)
     flag = np.zeros(count + 1, np.uint8)
     flag[b.at] = flags[b.which]
-    found = automaton(b, b.at[flags[b.which] != ONCE])
+    digits = max(1, math.ceil(math.log(max(2, len(b.words.distinct)), 64)))
+    found = automaton(b, b.at[flags[b.which] != ONCE], digits)
     near = np.zeros(count + 1, np.int64)
     bounds = b.words.bounds.tolist()
     if found is not None:
-        hits: list[int] = []
-        for a, z in zip(bounds[:-1], bounds[1:]):
-            if z - a >= WINDOW:
-                hits += [a + end - PHRASE + 1 for end, _ in found.iter(tuple(b.words.ids[a:z].tolist()))]
-        at = np.array(hits, np.int64)
+        text = spelled(b.words.ids, digits)
+        ends = [np.array([end for end, _ in found.iter(text[a * digits : z * digits])], np.int64) + a * digits for a, z in zip(bounds[:-1], bounds[1:]) if z - a >= WINDOW]
+        at = np.concatenate(ends) + 1
+        at = at[at % digits == 0] // digits - PHRASE  # whole words only
         np.add.at(near, np.maximum(at - (WINDOW - PHRASE), 0), 1)
         np.add.at(near, at + 1, -1)
     located = np.cumsum(near)[:count] > 0  # windows that hold a phrase
