@@ -52,6 +52,20 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
     "hosts": ("lineitem", {
         "address": "l_suppkey", "ip": "l_orderkey", "service": cases("l_linenumber", ["apache", "nginx", "ssh", "redis"]), "country": cases("l_partkey", ["us", "de", "fr", "jp", "br"]), "vuln": cases("l_partkey", ["CVE-2021-1", "CVE-2022-2", "CVE-2023-3"]),
     }),
+    "code": ("part", {
+        "file_id": "p_partkey", "lang": cases("p_partkey", ["rust", "python", "solidity", "wasm", "go"]),
+        "content": "CASE p_partkey % 5 WHEN 0 THEN concat('extern \"C\" fn f', cast(p_partkey as string), '() {', chr(10), 'unsafe { raw_pointer }', chr(10), '#[no_mangle]', chr(10), 'static mut X; memcpy(d, s, n + 1); fn main() {}') WHEN 1 THEN concat('import ctypes', chr(10), 'lib = ctypes.CDLL(None)', chr(10), 'password = \"x\"; MD5', chr(10), 'app.run()', chr(10), CASE p_size % 2 WHEN 0 THEN 'CString::new' ELSE 'Box::leak' END) WHEN 2 THEN concat('contract C', cast(p_size as string), ' is Base {', chr(10), 'function pay(address a) public {', chr(10), 'a.call(x);', CASE p_size % 3 WHEN 0 THEN ' require(ok);' ELSE ' ' END, ' balance[m] = 0; totalSupply;', chr(10), 'a.delegatecall (data); extcodesize(a) > 0; allowance[b]; }}') WHEN 3 THEN concat('(module (import \"env\" \"f\") (i32.load (0) + 4 )', chr(10), 'memory.grow call_indirect global.get export x)', cast(p_size as string)) ELSE concat('x := C.puts', chr(10), 'p := unsafe.Pointer(q)', chr(10), 'callback lifetime ', cast(p_size as string)) END",
+    }),
+    "notes": ("supplier", {
+        "note_id": "s_suppkey", "content": "CASE s_suppkey % 4 WHEN 0 THEN concat('The caller must hold the lock', chr(10), 'short', chr(10), 'it always returns is positive; at most ', cast(s_suppkey as string)) WHEN 1 THEN 'Ensures that the result is sorted and never changes' WHEN 2 THEN concat('   maximum size of buffer  ', chr(10), 'range between zero and ten; property of x') ELSE 'nothing to see in here' END",
+    }),
+    "outputs": ("events", {"run_id": "event_id", "output": "CASE event_id % 5 WHEN 0 THEN concat('ERROR: Heap-Use-After-Free at ', event_type) WHEN 1 THEN 'WARNING: data race; Thread-Leak' WHEN 2 THEN 'runtime error: division-by-zero, shift-exponent' ELSE 'ok' END"}),
+    "uploads": ("orders", {"upload_id": "o_orderkey", "name": "CASE o_orderkey % 7 WHEN 0 THEN 'a.txt' WHEN 1 THEN '../a' WHEN 2 THEN '/etc/x' WHEN 3 THEN 'a.b.exe' WHEN 4 THEN 'a.tar.gz' WHEN 5 THEN '.hidden' ELSE 'lib.min.js' END"}),
+    "certs": ("customer", {
+        "chain_id": "cast(floor(c_custkey / 3) as bigint)", "position": "c_custkey % 3", "subject": "concat('s', cast(c_custkey % 4 as string))", "issuer": "concat('s', cast(c_custkey % 5 as string))",
+        "algorithm": cases("c_custkey", ["sha256", "sha1WithRSA", "ecdsa", "MD5", "sha512"]), "key_size": "cast(c_custkey % 5 * 1024 as int)", "not_after": "concat('20', cast(20 + c_custkey % 10 as string), '-06-01 00:00:00')",
+    }),
+    "agents": ("nation", {"agent_id": "n_nationkey", "bug_class": cases("n_regionkey", ["memory_corruption", "race_condition", "reentrancy"]), "stage": cases("n_nationkey", ["view", "click"]), "load": "n_nationkey * 7 % 10"}),
     "answers": ("conversations", {
         "conv_id": "conv_id", "turn": "turn", "role": "role",
         "response": "CASE turn % 4 WHEN 0 THEN concat('VOTE: for', chr(10), 'CONFIDENCE: 0.', cast(turn % 10 as string), chr(10), 'REASONING: because ', role) WHEN 1 THEN concat(' VOTE: AGAINST', chr(10), 'CONFIDENCE: 7', chr(10), 'VOTE: maybe') WHEN 2 THEN concat('CONFIDENCE: high', chr(10), text) ELSE text END",
