@@ -66,6 +66,16 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
         "algorithm": cases("c_custkey", ["sha256", "sha1WithRSA", "ecdsa", "MD5", "sha512"]), "key_size": "cast(c_custkey % 5 * 1024 as int)", "not_after": "concat('20', cast(20 + c_custkey % 10 as string), '-06-01 00:00:00')",
     }),
     "agents": ("nation", {"agent_id": "n_nationkey", "bug_class": cases("n_regionkey", ["memory_corruption", "race_condition", "reentrancy"]), "stage": cases("n_nationkey", ["view", "click"]), "load": "n_nationkey * 7 % 10"}),
+    "controls": ("part", {
+        "control": "concat('CCI-', cast(100000 + p_partkey % 300 as string))", "technique_id": cases("p_partkey", ["D3-SCH", "D3-AH", "D3-MA", "D3-CH", "D3-MFA", "D3-PA", "D3-NTA"]),
+        "name": cases("p_size", ["Application Hardening", "Credential Rotation", "Network Traffic Analysis"]), "definition": "concat('The system must enforce ', CASE p_size % 3 WHEN 0 THEN 'hardening of application' WHEN 1 THEN 'rotation of credential' ELSE 'analysis' END)",
+    }),
+    "targets": ("orders", {
+        "target_id": "o_orderkey", "property": cases("o_orderkey", ["memory_safety", "thread_safety", "arithmetic"]), "method": cases("o_custkey", ["symbolic", "static"]), "status": cases("o_orderkey * 7 + o_custkey", ["verified", "violated", "unknown", "timeout"]),
+        "requirement": "CASE o_orderkey % 3 WHEN 0 THEN 'network traffic must be inspected' WHEN 1 THEN 'rotation of every credential' ELSE 'none' END",
+    }),
+    "models": ("supplier", {"model_id": "s_suppkey", "tier": cases("s_suppkey", ["frontier", "balanced", "distilled"]), "price": "cast(s_suppkey * 13 % 17 + 1 as double) / 4", "has_code": "s_suppkey % 2 = 0"}),
+    "paths": ("customer", {"path_id": "c_custkey", "path": "CASE c_custkey % 5 WHEN 0 THEN concat('C:', chr(92), 'Windows', chr(92), 'x') WHEN 1 THEN '/usr/lib/a' WHEN 2 THEN '/Library/b' WHEN 3 THEN '/etc/ssh' ELSE 'rel/path' END"}),
     "answers": ("conversations", {
         "conv_id": "conv_id", "turn": "turn", "role": "role",
         "response": "CASE turn % 4 WHEN 0 THEN concat('VOTE: for', chr(10), 'CONFIDENCE: 0.', cast(turn % 10 as string), chr(10), 'REASONING: because ', role) WHEN 1 THEN concat(' VOTE: AGAINST', chr(10), 'CONFIDENCE: 7', chr(10), 'VOTE: maybe') WHEN 2 THEN concat('CONFIDENCE: high', chr(10), text) ELSE text END",
