@@ -188,7 +188,7 @@ def portions(benchmark: DataFrame) -> Iterator[list[Item]]:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     n = max(1, math.ceil((items.agg(F.sum(F.length("text"))).first()[0] or 0) / PORTION))
     for p in range(n):
-        yield [(r["item_id"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == p).orderBy("item_id", "text").collect()]
+        yield [(r["item_id"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == p).orderBy("item_id", "text").collect()]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

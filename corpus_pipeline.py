@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auditloom.llm import bpe, decontaminate, lang_id, secrets, simhash
@@ -26,11 +26,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose SimHash fingerprints link up the one of the smallest doc_id stays."""
-    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    # Rows of one doc_id are one document here: the first by text.
-    joined = docs.join(kept, docs["doc_id"] == F.col("__kept"), "left")
-    return joined.filter(F.col("__kept").isNotNull() | F.col("doc_id").isNull()).select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    """Of documents whose SimHash fingerprints link up the one of the smallest doc_id stays; rows without doc_id stay."""
+    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows"))
+    joined = docs.join(materialize(kept, "kept"), docs["doc_id"] == F.col("__kept"), "left")
+    # Rows of one doc_id are one document, the first by text; as a rule there are none, and texts are not sorted for it.
+    several = joined.filter("__rows > 1").withColumn("__n", F.row_number().over(Window.partitionBy("__kept").orderBy("text"))).filter("__n = 1")
+    single = joined.filter(F.col("doc_id").isNull() | (F.col("__rows") == 1))
+    return single.select(*docs.columns).unionByName(several.select(*docs.columns))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -150,6 +150,13 @@ def test_ftrl_learns_and_is_sparse():
     assert (m.w == 0).mean() > 0.5 and 0.04 < m.temperature < 20
 
 
+def test_near_copies_stage(spark, make_docs, sf_dir):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "x y"), (3, "one two three four five"), (3, "one two three four five"), (4, "p q r s t u"), (4, "k l m n o p q"), (5, None), (6, "")]
+    left = corpus_pipeline.near_copies(spark, make_docs(rows), sf_dir)
+    assert left.columns == make_docs(rows).columns
+    assert sorted(map(str, [(r["doc_id"], r["text"]) for r in left.collect()])) == sorted(map(str, [(1, "a b c d e f"), (None, "a b c d e f"), (None, "x y"), (3, "one two three four five"), (4, "k l m n o p q"), (5, None)]))
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     one = corpus_pipeline.language(spark, docs, sf_dir)
