@@ -17,7 +17,7 @@ from auditloom.llm.common import materialize, table
 from auditloom.llm.tokenization import default_path
 
 #: The least calibrated probability at which a document's language counts as known.
-LEAST_LANGUAGE = 0.5
+LEAST_LANGUAGE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
