@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import deque
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,3 +54,24 @@ def chained(alerts: DataFrame) -> DataFrame:
     out = alerts.withColumn("sha", own).withColumn("previous", F.lag("sha").over(w))
     out = out.withColumn("stored", F.when(F.col("event_id") % 97 == 0, F.lit("0")).otherwise(F.col("previous")))
     return out.select("event_id", F.substring("sha", 1, 16).alias("sha"), F.coalesce(F.col("stored").eqNullSafe(F.col("previous")), F.lit(True)).alias("holds"))
+
+
+def admitted(alerts: DataFrame, per_minute: int = 1, per_hour: int = 3) -> DataFrame:
+    """Actions of each mode in order, admitted while fewer than the caps were admitted in the last minute and hour.
+
+    Only admitted actions count, so each depends on all before it: a mode is folded as one group, holding times, not rows."""
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["at", "event_id"])
+        kept: deque[int] = deque()
+        out = []
+        for event, at in zip(pdf["event_id"], pdf["at"]):
+            while kept and kept[0] <= at - 3_600_000_000:
+                kept.popleft()
+            ok = len(kept) < per_hour and sum(t > at - 60_000_000 for t in kept) < per_minute
+            if ok:
+                kept.append(at)
+            out.append((event, ok))
+        return pd.DataFrame(out, columns=["event_id", "admitted"])
+
+    return alerts.select("mode", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at")).groupBy("mode").applyInPandas(fold, "event_id long, admitted boolean")

@@ -80,3 +80,19 @@ register(
     lambda s, d: domain(s, d, "ground_truth").filter(F.col("location").startswith("src/kernel/") & F.regexp_extract("location", r":(\d+)$", 1).try_cast("int").between(100, 300)).select("vuln_id", "location"),
     with_sql(["ground_truth"], r"SELECT vuln_id, location FROM ground_truth WHERE starts_with(location, 'src/kernel/') AND try_cast(regexp_extract(location, ':(\d+)$', 1) AS INT) BETWEEN 100 AND 300"),
 )
+register(
+    "cheat_sheets",
+    lambda s, d: kn.recommendations(domain(s, d, "findings"), domain(s, d, "sheets")),
+    with_sql(
+        ["findings", "sheets"],
+        "SELECT finding_id, name, priority, CAST(row_number() OVER (PARTITION BY finding_id ORDER BY CASE priority WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 WHEN 'low' THEN 3 ELSE 4 END, step, o, name) AS INT) AS place FROM h",
+        a="SELECT finding_id, 'class' AS kind, bug_class AS value, 0 AS step FROM findings UNION ALL SELECT finding_id, 'cwe', cwe_id, 1 FROM findings",
+        h="SELECT finding_id, name, priority, min(step) AS step, min(step * 1000 + ordinal) % 1000 AS o FROM a JOIN sheets USING (kind, value) GROUP BY 1, 2, 3",
+    ),
+)
+TECHNIQUES = "CASE n_regionkey WHEN 0 THEN 'D3-MFA,D3-AH' WHEN 1 THEN 'D3-CP' WHEN 2 THEN 'D3-FE,D3-MENCR' ELSE 'D3-AH,D3-CP' END"
+register(
+    "technique_union",
+    lambda s, d: kn.technique_union(s.read.parquet(f"{d}/nation.parquet").select("n_nationkey", F.split(F.expr(TECHNIQUES), ",").alias("techniques")), F.col("n_nationkey") % 3 < 2).select(F.concat_ws(",", "techniques").alias("techniques")),
+    f"SELECT string_agg(t, ',' ORDER BY t) AS techniques FROM (SELECT DISTINCT unnest(string_split({TECHNIQUES}, ',')) AS t FROM nation WHERE n_nationkey % 3 < 2)",
+)

@@ -70,3 +70,4 @@ register(
     lambda s, d: telemetry.chained(domain(s, d, "alerts")),
     with_sql(["alerts"], "SELECT event_id, substr(sha, 1, 16) AS sha, (CASE WHEN event_id % 97 = 0 THEN '0' ELSE p END) IS NOT DISTINCT FROM p AS holds FROM (SELECT *, lag(sha) OVER (PARTITION BY mode ORDER BY event_id) AS p FROM (SELECT *, sha256(CAST(event_id AS VARCHAR) || '|' || alert_id || '|' || severity) AS sha FROM alerts))"),
 )
+register("rate_cap_admitted", lambda s, d: telemetry.admitted(domain(s, d, "alerts")))

@@ -76,6 +76,10 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
     }),
     "models": ("supplier", {"model_id": "s_suppkey", "tier": cases("s_suppkey", ["frontier", "balanced", "distilled"]), "price": "cast(s_suppkey * 13 % 17 + 1 as double) / 4", "has_code": "s_suppkey % 2 = 0"}),
     "paths": ("customer", {"path_id": "c_custkey", "path": "CASE c_custkey % 5 WHEN 0 THEN concat('C:', chr(92), 'Windows', chr(92), 'x') WHEN 1 THEN '/usr/lib/a' WHEN 2 THEN '/Library/b' WHEN 3 THEN '/etc/ssh' ELSE 'rel/path' END"}),
+    "sheets": ("nation", {
+        "name": "concat('Sheet ', n_name)", "priority": cases("n_nationkey", ["high", "critical", "low", "medium"]), "kind": cases("n_nationkey", ["class", "cwe"]), "ordinal": "n_nationkey",
+        "value": "CASE n_nationkey % 2 WHEN 0 THEN " + cases("n_nationkey", BUG_CLASSES) + " ELSE " + cases("n_nationkey", CWES) + " END",
+    }),
     "answers": ("conversations", {
         "conv_id": "conv_id", "turn": "turn", "role": "role",
         "response": "CASE turn % 4 WHEN 0 THEN concat('VOTE: for', chr(10), 'CONFIDENCE: 0.', cast(turn % 10 as string), chr(10), 'REASONING: because ', role) WHEN 1 THEN concat(' VOTE: AGAINST', chr(10), 'CONFIDENCE: 7', chr(10), 'VOTE: maybe') WHEN 2 THEN concat('CONFIDENCE: high', chr(10), text) ELSE text END",

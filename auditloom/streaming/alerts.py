@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -39,3 +41,24 @@ def agent_counters(stream: DataFrame) -> DataFrame:
 def run_once(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Everything that is there now, into Parquet, exactly once."""
     stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet").start(path).awaitTermination()
+
+
+def admit(stream: DataFrame, per_minute: int = 1, per_hour: int = 3) -> DataFrame:
+    """event_id, mode, admitted: the caps of ``telemetry.admitted`` on a stream; a mode's state is its admitted times of the
+    last hour. Events of one batch are taken in the order of time."""
+
+    def fold(key, batches, state):
+        kept = list(state.get[0]) if state.exists else []
+        rows = pd.concat(list(batches)).sort_values(["at", "event_id"])
+        out = []
+        for event, at in zip(rows["event_id"], rows["at"]):
+            kept = [t for t in kept if t > at - 3_600_000_000]
+            ok = len(kept) < per_hour and sum(t > at - 60_000_000 for t in kept) < per_minute
+            if ok:
+                kept.append(int(at))
+            out.append((event, key[0], ok))
+        state.update((kept,))
+        yield pd.DataFrame(out, columns=["event_id", "mode", "admitted"])
+
+    timed = stream.select("mode", "event_id", F.unix_micros("ts").alias("at"))
+    return timed.groupBy("mode").applyInPandasWithState(fold, "event_id long, mode string, admitted boolean", "kept array<long>", "append", GroupStateTimeout.NoTimeout)

@@ -99,3 +99,5 @@ def test_streams_equal_batch(spark, sf_dir):
     closed = {(r["agent_id"], r["start"], r["n"]) for r in spark.read.parquet(f"{folder}/sessions").collect()}
     assert closed and closed <= {(r["agent_id"], r["start"], r["n"]) for r in telemetry.sessions(batch).collect()}
     assert isinstance(next(iter(whole))[0], datetime.datetime)
+    streaming.run_once(streaming.admit(stream()), f"{folder}/admit", f"{folder}/c4")
+    assert {(r["event_id"], r["admitted"]) for r in spark.read.parquet(f"{folder}/admit").collect()} == {tuple(r) for r in telemetry.admitted(batch).collect()}
