@@ -32,7 +32,7 @@ from auditloom.llm.tokenization import encoder
 SHARD_BYTES = 8 << 20
 LEVELS = 24
 #: Texts are encoded in groups of about so many bytes: the more, the fewer distinct pieces in all.
-ENCODE_BYTES = 16_000_000
+ENCODE_BYTES = 10_000_000
 
 SHARD_SCHEMA = pa.schema([
     ("part", pa.int32()), ("first_token", pa.int64()), ("n_tokens", pa.int64()), ("width", pa.int32()),
