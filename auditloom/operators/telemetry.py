@@ -32,9 +32,16 @@ def first_in_day(alerts: DataFrame) -> DataFrame:
 
 
 def rate_caps(alerts: DataFrame, per_minute: int = 1, per_hour: int = 3) -> DataFrame:
-    """Actions of each mode within the last minute and hour, and whether either cap is passed."""
-    w = lambda s: Window.partitionBy("mode").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-s * 1_000_000 + 1, 0)
-    out = alerts.withColumn("minute", F.count("*").over(w(60))).withColumn("hour", F.count("*").over(w(3600)))
+    """Actions of each mode within the last minute and hour, and whether either cap is passed.
+
+    Windows look back an hour at most, so a mode is cut into hours and each row also goes to the next one: windows then hold
+    two hours of a mode, however many actions it has."""
+    hour = 3_600_000_000
+    timed = alerts.select("mode", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    own = F.floor(F.col("at") / F.lit(hour))
+    cut = timed.withColumn("own", own).withColumn("slot", F.explode(F.array(F.col("own"), F.col("own") + 1)))
+    w = lambda s: Window.partitionBy("mode", "slot").orderBy("at").rangeBetween(-s * 1_000_000 + 1, 0)
+    out = cut.withColumn("minute", F.count("*").over(w(60))).withColumn("hour", F.count("*").over(w(3600))).filter("slot = own")
     return out.select("event_id", "minute", "hour", ((F.col("minute") > per_minute) | (F.col("hour") > per_hour)).alias("manual"))
 
 

@@ -98,7 +98,7 @@ register(
 register(
     "keyword_extract",
     lambda s, d: domain(s, d, "commits").select("commit_id", F.concat_ws(" ", extract.keywords(F.col("message"))).alias("keywords")),
-    with_sql(["commits"], r"SELECT commit_id, coalesce((SELECT string_agg(w, ' ' ORDER BY i) FROM (SELECT w, min(i) AS i FROM (SELECT trim(unnest(l), '.,;:""''') AS w, unnest(range(len(l))) AS i) WHERE length(w) >= 4 GROUP BY w)), '') AS keywords FROM (SELECT commit_id, regexp_split_to_array(lower(message), '\s+') AS l FROM commits)".replace('""', '"')),
+    with_sql(["commits"], r"""SELECT commit_id, coalesce((SELECT string_agg(w, ' ' ORDER BY i) FROM (SELECT w, min(i) AS i FROM (SELECT trim(unnest(l), '.,;:"''') AS w, unnest(range(len(l))) AS i) WHERE length(w) >= 4 GROUP BY w)), '') AS keywords FROM (SELECT commit_id, regexp_split_to_array(lower(message), '\s+') AS l FROM commits)"""),
 )
 
 
