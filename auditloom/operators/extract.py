@@ -127,3 +127,27 @@ def python_symbols(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["file_id", "kind", "name", "line"])
 
     return files.select("file_id", "content").mapInPandas(walk, "file_id long, kind string, name string, line int")
+
+
+# What names symbols of JavaScript and TypeScript, and extensions of source files.
+JS_SYMBOLS = {"import": r"import\s+[^;]*?from\s+[\"']([^\"']+)[\"']", "function": r"function\s+(\w+)", "arrow": r"const\s+(\w+)\s*=\s*(?:async\s*)?\(", "class": r"class\s+(\w+)"}
+EXTENSIONS = {"c": "c", "cpp": "c", "h": "c", "rs": "rust", "py": "python", "js": "javascript", "go": "go", "sol": "solidity"}
+
+
+def js_symbols(files: DataFrame) -> DataFrame:
+    """file_id, kind, ordinal, name of imports, functions, arrow functions and classes."""
+    parts = [files.select("file_id", F.lit(k).alias("kind"), F.posexplode(F.regexp_extract_all("content", F.lit(p), F.lit(1))).alias("ordinal", "name")) for k, p in JS_SYMBOLS.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def language_vote(diffs: DataFrame) -> DataFrame:
+    """diff_id, language: of the files a diff names the language of most, the first by name of equals. The extension's
+    alternation is unanchored, so ``.cpp`` counts as ``.c``."""
+    ext = F.explode(F.regexp_extract_all("content", F.lit(r"\.(" + "|".join(EXTENSIONS) + ")"), F.lit(1)))
+    lang = F.create_map(*[F.lit(x) for kv in EXTENSIONS.items() for x in kv])
+    votes = diffs.select("diff_id", ext.alias("ext")).select("diff_id", lang[F.col("ext")].alias("language")).groupBy("diff_id", "language").agg(F.count("*").alias("n"))
+    best = votes.groupBy("diff_id").agg(F.max(F.struct("n")).alias("m"), F.min_by("language", F.struct(-F.col("n"), F.col("language"))).alias("language"))
+    return best.select("diff_id", "language", F.col("m.n").alias("n"))

@@ -142,3 +142,18 @@ register(
     f"WITH a AS (SELECT event_id, {JSON_TEXT} AS response FROM events) SELECT event_id, v.location AS location, coalesce(v.bug_class, 'unknown') AS bug_class, coalesce(v.confidence, 0.3) AS confidence, CAST(NULL AS VARCHAR) AS evidence FROM (SELECT event_id, unnest(from_json(regexp_extract(response, '(?s)\\{{.*\\}}'), '{{\"vulnerabilities\":[{{\"location\":\"VARCHAR\",\"bug_class\":\"VARCHAR\",\"confidence\":\"DOUBLE\"}}]}}').vulnerabilities) AS v FROM a WHERE event_id % 3 = 0) UNION ALL SELECT event_id, NULL, 'unknown', 0.3, substr(response, 1, 500) FROM a WHERE event_id % 3 <> 0",
 )
 register("python_symbols", lambda s, d: extract.python_symbols(table(s, d, "events").selectExpr("event_id AS file_id", "concat('import os, json\\nclass C', event_type, ':\\n  def f(self):\\n    return os.path.join(str(', cast(event_id as string), '))\\n') AS content")))
+JS = "concat('import { a } from \"m', cast(page_id % 7 as string), '\"; function f', cast(page_id as string), '() {} const g = async (x) => 1; class K', cast(page_id % 3 as string), ' {} const h = (y)')"
+register(
+    "js_symbols",
+    lambda s, d: extract.js_symbols(table(s, d, "pages").selectExpr("page_id AS file_id", f"{JS} AS content")),
+    f"WITH f AS (SELECT page_id AS file_id, {JS} AS content FROM pages) "
+    + " UNION ALL ".join(f"SELECT file_id, '{k}' AS kind, CAST(unnest(range(len(regexp_extract_all(content, '{q}', 1)))) AS INT) AS ordinal, unnest(regexp_extract_all(content, '{q}', 1)) AS name FROM f" for k, q in ((k, p.replace("'", "''")) for k, p in extract.JS_SYMBOLS.items())),
+)
+DIFF = "concat('--- a/x', CASE page_id % 4 WHEN 0 THEN '.cpp' WHEN 1 THEN '.py' WHEN 2 THEN '.rs' ELSE '.sol' END, ' b/y.go b/z.py')"
+register(
+    "language_vote",
+    lambda s, d: extract.language_vote(table(s, d, "pages").selectExpr("page_id AS diff_id", f"{DIFF} AS content")),
+    f"WITH e AS (SELECT page_id AS diff_id, unnest(regexp_extract_all({DIFF}, '\\.(" + "|".join(extract.EXTENSIONS) + ")', 1)) AS ext FROM pages), v AS (SELECT diff_id, l AS language, count(*) AS n FROM e JOIN "
+    + values_sql(list(extract.EXTENSIONS.items()), "x, l")
+    + " ON ext = x GROUP BY 1, 2) SELECT diff_id, arg_min(language, (-n, language)) AS language, max(n) AS n FROM v GROUP BY 1",
+)
