@@ -101,3 +101,14 @@ def false_discovery(tests: DataFrame, q: float = 0.05) -> DataFrame:
     ranked = tests.withColumn("rank", F.row_number().over(up)).crossJoin(F.broadcast(n))  # one row
     adjusted = F.least(F.lit(1.0), F.min(F.col("p") * F.col("n") / F.col("rank")).over(down))
     return ranked.withColumn("adjusted", adjusted).select("id", "p", "rank", "adjusted", (F.col("adjusted") <= q).alias("rejected"))
+
+
+def bootstrap(values: DataFrame, draws: int = 200) -> DataFrame:
+    """values: id, a, b (scores of two runs on one item) -> draw, difference of means under Poisson(1) weights.
+
+    Weights come from a hash of item and draw, so a draw is the same whatever the partitions; each row makes its own draws."""
+    u = F.pmod(F.xxhash64("id", "draw"), F.lit(1_000_000)) / 1_000_000
+    weight = F.when(u < 0.367879, 0).when(u < 0.735759, 1).when(u < 0.919699, 2).when(u < 0.981012, 3).when(u < 0.996340, 4).otherwise(5)
+    drawn = values.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("w", weight)
+    g = drawn.groupBy("draw").agg(F.sum("w").alias("n"), F.sum(F.col("w") * (F.col("a") - F.col("b"))).alias("s"))
+    return g.select("draw", F.coalesce(F.try_divide("s", "n"), F.lit(0.0)).alias("difference"))

@@ -100,3 +100,4 @@ register(
     with_sql(both, "SELECT agent_id, count(*) AS total, array_to_string(list_sort(list(DISTINCT category)), ',') AS classes, array_to_string(list_sort(list(DISTINCT lang)), ',') AS languages FROM mi GROUP BY 1", **MISSED),
 )
 register("recommendations", lambda s, d: feedback.recommendations(missed(s, d)), with_sql(both, "SELECT 'Improve ' || lang || ' analysis: ' || count(*) || ' missed' AS text FROM mi GROUP BY lang HAVING count(*) >= 3", **MISSED))
+register("paired_bootstrap", lambda s, d: evaluate.bootstrap(_labelled(s, d).selectExpr("doc_id AS id", "cast(truth = guess AS double) AS a", "cast(truth = (n_chars > 2000) AS double) AS b")))

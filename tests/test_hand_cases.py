@@ -101,3 +101,9 @@ def test_streams_equal_batch(spark, sf_dir):
     assert isinstance(next(iter(whole))[0], datetime.datetime)
     streaming.run_once(streaming.admit(stream()), f"{folder}/admit", f"{folder}/c4")
     assert {(r["event_id"], r["admitted"]) for r in spark.read.parquet(f"{folder}/admit").collect()} == {tuple(r) for r in telemetry.admitted(batch).collect()}
+
+
+def test_bootstrap(spark):
+    rows = [(i, 1.0, float(i % 2)) for i in range(400)]
+    got = [r["difference"] for r in evaluate.bootstrap(spark.createDataFrame(rows, "id long, a double, b double"), 50).collect()]
+    assert len(got) == 50 and 0.45 < sum(got) / 50 < 0.55 and max(got) - min(got) > 0.02
