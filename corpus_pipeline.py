@@ -27,12 +27,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose SimHash fingerprints link up the one of the smallest doc_id stays; rows without doc_id stay."""
-    kept = simhash.near_duplicates(docs).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__rows"))
-    joined = docs.join(materialize(kept, "kept"), docs["doc_id"] == F.col("__kept"), "left")
-    # Rows of one doc_id are one document, the first by text; as a rule there are none, and texts are not sorted for it.
-    several = joined.filter("__rows > 1").withColumn("__n", F.row_number().over(Window.partitionBy("__kept").orderBy("text"))).filter("__n = 1")
-    single = joined.filter(F.col("doc_id").isNull() | (F.col("__rows") == 1))
-    return single.select(*docs.columns).unionByName(several.select(*docs.columns))
+    kept = materialize(simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct(), "kept")
+    # As many ids as documents: a merge join at every size. Rows of one doc_id are one document, the first by text; the window
+    # needs no exchange beyond the join's.
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    staying = docs.join(kept.hint("merge"), "doc_id", "left_semi").withColumn("__n", first).filter("__n = 1").select(*docs.columns)
+    return staying.unionByName(docs.filter("doc_id is null"))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
