@@ -33,6 +33,8 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 UNKNOWN = "und"
 SCAN_BYTES = 1_000_000
+#: Texts counted at a time: rows of the dense (texts, DIM) matrix.
+SCAN_ROWS = 128
 
 DIM = 1 << BITS
 PREDICTIONS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -117,6 +119,13 @@ class Model:
         return [(self.labels[i], float(q[i])) for i, q in zip(best.tolist(), p)]
 
 
+def spans(text: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges of about SCAN_BYTES and at most SCAN_ROWS."""
+    for a, b in chunks(text, SCAN_BYTES):
+        for c in range(a, b, SCAN_ROWS):
+            yield c, min(b, c + SCAN_ROWS)
+
+
 def softmax(s: np.ndarray) -> np.ndarray:
     e = np.exp(s - s.max())
     return e / e.sum()
@@ -126,7 +135,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(DIM, np.int64)
     n = 0
     for batch in batches:
-        for a, b in chunks(batch.column("text"), SCAN_BYTES):
+        for a, b in spans(batch.column("text")):
             texts = [t for t in batch.column("text").slice(a, b - a).to_pylist() if has_letter(t)]
             if texts:
                 total += (counts(texts) > 0).sum(axis=0)
@@ -178,7 +187,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
 def _predict(batches: Iterator[pa.RecordBatch], model: Model | None, least: float | None) -> Iterator[pa.RecordBatch]:
     """Predictions, or with ``least`` the rows whose text has a language at that score or more."""
     for batch in batches:
-        for a, b in chunks(batch.column("text"), SCAN_BYTES):
+        for a, b in spans(batch.column("text")):
             part = batch.slice(a, b - a)
             texts = part.column("text").to_pylist()
             out = [(UNKNOWN, 0.0)] * len(texts)
