@@ -148,7 +148,7 @@ def _spans(rule: Rule, place: int, text: Column) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """docs with found: array of struct(start, place, kind, end), ordered by start and then kind."""
+    """docs with __found: array of struct(start, place, kind, end), ordered by start and then kind."""
     empty = F.array().cast("array<struct<start:long,place:int,kind:string,end:long>>")
     keyed = docs.withColumn("__key", _key()).join(candidates(docs, rules).withColumnRenamed("key", "__key").withColumnRenamed("kinds", "__kinds"), "__key", "left")
     text = F.coalesce("text", F.lit(""))
@@ -156,7 +156,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for place, rule in enumerate(rules):
         spans = _spans(rule, place, text)
         parts.append(F.when(F.array_contains("__kinds", rule.kind), spans).otherwise(empty) if trigram_query(rule.pattern) else spans)
-    return keyed.withColumn("found", F.array_sort(F.concat(*parts))).drop("__key", "__kinds")
+    return keyed.withColumn("__found", F.array_sort(F.concat(*parts))).drop("__key", "__kinds")
 
 
 def listed(spans: Column) -> Column:
@@ -167,8 +167,8 @@ def digests(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256 (of the base kinds' spans), spans (of all kinds)."""
     found = scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     base = [r.kind for r in RULES if r.base]
-    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *map(count, base), F.sha2(listed(F.filter("found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+    count = lambda kind: F.size(F.filter("__found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, base), F.sha2(listed(F.filter("__found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), listed(F.col("__found")).alias("spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -182,8 +182,8 @@ def redact(docs: DataFrame) -> DataFrame:
         longer = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))  # overlaps the last one
         return F.when((s["start"] >= acc["at"]) | (acc["out"] == ""), fresh).otherwise(longer)
 
-    clean = F.aggregate("found", start, step, lambda acc: F.concat(acc["out"], F.expr("substring(text, cast(1 as int))").substr((acc["at"] + 1).cast("int"), F.length("text"))))
-    text = F.when(F.size("found") > 0, clean).otherwise(F.col("text"))
+    clean = F.aggregate("__found", start, step, lambda acc: F.concat(acc["out"], F.expr("substring(text, cast(1 as int))").substr((acc["at"] + 1).cast("int"), F.length("text"))))
+    text = F.when(F.size("__found") > 0, clean).otherwise(F.col("text"))
     return found.withColumn("text", text).select(*docs.columns)
 
 

@@ -69,8 +69,9 @@ def brute_redact(t):
 
 def test_redact(spark, make_docs):
     rows = secret_rows()
-    df = secrets.redact(make_docs(rows))
-    assert df.columns == make_docs(rows).columns
+    docs = make_docs(rows).withColumnsRenamed({"source": "found", "block": "kinds"})
+    df = secrets.redact(docs)
+    assert df.columns == docs.columns and {r["found"] for r in df.collect()} == {"s"}
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in df.collect()) == sorted((str(i), str(brute_redact(t))) for i, t in rows)
 
 
