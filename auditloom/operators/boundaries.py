@@ -129,3 +129,21 @@ def grounded(alerts: DataFrame) -> DataFrame:
 def keyword_search(catalog: DataFrame, words: DataFrame) -> DataFrame:
     """words (query) against keywords (entry_id, keyword): either holds the other."""
     return catalog.join(F.broadcast(words), F.expr("contains(keyword, query) OR contains(query, keyword)")).select("query", "entry_id").distinct()
+
+
+def verification_targets(files: DataFrame) -> DataFrame:
+    """file_id, line, name, property, tenths of confidence: C function heads by what stands within 200 characters, unsafe blocks."""
+    head = files.filter("lang IN ('c', 'solidity')").select("file_id", "content", F.explode(matches(F.col("content"), r"\w+\s+\w+\s*\([^)]*\)[^;{]*\{")).alias("m"))
+    context = window(F.col("content"), F.col("m.start"), F.col("m.end"), 200)
+    kind = F.when(context.rlike("(?i)malloc|free|alloc|unique_ptr|shared_ptr"), "memory_safety").when(context.rlike("(?i)pthread|mutex|lock|atomic|race"), "thread_safety").when(context.rlike("(?i)strcpy|strcat|memcpy|sprintf|gets"), "buffer_safety").otherwise("functional")
+    heads = head.select("file_id", line_of(F.col("content"), F.col("m.start")).alias("line"), F.regexp_extract("m.text", r"(\w+)\s*\(", 1).alias("name"), kind.alias("property"), F.lit(7).alias("tenths"))
+    block = files.filter("lang = 'rust'").select("file_id", "content", F.explode(matches(F.col("content"), r"unsafe\s*\{")).alias("m"))
+    return heads.unionByName(block.select("file_id", line_of(F.col("content"), F.col("m.start")).alias("line"), F.lit("unsafe").alias("name"), F.lit("memory_safety").alias("property"), F.lit(9).alias("tenths")))
+
+
+def comment_invariants(files: DataFrame) -> DataFrame:
+    """file_id, kind, tenths: invariants in comments (6) and assertions in code (8)."""
+    comments = files.select("file_id", F.explode(F.regexp_extract_all("content", F.lit(r"(?://|#)\s*([^\n]+)"), F.lit(1))).alias("text"))
+    spoken = comments.select("file_id", F.explode(kinds_in(F.col("text"), INVARIANTS)).alias("kind"), F.lit(6).alias("tenths"))
+    asserted = files.select("file_id", F.explode(F.regexp_extract_all("content", F.lit(r"(?:assert|require|assume)\s*\(([^)]*)\)"), F.lit(1))).alias("text"))
+    return spoken.unionByName(asserted.select("file_id", F.lit("assertion").alias("kind"), F.lit(8).alias("tenths")))

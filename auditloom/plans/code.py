@@ -116,3 +116,24 @@ register(
         "SELECT -1 AS section, '' AS o, '# Findings' AS text UNION ALL SELECT 0, '', '## By class' UNION ALL SELECT 0, '-' || bug_class, '- ' || bug_class || ': ' || count(*) FROM findings GROUP BY bug_class UNION ALL SELECT 1, '', '## Highest' UNION ALL SELECT 1, '-' || lpad(CAST(CAST(trunc(100 - score * 100) AS INT) AS VARCHAR), 3, '0'), '- ' || location || ' ' || bug_class FROM (SELECT * FROM findings ORDER BY score DESC, finding_id LIMIT 5)",
     ),
 )
+register(
+    "verification_targets",
+    lambda s, d: boundaries.verification_targets(domain(s, d, "code")),
+    with_sql(
+        ["code"],
+        "SELECT file_id, CAST(length(substr(content, 1, start)) - length(replace(substr(content, 1, start), chr(10), '')) + 1 AS INT) AS line, regexp_extract(match, '(\\w+)\\s*\\(', 1) AS name, CASE WHEN regexp_matches(x, '(?i)malloc|free|alloc|unique_ptr|shared_ptr') THEN 'memory_safety' WHEN regexp_matches(x, '(?i)pthread|mutex|lock|atomic|race') THEN 'thread_safety' WHEN regexp_matches(x, '(?i)strcpy|strcat|memcpy|sprintf|gets') THEN 'buffer_safety' ELSE 'functional' END AS property, 7 AS tenths FROM hc UNION ALL SELECT file_id, CAST(length(substr(content, 1, start)) - length(replace(substr(content, 1, start), chr(10), '')) + 1 AS INT), 'unsafe', 'memory_safety', 9 FROM un JOIN code USING (file_id) WHERE lang = 'rust'",
+        he=hits_sql("code", "content", "file_id", one(r"\w+\s+\w+\s*\([^)]*\)[^;{]*\{")),
+        un=hits_sql("code", "content", "file_id", one(r"unsafe\s*\{")),
+        hc="SELECT *, substr(content, greatest(0, start - 200) + 1, start + length(match) + 200 - greatest(0, start - 200)) AS x FROM he JOIN code USING (file_id) WHERE lang IN ('c', 'solidity')",
+    ),
+)
+register(
+    "comment_invariants",
+    lambda s, d: boundaries.comment_invariants(domain(s, d, "notes").selectExpr("note_id AS file_id", "concat('x = 1 # ', replace(content, chr(10), ' '), chr(10), 'assert (x > 0)') AS content")),
+    with_sql(
+        ["notes"],
+        f"SELECT file_id, unnest(string_split({risks_sql(cp.INVARIANTS, 't')}, ',')) AS kind, 6 AS tenths FROM c WHERE {risks_sql(cp.INVARIANTS, 't')} <> '' UNION ALL SELECT file_id, 'assertion', 8 FROM (SELECT file_id, unnest(regexp_extract_all(content, '(?:assert|require|assume)\\s*\\(([^)]*)\\)', 1)) FROM f)",
+        f="SELECT note_id AS file_id, concat('x = 1 # ', replace(content, chr(10), ' '), chr(10), 'assert (x > 0)') AS content FROM notes",
+        c="SELECT file_id, unnest(regexp_extract_all(content, '(?://|#)\\s*([^\\n]+)', 1)) AS t FROM f",
+    ),
+)
