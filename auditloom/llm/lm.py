@@ -35,11 +35,13 @@ ADD = 0.1
 D = 0.75
 END = b"\n"  # no word holds it
 
-LOW = np.uint64(0xFFFFFFFF)
+#: A bigram's key: 40 bits of both words, then the upper 24 bits of the head's key; the head's next 16 bits go along.
+LOW = np.uint64(0xFFFFFF)
+HEAD = np.uint64(24)
 
 #: From a block to a part: words with counts, bigrams with counts.
-SENT = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("word_counts", pa.binary()), ("pairs", pa.binary()), ("pair_counts", pa.binary())])
-#: kind 0: a part's answer to a block; 1: a block's words again; 2: heads of the part's bigrams (upper 32 bits of word keys) and how many successors; n, v: the part's tokens and distinct words.
+SENT = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("word_counts", pa.binary()), ("pairs", pa.binary()), ("heads", pa.binary()), ("pair_counts", pa.binary())])
+#: kind 0: a part's answer to a block; 1: a block's words again; 2: heads of the part's bigrams (upper 40 bits of word keys) and how many successors; n, v: the part's tokens and distinct words.
 SUMS = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("pair_counts", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
 SUMS_DDL = "kind int, part int, block long, keys binary, counts binary, pair_counts binary, n long, v long"
 FOLLOW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("counts", pa.binary())])
@@ -62,9 +64,10 @@ class Block:
         self.before = np.concatenate([[end], self.ids[:-1]])
         self.before[self.bounds[:-1]] = end
         u, v = self.word_keys[self.before], self.word_keys[self.ids]
-        # The upper half spreads the bigrams evenly, the lower half is the head's: its successors can be counted anywhere.
-        keys = (mixed(u * np.uint64(3) + v) & ~LOW) | (u >> np.uint64(32))
-        self.pair_keys, self.pairs = np.unique(keys, return_inverse=True)
+        # The upper bits spread the bigrams evenly, the lower ones are the head's: its successors can be counted anywhere.
+        keys = (mixed(u * np.uint64(3) + v) & ~LOW) | (u >> np.uint64(40))
+        self.pair_keys, at, self.pairs = np.unique(keys, return_index=True, return_inverse=True)
+        self.heads = (u[at] >> HEAD).astype("<u2")
         self.train = np.repeat(~self.held.to_numpy(zero_copy_only=False), np.diff(self.bounds))
 
     def counts(self, which: np.ndarray, n: int) -> np.ndarray:
@@ -77,43 +80,44 @@ def _send(docs: pa.Table, parts: int) -> pa.Table:
     cut = {p: [s, slice(0, 0)] for p, s in cut_parts(b.word_keys, parts)}
     for p, s in cut_parts(b.pair_keys, parts):
         cut.setdefault(p, [slice(0, 0), None])[1] = s
-    sent = [(p, block, packed(b.word_keys[s]), planes(words[s]), packed(b.pair_keys[t]), planes(pairs[t])) for p, (s, t) in cut.items()]
+    sent = [(p, block, packed(b.word_keys[s]), planes(words[s]), packed(b.pair_keys[t]), b.heads[t].tobytes(), planes(pairs[t])) for p, (s, t) in cut.items()]
     return pa.table([pa.array([r[i] for r in sent], f.type) for i, f in enumerate(SENT)], schema=SENT)
 
 
-def _total(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys, their sums, and the sums as each sender asked."""
-    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+def _total(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """Distinct keys, their sums, the sums as each sender asked, and where each key first stands."""
+    distinct, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     total = np.bincount(which, weights=np.concatenate(counts).astype(np.float64), minlength=len(distinct)).astype(np.uint64)
     cuts = np.cumsum([len(k) for k in keys])[:-1]
-    return distinct, total, np.split(total[which], cuts)
+    return distinct, total, np.split(total[which], cuts), first
 
 
 def _sum(sent: pa.Table, parts: int) -> pa.Table:
     part = sent["part"][0].as_py()
     blocks = sent["block"].to_pylist()
     word_blobs = sent["words"].to_pylist()
-    _, word_total, words = _total([unpacked(x) for x in word_blobs], [from_planes(x) for x in sent["word_counts"].to_pylist()])
-    pair_keys, pair_total, pairs = _total([unpacked(x) for x in sent["pairs"].to_pylist()], [from_planes(x) for x in sent["pair_counts"].to_pylist()])
+    _, word_total, words, _ = _total([unpacked(x) for x in word_blobs], [from_planes(x) for x in sent["word_counts"].to_pylist()])
+    pair_keys, pair_total, pairs, first = _total([unpacked(x) for x in sent["pairs"].to_pylist()], [from_planes(x) for x in sent["pair_counts"].to_pylist()])
     out = [(0, part, k, None, planes(w), planes(p), None, None) for k, w, p in zip(blocks, words, pairs)]
     out += [(1, part, k, x, None, None, None, None) for k, x in zip(blocks, word_blobs) if x]
-    heads, follow = np.unique(pair_keys[pair_total > 0] & LOW, return_counts=True)
-    for p, s in cut_parts(heads << np.uint64(32), parts):
+    low = np.concatenate([np.frombuffer(x, "<u2") for x in sent["heads"].to_pylist()])[first].astype(np.uint64)
+    heads, follow = np.unique(((pair_keys & LOW) << np.uint64(16) | low)[pair_total > 0], return_counts=True)
+    for p, s in cut_parts(heads << HEAD, parts):
         out.append((2, p, None, packed(heads[s]), planes(follow[s].astype(np.uint64)), None, None, None))
     out.append((3, part, None, None, None, None, int(word_total.sum()), int((word_total > 0).sum())))
     return pa.table([pa.array([r[i] for r in out], f.type) for i, f in enumerate(SUMS)], schema=SUMS)
 
 
 def _follow(rows: pa.Table) -> pa.Table:
-    """Successors of each block's words; words that share the upper half of their keys (one pair in 2**32) share the sum."""
+    """Successors of each block's words; words that share the upper 40 bits of their keys share the sum."""
     kinds, keys, counts = rows["kind"].to_pylist(), rows["keys"].to_pylist(), rows["counts"].to_pylist()
     heads = [unpacked(k) for k, kind in zip(keys, kinds) if kind == 2]
     sums = [from_planes(c) for c, kind in zip(counts, kinds) if kind == 2]
-    distinct, total, _ = _total(heads or [np.zeros(0, np.uint64)], sums or [np.zeros(0, np.uint64)])
+    distinct, total, _, _ = _total(heads or [np.zeros(0, np.uint64)], sums or [np.zeros(0, np.uint64)])
     out = []
     for kind, block, part, k in zip(kinds, rows["block"].to_pylist(), rows["part"].to_pylist(), keys):
         if kind == 1:
-            asked = unpacked(k) >> np.uint64(32)
+            asked = unpacked(k) >> HEAD
             at = np.minimum(np.searchsorted(distinct, asked), max(0, len(distinct) - 1))
             found = np.where(distinct[at] == asked, total[at], np.uint64(0)) if len(distinct) else np.zeros(len(asked), np.uint64)
             out.append((4, part, block, planes(found)))
@@ -164,7 +168,7 @@ def score(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held)
     blocks, parts = extent(docs)
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    sent = dealt.groupBy("block").applyInArrow(lambda t: _send(t, parts), "part int, block long, words binary, word_counts binary, pairs binary, pair_counts binary")
+    sent = dealt.groupBy("block").applyInArrow(lambda t: _send(t, parts), "part int, block long, words binary, word_counts binary, pairs binary, heads binary, pair_counts binary")
     sums = materialize(sent.groupBy("part").applyInArrow(lambda t: _sum(t, parts), SUMS_DDL), "lm-sums")
     total = sums.filter("kind = 3").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = total["n"] or 0, total["v"] or 0
