@@ -82,3 +82,18 @@ def technique_coverage(findings: DataFrame) -> DataFrame:
     """Findings and distinct classes each attack technique reaches."""
     t = attack_techniques(findings).join(findings.select("finding_id", "bug_class"), "finding_id")
     return t.groupBy("technique").agg(F.count("*").alias("findings"), F.count_distinct("bug_class").alias("classes"))
+
+
+def class_of_impact(text: Column) -> Column:
+    """The class that an impact text speaks of: the first of five groups of words, else logic_error."""
+    has = lambda *words: F.lower(text).rlike("|".join(words))
+    return (
+        F.when(has("memory", "buffer", "overflow"), "memory_corruption").when(has("auth", "access control"), "auth_bypass").when(has("reentrancy", "race"), "reentrancy")
+        .when(has("oracle", "price"), "oracle_manipulation").when(has("integer", "arithmetic"), "integer_overflow").otherwise("logic_error")
+    )
+
+
+def narrative(findings: DataFrame) -> DataFrame:
+    """finding_id, text: the class and its first three techniques, in order."""
+    first = attack_techniques(findings).filter("ordinal < 3").groupBy("finding_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "technique"))), lambda x: x["technique"]).alias("t"))
+    return findings.join(first, "finding_id", "left").select("finding_id", F.concat("bug_class", F.lit(" may lead to "), F.coalesce(F.concat_ws(", ", "t"), F.lit("nothing known"))).alias("text"))

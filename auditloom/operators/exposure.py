@@ -65,3 +65,11 @@ def host_metadata(hosts: DataFrame) -> DataFrame:
     s = lambda c: F.array_sort(F.collect_set(c)).alias(c)
     g = hosts.groupBy("address").agg(F.count("*").alias("hosts"), s("service"), s("country"), s("vuln"))
     return g.withColumn("exposure", host_exposure(F.col("hosts"), F.size("service"), F.size("country"), F.size("vuln"), F.lit("buffer-overflow")))
+
+
+def agent_exposure(severity: Column, location: Column) -> Column:
+    """Base by severity, more for kernels and drivers, else for hypervisors; 100 at most."""
+    low = F.lower(location)
+    base = choose(severity, {"critical": 90.0, "high": 70.0, "medium": 50.0, "low": 30.0}, 50.0)
+    more = F.when(low.rlike("kernel|driver"), 15.0).when(low.rlike("hyper-?v"), 20.0).otherwise(0.0)
+    return F.least(F.lit(100.0), base + more)

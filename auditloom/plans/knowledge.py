@@ -109,3 +109,18 @@ register(
     lambda s, d: triage.gate(domain(s, d, "findings"), "location"),
     with_sql(["findings"], "SELECT location, worst, CASE WHEN worst >= 4 THEN 'block' WHEN worst = 3 THEN 'fix' WHEN worst = 2 THEN 'warn' ELSE 'pass' END AS verdict FROM (SELECT location, max(CASE severity WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 WHEN 'critical' THEN 4 ELSE 0 END) AS worst FROM findings GROUP BY 1)"),
 )
+register(
+    "impact_class",
+    lambda s, d: domain(s, d, "commits").select("commit_id", enrich.class_of_impact(F.col("message")).alias("bug_class")),
+    with_sql(["commits"], "SELECT commit_id, CASE WHEN regexp_matches(lower(message), 'memory|buffer|overflow') THEN 'memory_corruption' WHEN regexp_matches(lower(message), 'auth|access control') THEN 'auth_bypass' WHEN regexp_matches(lower(message), 'reentrancy|race') THEN 'reentrancy' WHEN regexp_matches(lower(message), 'oracle|price') THEN 'oracle_manipulation' WHEN regexp_matches(lower(message), 'integer|arithmetic') THEN 'integer_overflow' ELSE 'logic_error' END AS bug_class FROM commits"),
+)
+register(
+    "threat_narrative",
+    lambda s, d: enrich.narrative(domain(s, d, "findings")),
+    with_sql(["findings"], "SELECT finding_id, bug_class || ' may lead to ' || coalesce(t, 'nothing known') AS text FROM findings LEFT JOIN (SELECT finding_id, string_agg(technique, ', ' ORDER BY ordinal) AS t FROM atk WHERE ordinal < 3 GROUP BY 1) USING (finding_id)", atk=ATTACK),
+)
+register(
+    "agent_exposure",
+    lambda s, d: domain(s, d, "findings").select("finding_id", exposure.agent_exposure(F.col("severity"), F.col("location")).alias("exposure")),
+    with_sql(["findings"], "SELECT finding_id, least(100.0, CASE severity WHEN 'critical' THEN 90.0 WHEN 'high' THEN 70.0 WHEN 'medium' THEN 50.0 WHEN 'low' THEN 30.0 ELSE 50.0 END + CASE WHEN regexp_matches(lower(location), 'kernel|driver') THEN 15.0 WHEN regexp_matches(lower(location), 'hyper-?v') THEN 20.0 ELSE 0.0 END)::DOUBLE AS exposure FROM findings"),
+)
