@@ -41,7 +41,7 @@ HEAD = np.uint64(24)
 
 #: From a block to a part: words with counts, bigrams with counts.
 SENT = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("word_counts", pa.binary()), ("pairs", pa.binary()), ("heads", pa.binary()), ("pair_counts", pa.binary())])
-#: kind 0: a part's answer to a block; 1: a block's words again; 2: heads of the part's bigrams (upper 40 bits of word keys) and how many successors; n, v: the part's tokens and distinct words.
+#: kind 0: a part's answer to a block; 1: which of the part's words a block has; 5: the part's words; 2: heads of the part's bigrams (upper 40 bits of word keys) and how many successors; n, v: the part's tokens and distinct words.
 SUMS = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("pair_counts", pa.binary()), ("n", pa.int64()), ("v", pa.int64())])
 SUMS_DDL = "kind int, part int, block long, keys binary, counts binary, pair_counts binary, n long, v long"
 FOLLOW = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("counts", pa.binary())])
@@ -85,21 +85,21 @@ def _send(docs: pa.Table, parts: int) -> pa.Table:
 
 
 def _total(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """Distinct keys, their sums, the sums as each sender asked, and where each key first stands."""
+    """Distinct keys, their sums, the place among them of each sender's keys, and where each key first stands."""
     distinct, first, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     total = np.bincount(which, weights=np.concatenate(counts).astype(np.float64), minlength=len(distinct)).astype(np.uint64)
     cuts = np.cumsum([len(k) for k in keys])[:-1]
-    return distinct, total, np.split(total[which], cuts), first
+    return distinct, total, np.split(which, cuts), first
 
 
 def _sum(sent: pa.Table, parts: int) -> pa.Table:
     part = sent["part"][0].as_py()
     blocks = sent["block"].to_pylist()
-    word_blobs = sent["words"].to_pylist()
-    _, word_total, words, _ = _total([unpacked(x) for x in word_blobs], [from_planes(x) for x in sent["word_counts"].to_pylist()])
+    word_keys, word_total, words, _ = _total([unpacked(x) for x in sent["words"].to_pylist()], [from_planes(x) for x in sent["word_counts"].to_pylist()])
     pair_keys, pair_total, pairs, first = _total([unpacked(x) for x in sent["pairs"].to_pylist()], [from_planes(x) for x in sent["pair_counts"].to_pylist()])
-    out = [(0, part, k, None, planes(w), planes(p), None, None) for k, w, p in zip(blocks, words, pairs)]
-    out += [(1, part, k, x, None, None, None, None) for k, x in zip(blocks, word_blobs) if x]
+    out = [(0, part, k, None, planes(word_total[w]), planes(pair_total[p]), None, None) for k, w, p in zip(blocks, words, pairs)]
+    out += [(1, part, k, packed(w.astype(np.uint64)), None, None, None, None) for k, w in zip(blocks, words) if len(w)]
+    out.append((5, part, None, packed(word_keys), None, None, None, None))
     low = np.concatenate([np.frombuffer(x, "<u2") for x in sent["heads"].to_pylist()])[first].astype(np.uint64)
     heads, follow = np.unique(((pair_keys & LOW) << np.uint64(16) | low)[pair_total > 0], return_counts=True)
     for p, s in cut_parts(heads << HEAD, parts):
@@ -114,13 +114,10 @@ def _follow(rows: pa.Table) -> pa.Table:
     heads = [unpacked(k) for k, kind in zip(keys, kinds) if kind == 2]
     sums = [from_planes(c) for c, kind in zip(counts, kinds) if kind == 2]
     distinct, total, _, _ = _total(heads or [np.zeros(0, np.uint64)], sums or [np.zeros(0, np.uint64)])
-    out = []
-    for kind, block, part, k in zip(kinds, rows["block"].to_pylist(), rows["part"].to_pylist(), keys):
-        if kind == 1:
-            asked = unpacked(k) >> HEAD
-            at = np.minimum(np.searchsorted(distinct, asked), max(0, len(distinct) - 1))
-            found = np.where(distinct[at] == asked, total[at], np.uint64(0)) if len(distinct) else np.zeros(len(asked), np.uint64)
-            out.append((4, part, block, planes(found)))
+    words = np.concatenate([unpacked(k) >> HEAD for k, kind in zip(keys, kinds) if kind == 5] or [np.zeros(0, np.uint64)])
+    at = np.minimum(np.searchsorted(distinct, words), max(0, len(distinct) - 1))
+    follow = np.where(distinct[at] == words, total[at], np.uint64(0)) if len(distinct) else np.zeros(len(words), np.uint64)
+    out = [(4, part, block, planes(follow[unpacked(k).astype(np.int64)])) for kind, block, part, k in zip(kinds, rows["block"].to_pylist(), rows["part"].to_pylist(), keys) if kind == 1]
     return pa.table([pa.array([r[i] for r in out], f.type) for i, f in enumerate(FOLLOW)], schema=FOLLOW)
 
 
@@ -172,6 +169,6 @@ def score(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     sums = materialize(sent.groupBy("part").applyInArrow(lambda t: _sum(t, parts), SUMS_DDL), "lm-sums")
     total = sums.filter("kind = 3").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = total["n"] or 0, total["v"] or 0
-    follow = sums.filter("kind in (1, 2)").select("kind", "part", "block", "keys", "counts").groupBy("part").applyInArrow(_follow, "kind int, part int, block long, counts binary")
+    follow = sums.filter("kind in (1, 2, 5)").select("kind", "part", "block", "keys", "counts").groupBy("part").applyInArrow(_follow, "kind int, part int, block long, counts binary")
     answers = sums.filter("kind = 0").select("kind", "part", "block", "counts", "pair_counts").unionByName(follow.withColumn("pair_counts", F.lit(None).cast("binary")))
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda d, a: _score(d, a, n, v), OUT_DDL)
