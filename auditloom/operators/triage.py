@@ -65,3 +65,27 @@ def gate(findings: DataFrame, key: str) -> DataFrame:
     rank = choose(F.col("severity"), {"low": 1, "medium": 2, "high": 3, "critical": 4}, 0)
     g = findings.groupBy(key).agg(F.max(rank).alias("worst"))
     return g.withColumn("verdict", F.when(F.col("worst") >= 4, "block").when(F.col("worst") == 3, "fix").when(F.col("worst") == 2, "warn").otherwise("pass"))
+
+
+def confidence(base: Column, quality: Column) -> Column:
+    """base weighed by a debate's quality, within 0 and 1."""
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), base * (0.7 + 0.3 * quality)))
+
+
+def remediation(severity_: Column, exposure: Column) -> Column:
+    return (
+        F.when((severity_ == "critical") & (exposure > 70), "critical").when(severity_.isin("critical", "high") | (exposure > 60), "high")
+        .when((severity_ == "medium") | (exposure > 40), "medium").otherwise("low")
+    )
+
+
+def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """The last row of each key: an aggregate, so it combines map-side."""
+    rest = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("r")).select(key, "r.*")
+
+
+def best_model(models: DataFrame, group: str) -> DataFrame:
+    """Per group the threat model of most items (confidence items / 10, 1 at most), the first of equals."""
+    sure = models.withColumn("confidence", F.least(F.lit(1.0), F.col("items") / 10))
+    return sure.groupBy(group).agg(F.max_by(F.struct("ordinal", "confidence"), F.struct("confidence", -F.col("ordinal"))).alias("b")).select(group, "b.*")

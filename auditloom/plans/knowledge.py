@@ -124,3 +124,18 @@ register(
     lambda s, d: domain(s, d, "findings").select("finding_id", exposure.agent_exposure(F.col("severity"), F.col("location")).alias("exposure")),
     with_sql(["findings"], "SELECT finding_id, least(100.0, CASE severity WHEN 'critical' THEN 90.0 WHEN 'high' THEN 70.0 WHEN 'medium' THEN 50.0 WHEN 'low' THEN 30.0 ELSE 50.0 END + CASE WHEN regexp_matches(lower(location), 'kernel|driver') THEN 15.0 WHEN regexp_matches(lower(location), 'hyper-?v') THEN 20.0 ELSE 0.0 END)::DOUBLE AS exposure FROM findings"),
 )
+register(
+    "remediation_priority",
+    lambda s, d: domain(s, d, "findings").select("finding_id", triage.remediation(F.col("severity"), F.col("score") * 100).alias("priority"), F.round(triage.confidence(F.col("score"), F.col("finding_id") % 11 / 10), 6).alias("confidence")),
+    with_sql(["findings"], "SELECT finding_id, CASE WHEN severity = 'critical' AND score * 100 > 70 THEN 'critical' WHEN severity IN ('critical', 'high') OR score * 100 > 60 THEN 'high' WHEN severity = 'medium' OR score * 100 > 40 THEN 'medium' ELSE 'low' END AS priority, round(least(1.0, greatest(0.0, score * (CAST(0.7 AS DOUBLE) + CAST(0.3 AS DOUBLE) * (finding_id % 11 / 10)))), 6) AS confidence FROM findings"),
+)
+register(
+    "intel_latest",
+    lambda s, d: triage.latest(domain(s, d, "findings").select("address", "finding_id", "score"), "address", "finding_id"),
+    with_sql(["findings"], "SELECT address, finding_id, score FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY finding_id DESC) AS r FROM findings) WHERE r = 1"),
+)
+register(
+    "best_threat_model",
+    lambda s, d: triage.best_model(s.read.parquet(f"{d}/part.parquet").selectExpr("p_brand AS target", "p_partkey AS ordinal", "p_size % 13 AS items"), "target").withColumn("confidence", r6("confidence")),
+    "SELECT target, ordinal, round(confidence, 6) AS confidence FROM (SELECT p_brand AS target, p_partkey AS ordinal, least(1.0, p_size % 13 / 10) AS confidence, row_number() OVER (PARTITION BY p_brand ORDER BY least(1.0, p_size % 13 / 10) DESC, p_partkey) AS r FROM part) WHERE r = 1",
+)
