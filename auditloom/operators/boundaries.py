@@ -147,3 +147,13 @@ def comment_invariants(files: DataFrame) -> DataFrame:
     spoken = comments.select("file_id", F.explode(kinds_in(F.col("text"), INVARIANTS)).alias("kind"), F.lit(6).alias("tenths"))
     asserted = files.select("file_id", F.explode(F.regexp_extract_all("content", F.lit(r"(?:assert|require|assume)\s*\(([^)]*)\)"), F.lit(1))).alias("text"))
     return spoken.unionByName(asserted.select("file_id", F.lit("assertion").alias("kind"), F.lit(8).alias("tenths")))
+
+
+def riskiest(found: DataFrame, n: int = 10) -> DataFrame:
+    """The files with most risks at their boundaries."""
+    return found.groupBy("file_id").agg(F.sum(F.size("risks")).alias("risks")).orderBy(F.desc("risks"), "file_id").limit(n)
+
+
+def plain_text(text: Column) -> Column:
+    """Without tags and script addresses."""
+    return F.regexp_replace(F.regexp_replace(text, "<[^>]*>", ""), "(?i)javascript:", "")

@@ -97,3 +97,10 @@ def narrative(findings: DataFrame) -> DataFrame:
     """finding_id, text: the class and its first three techniques, in order."""
     first = attack_techniques(findings).filter("ordinal < 3").groupBy("finding_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "technique"))), lambda x: x["technique"]).alias("t"))
     return findings.join(first, "finding_id", "left").select("finding_id", F.concat("bug_class", F.lit(" may lead to "), F.coalesce(F.concat_ws(", ", "t"), F.lit("nothing known"))).alias("text"))
+
+
+def action_plan(findings: DataFrame, n: int = 10) -> DataFrame:
+    """The n first non-compliant controls by the finding's severity."""
+    rank = F.create_map(*[F.lit(x) for kv in (("critical", 0), ("high", 1), ("medium", 2), ("low", 3)) for x in kv])[F.col("severity")]
+    todo = compliance(findings).filter("status = 'non-compliant'").join(findings.select("finding_id", "severity"), "finding_id")
+    return todo.orderBy(rank, "finding_id", "framework", "control").limit(n).select("finding_id", "framework", "control", "severity")

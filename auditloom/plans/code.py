@@ -137,3 +137,13 @@ register(
         c="SELECT file_id, unnest(regexp_extract_all(content, '(?://|#)\\s*([^\\n]+)', 1)) AS t FROM f",
     ),
 )
+register(
+    "riskiest_files",
+    lambda s, d: boundaries.riskiest(boundaries.boundaries(domain(s, d, "code"), cp.FFI, cp.FFI_RISKS, 500)),
+    with_sql(["code"], "SELECT file_id, CAST(sum(CASE WHEN risks = '' THEN 0 ELSE len(string_split(risks, ',')) END) AS BIGINT) AS risks FROM bo GROUP BY 1 ORDER BY risks DESC, file_id LIMIT 10", **boundary_sql(cp.FFI, cp.FFI_RISKS, 500)),
+)
+register(
+    "plain_text",
+    lambda s, d: s.read.parquet(f"{d}/pages.parquet").select("page_id", F.md5(boundaries.plain_text(F.col("html"))).alias("md5")),
+    "SELECT page_id, md5(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '(?i)javascript:', '', 'g')) AS md5 FROM pages",
+)

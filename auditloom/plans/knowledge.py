@@ -139,3 +139,9 @@ register(
     lambda s, d: triage.best_model(s.read.parquet(f"{d}/part.parquet").selectExpr("p_brand AS target", "p_partkey AS ordinal", "p_size % 13 AS items"), "target").withColumn("confidence", r6("confidence")),
     "SELECT target, ordinal, round(confidence, 6) AS confidence FROM (SELECT p_brand AS target, p_partkey AS ordinal, least(1.0, p_size % 13 / 10) AS confidence, row_number() OVER (PARTITION BY p_brand ORDER BY least(1.0, p_size % 13 / 10) DESC, p_partkey) AS r FROM part) WHERE r = 1",
 )
+register(
+    "action_plan",
+    lambda s, d: enrich.action_plan(domain(s, d, "findings")),
+    with_sql(["findings"], "SELECT finding_id, framework, control, severity FROM co JOIN findings USING (finding_id) WHERE status = 'non-compliant' ORDER BY CASE severity WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END, finding_id, framework, control LIMIT 10", **COMPLIANCE),
+)
+register("prioritized_order", lambda s, d: _prioritized(s, d).withColumn("priority", r6("priority")).orderBy(F.desc("priority"), "finding_id").limit(50).select("finding_id", "priority"), with_sql(["findings", "intel"], "SELECT finding_id, round(priority, 6) AS priority FROM bd ORDER BY round(priority, 6) DESC, finding_id LIMIT 50", **PRIORITY))
