@@ -26,23 +26,43 @@ def band_join(findings: DataFrame, truth: DataFrame, tolerance: int = TOLERANCE)
     return a.join(b, ["file", "bucket"]).filter(F.abs(F.col("line") - F.col("at")) <= tolerance).select("finding_id", "vuln_id", (F.col("line") - F.col("at")).alias("offset"))
 
 
+def _plain(c: str) -> Column:
+    return F.regexp_replace(c, "[_-]", "")
+
+
 def scored_pairs(findings: DataFrame, truth: DataFrame) -> DataFrame:
-    """finding_id, vuln_id, points (tenths: 5 same location or 3 within the band, 3 same CWE, 2 class in class) of 5 or more.
-
-    Five points need the place, or CWE and class: so candidates come from two equality joins, never from all pairs."""
-    plain = lambda c: F.regexp_replace(c, "[_-]", "")
-    f = findings.select("finding_id", "location", F.upper("cwe_id").alias("cwe"), plain("bug_class").alias("cls"))
-    t = truth.select("vuln_id", F.col("location").alias("t_location"), F.upper("cwe_id").alias("t_cwe"), plain("category").alias("t_cls"))
-    same_class = F.contains("cls", F.col("t_cls")) | F.contains(F.col("t_cls"), F.col("cls"))
-    near = band_join(findings, truth).select("finding_id", "vuln_id", F.lit(True).alias("near"))
-    by_cwe = f.join(t, F.col("cwe") == F.col("t_cwe")).filter(same_class).select("finding_id", "vuln_id", F.lit(False).alias("near"))
-    exact = f.join(t, F.col("location") == F.col("t_location")).select("finding_id", "vuln_id", F.lit(False).alias("near"))
-    pairs = near.unionByName(by_cwe).unionByName(exact).groupBy("finding_id", "vuln_id").agg(F.max("near").alias("near"))
-    full = pairs.join(f, "finding_id").join(t, "vuln_id")
-    place = F.when(F.col("location") == F.col("t_location"), 5).when(F.col("near"), 3).otherwise(0)
-    points = place + F.when(F.col("cwe") == F.col("t_cwe"), 3).otherwise(0) + F.when(same_class, 2).otherwise(0)
-    kind = F.when((F.col("place") > 0) & (F.col("points") >= 8), "exact").when(F.col("place") > 0, "fuzzy").otherwise("cwe_only")
-    return full.withColumn("place", place).withColumn("points", points).filter("points >= 5").select("finding_id", "vuln_id", "points", kind.alias("match_type"))
+    """finding_id, vuln_id, points (tenths: 5 same location or 3 within the band, 3 same CWE, 2 class in class) of 5 or more,
+    match_type, both (same CWE and class), of pairs whose places agree: two equality joins, never all pairs.
+
+    Pairs without a place that have CWE and class in common (5 points) grow with the product of a CWE's rows; they are not
+    listed here but counted by ``match_summary``."""
+    f = findings.select("finding_id", "location", F.upper("cwe_id").alias("cwe"), _plain("bug_class").alias("cls"))
+    t = truth.select("vuln_id", F.col("location").alias("t_location"), F.upper("cwe_id").alias("t_cwe"), _plain("category").alias("t_cls"))
+    near = band_join(findings, truth).select("finding_id", "vuln_id")
+    exact = f.join(t, F.col("location") == F.col("t_location")).select("finding_id", "vuln_id")
+    full = near.unionByName(exact).distinct().join(f, "finding_id").join(t, "vuln_id")
+    place = F.when(F.col("location") == F.col("t_location"), 5).otherwise(3)
+    cwe, cls = F.coalesce(F.col("cwe") == F.col("t_cwe"), F.lit(False)), _same_class()
+    points = place + F.when(cwe, 3).otherwise(0) + F.when(cls, 2).otherwise(0)
+    kind = F.when(F.col("points") >= 8, "exact").otherwise("fuzzy")
+    return full.withColumn("points", points).withColumn("both", cwe & cls).filter("points >= 5").select("finding_id", "vuln_id", "points", kind.alias("match_type"), "both")
+
+
+def _same_class() -> Column:
+    return F.contains("cls", F.col("t_cls")) | F.contains(F.col("t_cls"), F.col("cls"))
+
+
+def match_summary(findings: DataFrame, truth: DataFrame) -> DataFrame:
+    """match_type, points, n, ids (sum of finding ids) of all scored pairs. Those by CWE and class alone are products of group
+    sizes, less the ones that have a place too."""
+    placed = materialize(scored_pairs(findings, truth), "placed")
+    listed = placed.groupBy("match_type", "points").agg(F.count("*").alias("n"), F.sum("finding_id").alias("ids"))
+    f = findings.groupBy(F.upper("cwe_id").alias("cwe"), _plain("bug_class").alias("cls")).agg(F.count("*").alias("fn"), F.sum("finding_id").alias("fids"))
+    t = truth.groupBy(F.upper("cwe_id").alias("t_cwe"), _plain("category").alias("t_cls")).agg(F.count("*").alias("tn"))
+    product = f.join(t, F.col("cwe") == F.col("t_cwe")).filter(_same_class()).select((F.col("fn") * F.col("tn")).alias("n"), (F.col("fids") * F.col("tn")).alias("ids"))
+    less = placed.filter("both").select(F.lit(-1).cast("long").alias("n"), (-F.col("finding_id")).alias("ids"))
+    rest = product.unionByName(less).agg(F.sum("n").alias("n"), F.sum("ids").alias("ids")).filter("n > 0")
+    return listed.unionByName(rest.select(F.lit("cwe_only").alias("match_type"), F.lit(5).alias("points"), "n", "ids"))
 
 
 def greedy_match(pairs: DataFrame) -> DataFrame:

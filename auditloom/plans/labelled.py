@@ -24,10 +24,10 @@ PAIRS = {
 }
 register(
     "match_pairs",
-    lambda s, d: evaluate.scored_pairs(domain(s, d, "findings"), domain(s, d, "ground_truth")).groupBy("match_type", "points").agg(F.count("*").alias("n"), F.sum("finding_id").alias("ids")),
+    lambda s, d: evaluate.match_summary(domain(s, d, "findings"), domain(s, d, "ground_truth")),
     with_sql(["findings", "ground_truth"], "SELECT CASE WHEN place > 0 AND place + c + b >= 8 THEN 'exact' WHEN place > 0 THEN 'fuzzy' ELSE 'cwe_only' END AS match_type, place + c + b AS points, count(*) AS n, CAST(sum(finding_id) AS BIGINT) AS ids FROM sp WHERE place + c + b >= 5 GROUP BY 1, 2", **PLACED, **PAIRS),
 )
-register("greedy_match", lambda s, d: evaluate.greedy_match(evaluate.scored_pairs(domain(s, d, "findings"), domain(s, d, "ground_truth")).filter("match_type <> 'cwe_only'")))
+register("greedy_match", lambda s, d: evaluate.greedy_match(evaluate.scored_pairs(domain(s, d, "findings"), domain(s, d, "ground_truth"))))
 GUESS = "length(text) % 3 = 0"
 
 
