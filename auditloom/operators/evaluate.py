@@ -10,6 +10,8 @@ from auditloom.functions.storage import materialize
 from auditloom.operators.graph import connected_components
 
 TOLERANCE = 5
+#: Rows of either side that meet in one cell of a hot base name and line bucket.
+CELL = 1000
 
 
 def file_and_line(location: Column) -> tuple[Column, Column]:
@@ -18,12 +20,28 @@ def file_and_line(location: Column) -> tuple[Column, Column]:
 
 
 def band_join(findings: DataFrame, truth: DataFrame, tolerance: int = TOLERANCE) -> DataFrame:
-    """Pairs of one file whose lines are at most tolerance apart: an equality join on file and line bucket."""
+    """Pairs whose lines are at most tolerance apart and where the finding's path ends with the base name (last part) of the
+    labelled one, as equal paths do: an equality join on base name and line bucket.
+
+    A base name holds no slash, so it can only end the finding's own base name: distinct names of findings are met with those
+    of labels by their suffixes. Keys of many pairs are dealt into cells where every two rows meet once."""
     width = tolerance + 1
-    f, line = file_and_line(F.col("location"))
-    a = findings.select("finding_id", f.alias("file"), line.alias("line")).filter("line is not null").withColumn("bucket", F.explode(F.expr(f"array(line div {width} - 1, line div {width}, line div {width} + 1)")))
-    b = truth.select("vuln_id", f.alias("file"), line.alias("at")).filter("at is not null").withColumn("bucket", F.expr(f"at div {width}"))
-    return a.join(b, ["file", "bucket"]).filter(F.abs(F.col("line") - F.col("at")) <= tolerance).select("finding_id", "vuln_id", (F.col("line") - F.col("at")).alias("offset"))
+    file, line = file_and_line(F.col("location"))
+    a = findings.select("finding_id", F.substring_index(file, "/", -1).alias("name"), line.alias("line")).filter("line is not null")
+    b = truth.select("vuln_id", F.substring_index(file, "/", -1).alias("base"), line.alias("at")).filter("at is not null").withColumn("bucket", F.expr(f"at div {width}"))
+    bases = b.select("base").distinct()
+    longest = F.broadcast(bases.agg(F.coalesce(F.max(F.length("base")), F.lit(0)).alias("longest")))  # one row
+    starts = F.expr("sequence(greatest(1, length(name) - longest + 1), length(name) + 1)")
+    ends = a.select("name").distinct().join(longest, F.lit(True)).select("name", F.explode(F.transform(starts, lambda i: F.col("name").substr(i, F.length("name")))).alias("base"))
+    a = a.join(ends.join(bases, "base"), "name").withColumn("bucket", F.explode(F.expr(f"array(line div {width} - 1, line div {width}, line div {width} + 1)")))
+    key = ["base", "bucket"]
+    sizes = a.groupBy(key).agg(F.count("*").alias("m")).join(b.groupBy(key).agg(F.count("*").alias("n")), key).filter(F.col("m") * F.col("n") > CELL * CELL)
+    sizes = F.broadcast(sizes.select(*key, F.ceil(F.col("m") / CELL).alias("p"), F.ceil(F.col("n") / CELL).alias("q")))  # a row for CELL rows at least
+    own = lambda c, k: F.pmod(F.xxhash64(c), F.coalesce(k, F.lit(1)))
+    each = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(k), F.lit(1)) - 1))
+    a = a.join(sizes, key, "left").withColumn("i", own("finding_id", F.col("p"))).withColumn("j", each("q")).drop("p", "q")
+    b = b.join(sizes, key, "left").withColumn("j", own("vuln_id", F.col("q"))).withColumn("i", each("p")).drop("p", "q")
+    return a.join(b, [*key, "i", "j"]).filter(F.abs(F.col("line") - F.col("at")) <= tolerance).select("finding_id", "vuln_id", (F.col("line") - F.col("at")).alias("offset"))
 
 
 def _plain(c: str) -> Column:
