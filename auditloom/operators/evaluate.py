@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,23 +85,51 @@ def match_summary(findings: DataFrame, truth: DataFrame) -> DataFrame:
     return listed.unionByName(rest.select(F.lit("cwe_only").alias("match_type"), F.lit(5).alias("points"), "n", "ids"))
 
 
-def greedy_match(pairs: DataFrame) -> DataFrame:
+def greedy_match(pairs: DataFrame, findings: DataFrame | None = None, truth: DataFrame | None = None) -> DataFrame:
     """One-to-one assignment in the order of findings: each takes the free vulnerability of most points, the first of equals.
 
+    With findings and truth, pairs that agree in CWE and class alone (5 points) count too. They are not listed: a finding has a
+    row for each group (CWE and class) of vulnerabilities that it is compatible with, a vulnerability one for its group.
     A finding's choice only matters to those it is connected with, so components are folded apart from each other; the order
-    within one is sequential by definition."""
-    pairs = materialize(pairs, "scored")
-    nodes = connected_components(pairs.select((F.col("finding_id") * 2).alias("a"), (F.col("vuln_id") * 2 + 1).alias("b")))
-    keyed = pairs.join(nodes, F.col("finding_id") * 2 == F.col("node"))
+    within one is sequential by definition, and one task holds the rows of one component."""
+    rows = pairs.select("finding_id", "vuln_id", F.col("points").cast("int").alias("points"), "match_type", F.lit(None).cast("string").alias("cell"))
+    if findings is not None and truth is not None:
+        f = findings.select("finding_id", F.upper("cwe_id").alias("cwe"), _plain("bug_class").alias("cls"))
+        t = truth.select("vuln_id", F.upper("cwe_id").alias("t_cwe"), _plain("category").alias("t_cls"))
+        cell = F.to_json(F.array("t_cwe", "t_cls")).alias("cell")
+        kinds = f.select("cwe", "cls").distinct().join(t.select("t_cwe", "t_cls").distinct(), F.col("cwe") == F.col("t_cwe")).filter(_same_class()).select("cwe", "cls", cell)
+        asking = f.join(kinds, ["cwe", "cls"]).select("finding_id", "cell")
+        offered = t.select("vuln_id", cell).join(kinds.select("cell").distinct(), "cell")
+        rows = rows.unionByName(asking, allowMissingColumns=True).unionByName(offered, allowMissingColumns=True)
+    rows = materialize(rows, "scored")
+    finding, vuln, cell = F.col("finding_id") * 3, F.col("vuln_id") * 3 + 1, F.pmod(F.xxhash64("cell"), F.lit(1 << 60)) * 3 + 2
+    edges = rows.select(F.coalesce(finding, vuln).alias("a"), F.when(F.col("cell").isNotNull(), cell).otherwise(vuln).alias("b"))
+    # No nulls among the ids: pandas would read the column as floats.
+    keyed = rows.join(connected_components(edges), F.coalesce(finding, vuln) == F.col("node"))
+    keyed = keyed.withColumn("role", F.when(F.col("cell").isNull(), "listed").when(F.col("vuln_id").isNull(), "asks").otherwise("offered")).na.fill(0, ["finding_id", "vuln_id", "points"])
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        taken, out = set(), []
-        for finding, rows in pdf.sort_values(["finding_id", "vuln_id"]).groupby("finding_id", sort=True):
-            free = rows[~rows["vuln_id"].isin(taken)]
-            if len(free):
-                best = free.loc[free["points"].idxmax()]
-                taken.add(best["vuln_id"])
-                out.append((finding, best["vuln_id"], best["points"], best["match_type"]))
+        listed, asked, offered = defaultdict(list), defaultdict(list), defaultdict(list)
+        part = lambda role, *columns: pdf[pdf["role"] == role].sort_values("vuln_id")[list(columns)].itertuples(index=False)
+        for f, v, points, kind in part("listed", "finding_id", "vuln_id", "points", "match_type"):
+            listed[f].append((-points, v, kind))
+        for f, cell in part("asks", "finding_id", "cell"):
+            asked[f].append(cell)
+        for v, cell in part("offered", "vuln_id", "cell"):
+            offered[cell].append(v)
+        taken, first, out = set(), defaultdict(int), []
+        for f in sorted(listed.keys() | asked.keys()):
+            free = [x for x in listed[f] if x[1] not in taken]
+            for cell in asked[f]:
+                vulns = offered[cell]
+                while first[cell] < len(vulns) and vulns[first[cell]] in taken:
+                    first[cell] += 1
+                if first[cell] < len(vulns):
+                    free.append((-5, vulns[first[cell]], "cwe_only"))
+            if free:
+                points, v, kind = min(free, key=lambda x: x[:2])
+                taken.add(v)
+                out.append((f, v, -points, kind))
         return pd.DataFrame(out, columns=["finding_id", "vuln_id", "points", "match_type"])
 
     return keyed.groupBy("component").applyInPandas(fold, "finding_id long, vuln_id long, points int, match_type string")

@@ -27,3 +27,27 @@ def test_band_join_by_base_name(spark, monkeypatch):
     for cell in (1000, 3):
         monkeypatch.setattr(evaluate, "CELL", cell)
         assert sorted((r["finding_id"], r["vuln_id"]) for r in evaluate.band_join(f, t).collect()) == want
+
+
+def test_greedy_match_by_brute_force(spark):
+    draw = random.Random(5)
+    cwes, classes = ["CWE-1", "cwe-1", "CWE-2", "CWE-3", None], ["race", "race_condition", "auth-bypass", "auth_bypass", "x"]
+    found = [(i, p, draw.choice(cwes), draw.choice(classes)) for i, p in enumerate(places(3, 120))]
+    labels = [(i, p, draw.choice(cwes), draw.choice(classes).replace("-", "_")) for i, p in enumerate(places(4, 70))]
+    taken, want = set(), []
+    for i, place, cwe, cls in found:
+        best = (0, None)
+        for j, at, t_cwe, t_cls in labels:
+            points = 5 if place == at else 3 if near(place, at) else 0
+            points += 3 * bool(cwe and t_cwe and cwe.upper() == t_cwe.upper())
+            a, b = t_cls.replace("_", ""), cls.replace("_", "").replace("-", "")
+            points += 2 * (a in b or b in a)
+            if j not in taken and points >= 5 and points > best[0]:
+                best = (points, j, "cwe_only" if place != at and not near(place, at) else "exact" if points >= 8 else "fuzzy")
+        if best[1] is not None:
+            taken.add(best[1])
+            want.append((i, best[1], best[0], best[2]))
+    assert {kind for *_, kind in want} == {"exact", "fuzzy", "cwe_only"}
+    f = spark.createDataFrame(found, "finding_id long, location string, cwe_id string, bug_class string")
+    t = spark.createDataFrame(labels, "vuln_id long, location string, cwe_id string, category string")
+    assert sorted(map(tuple, evaluate.greedy_match(evaluate.scored_pairs(f, t), f, t).collect())) == want
