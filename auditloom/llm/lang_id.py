@@ -4,8 +4,8 @@ Features are the character n-grams of one to NGRAM characters of the whole lower
 weighted (1 + log tf) * idf and scaled to length one. idf comes from the document frequencies of all training documents,
 summed as rows (column, count), so what reaches the driver is one row a column whatever the corpus. Weights are learned by
 follow-the-regularised-leader (per-coordinate rates, elastic net: L1 makes them sparse, L2 shrinks them) on a bounded sample
-of labelled documents: at most SAMPLE, shared out evenly over the languages, each language's chosen by a hash of the id. One
-in HOLD of the sample is kept for the temperature, the divisor of the scores that makes its likelihood greatest; the
+of labelled documents: at most SAMPLE (one a language at least), shared out evenly over the languages, what small ones leave
+over to the larger, each language's chosen by a hash of the id. One in HOLD of the sample is kept for the temperature, the divisor of the scores that makes its likelihood greatest; the
 probability of the predicted language under it is the score.
 
 Null text, or text without a letter: ``und``, score 0. Rows without doc_id are predicted, not learned from, held_out false.
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import chunks, id_crc, rows
@@ -146,11 +146,31 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text, lang, hold in zip(batch.column("text"), batch.column("lang").to_pylist(), batch.column("hold").to_pylist()):
+        for text, *known in zip(batch.column("text"), *(batch.column(c).to_pylist() for c in ("h", "doc_id", "lang", "hold"))):
             if has_letter(text.as_py()):
                 tf = counts([text.as_py()])[0]
                 at = np.flatnonzero(tf)
-                yield pa.record_batch([pa.array([lang]), pa.array([hold]), pa.array([at.astype("<u2").tobytes()], pa.binary()), pa.array([tf[at].astype("<u4").tobytes()], pa.binary())], names=["lang", "hold", "at", "tf"])
+                yield pa.record_batch([*(pa.array([x]) for x in known), pa.array([at.astype("<u2").tobytes()], pa.binary()), pa.array([tf[at].astype("<u4").tobytes()], pa.binary())], names=["h", "doc_id", "lang", "hold", "at", "tf"])
+
+
+def shares(sizes: dict[str, int], sample: int) -> dict[str, int]:
+    """Rows of each language: all of a small one, and evenly what is left over."""
+    out, left = {}, sample
+    for k, (lang, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(n, max(1, left // (len(sizes) - k)))
+        left -= out[lang]
+    return out
+
+
+def sampled(labelled: DataFrame, sizes: dict[str, int], sample: int) -> DataFrame:
+    """h, doc_id, text, lang of each language's rows of least hash. A limit of the hash, six deviations above the share, leaves
+    few rows to number."""
+    quota = shares(sizes, sample)
+    of = lambda values: F.create_map(*[F.lit(x) for kv in values.items() for x in kv])[F.col("lang")]
+    limits = {lang: int(min(1.0, (q + 6 * q**0.5 + 20) / sizes[lang]) * (1 << 30)) for lang, q in quota.items()}
+    few = labelled.withColumn("h", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30))).filter(F.col("h") < of(limits))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text"))
+    return few.withColumn("place", place).filter(F.col("place") <= of(quota)).select("h", "doc_id", "text", "lang")
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
@@ -163,12 +183,9 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     found = {r["c"]: r["n"] for r in labelled.select("text").mapInArrow(_frequencies, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).collect()}  # a row a column
     df = np.array([found.get(c, 0) for c in range(DIM)])
     idf = np.log((1 + found.get(DIM, 0)) / (1 + df)) + 1
-    each = max(1, sample // len(labels))
-    h = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30))
-    limit = F.create_map(*[F.lit(x) for lang in labels for x in (lang, int(min(1.0, 1.2 * each / sizes[lang]) * (1 << 30)))])
-    some = labelled.withColumn("h", h).filter(F.col("h") < limit[F.col("lang")])
-    some = some.orderBy("h", "doc_id").limit(sample).select("text", "lang", (F.col("h") % HOLD == 0).alias("hold"))
-    rows_ = some.mapInArrow(_examples, "lang string, hold boolean, at binary, tf binary").collect()  # SAMPLE rows at most
+    some = sampled(labelled, sizes, sample).withColumn("hold", F.col("h") % HOLD == 0)
+    rows_ = some.mapInArrow(_examples, "h long, doc_id long, lang string, hold boolean, at binary, tf binary").collect()  # SAMPLE rows at most
+    rows_.sort(key=lambda r: (r["h"], r["doc_id"], r["lang"], r["at"], r["tf"]))  # whatever the partitions
     model = Model(labels, idf)
     parts: dict[bool, list] = {False: [], True: []}
     for r in rows_:
