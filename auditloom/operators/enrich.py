@@ -94,9 +94,10 @@ def class_of_impact(text: Column) -> Column:
 
 
 def narrative(findings: DataFrame) -> DataFrame:
-    """finding_id, text: the class and its first three techniques, in order."""
-    first = attack_techniques(findings).filter("ordinal < 3").groupBy("finding_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "technique"))), lambda x: x["technique"]).alias("t"))
-    return findings.join(first, "finding_id", "left").select("finding_id", F.concat("bug_class", F.lit(" may lead to "), F.coalesce(F.concat_ws(", ", "t"), F.lit("nothing known"))).alias("text"))
+    """finding_id, text: the class and the first three of its techniques and then the CWE's, in order."""
+    ranked = F.slice(F.array_sort(F.collect_list(F.struct("ordinal", "technique"))), 1, 3)
+    first = attack_techniques(findings).groupBy("finding_id").agg(F.transform(ranked, lambda x: x["technique"]).alias("t"))
+    return findings.join(first, "finding_id", "left").select("finding_id", F.concat("bug_class", F.lit(" may lead to "), F.coalesce(F.array_join("t", ", "), F.lit("nothing known"))).alias("text"))
 
 
 def action_plan(findings: DataFrame, n: int = 10) -> DataFrame:
