@@ -20,13 +20,22 @@ def control_coverage(controls: DataFrame) -> DataFrame:
 
 
 def suggest_techniques(requirements: DataFrame, controls: DataFrame) -> DataFrame:
-    """requirements: requirement -> techniques whose name or definition holds one of its words of more than five letters.
-
-    Words are matched with the distinct words of the catalog by equality of prefixes, never text by text."""
-    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[^a-z]+"), lambda w: F.length(w) > 5))
-    asked = requirements.select("requirement").distinct().withColumn("word", F.explode(words(F.col("requirement"))))
-    held = controls.select("technique_id", F.explode(words(F.concat_ws(" ", "name", "definition"))).alias("word")).distinct()
-    return asked.join(held, "word").select("requirement", "technique_id").distinct()
+    """requirements: requirement -> techniques of which a definition contains one of its words of more than five characters, or
+    the name one of more than four. Words are parted by white space.
+
+    A word of a requirement lies within one of a catalog text, so distinct words are matched with distinct words, never text by
+    text: they meet by the asked word's rarest trigram in the catalog, and contains decides."""
+    words = lambda c: F.array_distinct(F.split(F.lower(c), r"(?U)\s+"))
+    grams = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.col(c).substr(i, F.lit(3)))))
+    asked = requirements.select("requirement").distinct().withColumn("word", F.explode(words(F.col("requirement")))).filter(F.length("word") > 4)
+    held = lambda c, least: controls.select("technique_id", F.explode(words(F.col(c))).alias("held"), F.lit(least).alias("least"))
+    held = held("name", 5).unionByName(held("definition", 6)).filter(F.length("held") >= F.col("least")).distinct()
+    index = held.select("held").distinct().withColumn("gram", grams("held"))
+    rarest = asked.select("word").distinct().withColumn("gram", grams("word")).join(index.groupBy("gram").agg(F.count("*").alias("n")), "gram")
+    rarest = rarest.groupBy("word").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    within = rarest.join(index, "gram").filter(F.contains("held", "word")).select("word", "held")
+    techniques = within.join(held, "held").filter(F.length("word") >= F.col("least")).select("word", "technique_id").distinct()
+    return asked.join(techniques, "word").select("requirement", "technique_id").distinct()
 
 
 def verification_report(results: DataFrame) -> DataFrame:
