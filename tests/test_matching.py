@@ -25,7 +25,7 @@ def test_band_join_by_base_name(spark, monkeypatch):
     want = sorted((i, j) for i, a in enumerate(found) for j, b in enumerate(labels) if near(a, b))
     assert any(found[i].rsplit(":", 1)[0] != labels[j].rsplit(":", 1)[0] for i, j in want)
     for cell in (1000, 3):
-        monkeypatch.setattr(evaluate, "CELL", cell)
+        monkeypatch.setattr(evaluate, "CELL", cell, raising=False)
         assert sorted((r["finding_id"], r["vuln_id"]) for r in evaluate.band_join(f, t).collect()) == want
 
 
