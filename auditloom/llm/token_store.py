@@ -31,6 +31,8 @@ from auditloom.llm.tokenization import encoder
 
 SHARD_BYTES = 8 << 20
 LEVELS = 24
+#: Characters of the text by which rows of one id are dealt into ranges.
+PREFIX = 64
 #: Texts are encoded in groups of about so many bytes: the more, the fewer distinct pieces in all.
 ENCODE_BYTES = 10_000_000
 
@@ -192,8 +194,10 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
     """Encode whole texts and write the shard table at path, documents in ascending doc_id order over parts and shards.
 
-    One range exchange of the texts; each task encodes and writes its own range, shard by shard."""
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    One range exchange of the texts; each task encodes and writes its own range, shard by shard. Ranges go by id and the first
+    characters of the text, so that an id of many rows, null among them, is spread; rows are streamed, never held."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ranged = texts.repartitionByRange("doc_id", F.substring("text", 1, PREFIX)).sortWithinPartitions("doc_id", "text")
     shards = ranged.mapInArrow(lambda it: _encode(it, tokenizer, end_id), SHARD_DDL)
     shards.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(f"{path}/shards")
     spark = docs.sparkSession
@@ -224,15 +228,19 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     return found.join(spark.read.parquet(f"{path}/parts"), "part").select("doc_id", (F.col("part_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def lookup(spark: SparkSession, path: str, key: int) -> list[list[int]]:
-    """The ids of each document of one key; Parquet statistics leave the shards whose range holds it."""
+def documents_of(spark: SparkSession, path: str, key: int) -> DataFrame:
+    """part, first_token, row, ids: the documents of one key in order; Parquet statistics leave the shards whose range holds it."""
     found = spark.read.parquet(f"{path}/shards").filter(F.col("first_key").isNotNull() & (F.col("first_key") <= key) & (F.col("last_key") >= key))
 
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for ids in Shard(row).get(key):
-                    yield pa.record_batch([pa.array([row["part"]], pa.int32()), pa.array([row["first_token"]], pa.int64()), pa.array([ids.tolist()], pa.list_(pa.int64()))], names=["part", "first_token", "ids"])
+                for k, ids in enumerate(Shard(row).get(key)):
+                    yield pa.record_batch([pa.array([row["part"]], pa.int32()), pa.array([row["first_token"]], pa.int64()), pa.array([k], pa.int64()), pa.array([ids.tolist()], pa.list_(pa.int64()))], names=["part", "first_token", "row", "ids"])
+
+    return found.mapInArrow(get, "part int, first_token long, row long, ids array<long>").orderBy("part", "first_token", "row")
 
-    got = found.mapInArrow(get, "part int, first_token long, ids array<long>").orderBy("part", "first_token")
-    return [r["ids"] for r in got.collect()]  # the documents of one key
+
+def lookup(spark: SparkSession, path: str, key: int) -> list[list[int]]:
+    """The ids of each document of a key of few rows; documents_of has those of any key as a table."""
+    return [r["ids"] for r in documents_of(spark, path, key).collect()]

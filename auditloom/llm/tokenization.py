@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -18,16 +20,18 @@ import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries of a generation of a worker's memo; it holds two, and pieces met again move to the young one. Bounds memory, never the result.
-MEMO_ENTRIES = 330_000
-#: Pieces longer than this are encoded each time.
+#: Entries of a worker's memo of one kind; a full one starts anew with the strings of its last call. Bounds memory, never the result.
+MEMO_ENTRIES = 500_000
+#: Strings longer than this are encoded each time.
 MEMO_CHARS = 24
 
-#: The blank in the byte alphabet, and how many pieces go to the model at a time.
-BLANK = "Ġ"
+#: Blank and newline in the byte alphabet, and how many words go to the model at a time.
+BLANK, NEWLINE = "Ġ", "Ċ"
 JOINED = 200
 #: A blank before white space or the end, for Arrow; it takes in all white space of the library's rule.
 BLANK_BEFORE_SPACE = r" (?:[\s\x0b\x1c-\x1f\x{85}\pZ]|\z)"
+#: Signs after the letters of a word; they are a pre-token of their own.
+SIGNS = string.punctuation
 
 _UNSAFE_BLANK = re.compile(r" (?=\s|\Z)")
 
@@ -53,6 +57,40 @@ def pieces_of(text: str) -> list[str]:
     return out
 
 
+class Memo:
+    """The ids of strings, kept as Arrow columns: known ones are found by one hash join, only new ones reach the library."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+        self.encode = encode
+        self.keys, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def get(self, strings: pa.Array) -> pa.Array:
+        coded = strings.dictionary_encode()
+        distinct = coded.dictionary
+        at = pc.index_in(distinct, value_set=self.keys)
+        new = pc.is_null(at)
+        fresh = distinct.filter(new)
+        ids = pa.concat_arrays([self.ids, pa.array(self.encode(fresh.to_pylist()), pa.large_binary())])
+        place = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        place[new.to_numpy(zero_copy_only=False)] = len(self.keys) + np.arange(len(fresh))
+        found = ids.take(pa.array(place))
+        full = len(self.keys) + len(fresh) > MEMO_ENTRIES
+        short = pc.less_equal(pc.utf8_length(distinct if full else fresh), MEMO_CHARS)
+        if full:
+            self.keys, self.ids = distinct.filter(short), found.filter(short)
+        else:
+            self.keys = pa.concat_arrays([self.keys, fresh.filter(short)])
+            self.ids = pa.concat_arrays([self.ids, ids.slice(len(ids) - len(fresh)).filter(short)])
+        return found.take(coded.indices)
+
+
+def _back(second: np.ndarray) -> np.ndarray:
+    """Where each row stands once those of the second kind are put behind the others."""
+    out = np.empty(len(second), np.int64)
+    out[np.argsort(second, kind="stable")] = np.arange(len(second))
+    return out
+
+
 class Encoder:
     """encode(texts) equals encode_batch(texts, add_special_tokens=False) with truncation and padding off."""
 
@@ -74,10 +112,11 @@ class Encoder:
         self.bare = Tokenizer(self.tok.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.begins = np.zeros(size, bool)
-        self.begins[[i for token, i in self.tok.get_vocab(with_added_tokens=False).items() if token[0] == BLANK]] = True
-        self.ends = {c: np.asarray(self.tok.encode(c, add_special_tokens=False).ids, self.dtype).tobytes() for c in ".,"}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.begins[[i for token, i in self.tok.get_vocab(with_added_tokens=False).items() if token[0] in (BLANK, NEWLINE)]] = True
+        self.after_blank = Memo(lambda words: self._letters(words, BLANK))
+        self.after_newline = Memo(lambda words: self._letters(words, NEWLINE + " "))
+        self.signs = Memo(self._plain)
+        self.other = Memo(lambda words: self._plain([" " + w for w in words]))
 
     def _split(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
         raw, at = ids.tobytes(), (starts * self.dtype.itemsize).tolist()
@@ -88,43 +127,46 @@ class Encoder:
         ids = np.fromiter(chain.from_iterable(found), self.dtype)
         return self._split(ids, np.cumsum([0, *map(len, found)])[:-1])
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """The ids of a blank and each word. A blank and letters are one pre-token: such words go to the library's model many
-        at a time, in its byte alphabet, and a token that begins with the blank begins the next word."""
-        plain = [w for w in words if w.isalpha()]
-        rest = [w for w in words if not w.isalpha()]
-        mapped = [BLANK + (w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)) for w in plain]
+    def _letters(self, words: list[str], before: str) -> list[bytes]:
+        """The ids of words of letters after a blank, with which they are one pre-token, or after a newline, which is its own.
+        They go to the library's model many at a time, in its byte alphabet; a token that begins so begins the next word."""
+        mapped = [before + (w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)) for w in words]
         joined = [" ".join(mapped[a : a + JOINED]) for a in range(0, len(mapped), JOINED)]
         found = [e.ids for e in self.bare.encode_batch_fast(joined, add_special_tokens=False)]
         ids = np.fromiter(chain.from_iterable(found), self.dtype)
-        out = dict(zip(plain, self._split(ids, np.flatnonzero(self.begins[ids]))))
-        out.update(zip(rest, self._plain([" " + w for w in rest])))
-        return list(map(out.__getitem__, words))
-
-    def words(self, distinct: list[str]) -> list[bytes]:
-        """The ids of a blank and each word, from the memo or the library."""
-        if len(self.young) > MEMO_ENTRIES:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        out = list(map(young.get, distinct))
-        missing = [i for i, v in enumerate(out) if v is None]
-        need = set(map(distinct.__getitem__, missing))
-        known = need & old.keys()
-        young.update(zip(known, map(old.__getitem__, known)))
-        fresh = list(need - known)
-        young.update(zip(fresh, self._encode(fresh)))
-        for i in missing:
-            out[i] = young[distinct[i]]
-        for w in fresh:
-            if len(w) > MEMO_CHARS:
-                del young[w]
-        return out
+        return self._split(ids, np.flatnonzero(self.begins[ids]))
+
+    def words(self, distinct: pa.Array) -> pa.Array:
+        """The ids of a blank and each word. Words of letters, then signs, once or again after single newlines are put
+        together from the ids of these parts, each of which is a pre-token."""
+        lists = pc.split_pattern(distinct, "\n")
+        lines, cuts = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        letters = pc.utf8_rtrim(lines, characters=SIGNS)
+        simple = np.logical_and.reduceat(pc.utf8_is_alpha(letters).to_numpy(zero_copy_only=False), cuts[:-1]) if len(distinct) else np.zeros(0, bool)
+        count = np.diff(cuts)
+        picked = np.repeat(simple, count)
+        later = np.ones(len(lines), bool)
+        later[cuts[:-1]] = False
+        later = later[picked]
+        lines, letters = lines.filter(pa.array(picked)), letters.filter(pa.array(picked))
+        # Letters and signs in turn, by offsets into the same bytes.
+        at = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+        both = np.append(np.stack([at[:-1], at[:-1] + pc.binary_length(letters).to_numpy()], axis=1).ravel(), at[-1:])
+        turns = pa.Array.from_buffers(pa.large_string(), 2 * len(lines), [None, pa.py_buffer(both), lines.buffers()[2]])
+        found = pa.concat_arrays([self.after_blank.get(letters.filter(pa.array(~later))), self.after_newline.get(letters.filter(pa.array(later)))])
+        found = found.take(pa.array(_back(later)))
+        found = pc.binary_join_element_wise(found, self.signs.get(turns.take(pa.array(np.arange(1, 2 * len(lines), 2)))), pa.scalar(b"", pa.large_binary()))
+        # Lines of a word stand together, so its ids are theirs in a row.
+        at = np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(found) + 1]
+        whole = at[np.concatenate([[0], np.cumsum(count[simple])])]
+        out = pa.Array.from_buffers(pa.large_binary(), int(simple.sum()), [None, pa.py_buffer(whole), found.buffers()[2]])
+        return pa.concat_arrays([out, self.other.get(distinct.filter(pa.array(~simple)))]).take(pa.array(_back(~simple)))
 
     def column(self, text: pa.Array) -> tuple[memoryview, np.ndarray]:
         """All texts' ids as one run of little-endian bytes of self.dtype, and where each text's begin in it (null: empty).
 
-        Arrow cuts the texts at blanks, finds the distinct words and lays out their ids. A full stop or comma after a letter
-        is a pre-token of its own at the end of a word, so the word is looked up without it."""
+        Arrow cuts the texts at blanks, finds the distinct words and lays out their ids. Words are looked up by their letters,
+        signs and line ends, which recur more often."""
         text = pc.fill_null(text.cast(pa.large_string()), "")
         whole = pc.match_substring_regex(text, BLANK_BEFORE_SPACE)
         for a in self.added:
@@ -149,12 +191,7 @@ class Encoder:
         heads = pa.array(self._heads(begins, set(slow.tolist())), pa.large_binary())
         place[first] = len(used) + np.arange(len(first))
         words = coded.dictionary.take(pa.array(used))
-        ended = pc.match_substring_regex(words, r"\pL[.,]$")
-        bare = pc.if_else(ended, pc.utf8_slice_codeunits(words, 0, -1), words)
-        found = pa.array(self.words(bare.to_pylist()), pa.large_binary())
-        dot = pc.and_(ended, pc.ends_with(words, "."))
-        ends = pc.if_else(dot, pa.scalar(self.ends["."], pa.large_binary()), pc.if_else(ended, pa.scalar(self.ends[","], pa.large_binary()), pa.scalar(b"", pa.large_binary())))
-        values = pa.concat_arrays([pc.binary_join_element_wise(found, ends, pa.scalar(b"", pa.large_binary())), heads])
+        values = pa.concat_arrays([self.words(words), heads])
         laid = values.take(pa.array(place))
         at = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset : laid.offset + len(laid) + 1]
         return memoryview(laid.buffers()[2] or b""), at[np.append(first, len(place))]
