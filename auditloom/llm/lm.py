@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.llm.blocks import Words, cut_parts, extent, from_planes, mixed, packed, planes, unpacked
+from auditloom.llm.blocks import Words, cut_parts, extent, folded, from_planes, measured, mixed, packed, planes, unpacked
 from auditloom.llm.common import id_crc, materialize
 
 ADD = 0.1
@@ -54,7 +54,7 @@ class Block:
 
     def __init__(self, docs: pa.Table):
         texts = docs["text"].to_pylist()
-        self.doc_ids, self.held = docs["doc_id"].combine_chunks(), docs["held_out"].combine_chunks()
+        self.doc_ids, self.held, self.copies = docs["doc_id"].combine_chunks(), docs["held_out"].combine_chunks(), docs["copies"].to_numpy()
         w = Words([[*(t.encode().lower().split() if t else ()), END] for t in texts])
         self.bounds, self.ids = w.bounds, w.ids
         # Words in the order of their keys, so that what the parts answer stands at the words' numbers.
@@ -68,10 +68,11 @@ class Block:
         keys = (mixed(u * np.uint64(3) + v) & ~LOW) | (u >> np.uint64(40))
         self.pair_keys, at, self.pairs = np.unique(keys, return_index=True, return_inverse=True)
         self.heads = (u[at] >> HEAD).astype("<u2")
-        self.train = np.repeat(~self.held.to_numpy(zero_copy_only=False), np.diff(self.bounds))
+        #: How often each token counts in training.
+        self.times = np.repeat(np.where(self.held.to_numpy(zero_copy_only=False), 0, self.copies), np.diff(self.bounds))
 
     def counts(self, which: np.ndarray, n: int) -> np.ndarray:
-        return np.bincount(which[self.train], minlength=n).astype(np.uint64)
+        return np.bincount(which, weights=self.times, minlength=n).astype(np.uint64)
 
 
 def _send(docs: pa.Table, parts: int) -> pa.Table:
@@ -155,7 +156,8 @@ def _score(docs: pa.Table, answers: pa.Table, n: int, v: int) -> pa.Table:
     model = BackoffAutomaton(words, follow.astype(np.float64), pairs.astype(np.float64), b.before[first], b.ids[first], n, v)
     sums = lambda x: np.add.reduceat(x, b.bounds[:-1])  # noqa: E731  every document has its end token
     score, base, known = sums(model.weights(b.before, b.ids, b.pairs)), sums(model.root[b.ids]), sums((words[b.ids] > 0).astype(np.int64))
-    return pa.table([b.doc_ids, b.held, pa.array(np.diff(b.bounds)), pa.array(known), pa.array(np.full(len(known), n)), pa.array(base), pa.array(score)], schema=OUT)
+    out = pa.table([b.doc_ids, b.held, pa.array(np.diff(b.bounds)), pa.array(known), pa.array(np.full(len(known), n)), pa.array(base), pa.array(score)], schema=OUT)
+    return out if (b.copies == 1).all() else out.take(pa.array(np.repeat(np.arange(len(known)), b.copies)))
 
 
 def score(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
@@ -163,7 +165,9 @@ def score(docs: DataFrame, held_out_of: int = 10) -> DataFrame:
     base_score (unigrams) and score (log10 probability of the text). Texts are exchanged twice, by block."""
     held = F.coalesce(id_crc(F.col("doc_id")) % held_out_of == 0, F.lit(False))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held)
-    blocks, parts = extent(docs)
+    sizes = measured(docs, "doc_id", "text")
+    blocks, parts = extent(sizes)
+    docs, _ = folded(docs, sizes, "doc_id", "text")  # repeated rows would all go to one block
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
     sent = dealt.groupBy("block").applyInArrow(lambda t: _send(t, parts), "part int, block long, words binary, word_counts binary, pairs binary, heads binary, pair_counts binary")
     sums = materialize(sent.groupBy("part").applyInArrow(lambda t: _sum(t, parts), SUMS_DDL), "lm-sums")
