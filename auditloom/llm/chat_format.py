@@ -29,6 +29,8 @@ from auditloom.llm.common import rows
 
 OPEN, MIDDLE, CLOSE = b"<s>[INST]", b"[/INST]", b"</s>"
 ASSISTANT = "assistant"
+#: What the offsets of one batch reach.
+MOST_BYTES = 2**31 - 1
 ESCAPE = (r"([<\[])(\\*)(/?s>|/?INST\])", r"\1\\\2\3")
 _UNESCAPE = re.compile(r"([<\[])\\(\\*)(/?s>|/?INST\])")
 _TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.DOTALL)
@@ -56,8 +58,9 @@ def scatter(buffer: np.ndarray, at: np.ndarray, column: pa.Array) -> None:
     buffer[shift + np.arange(len(source))] = source
 
 
-def assemble(turns: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
-    """turns in order; begins: the first row of each conversation."""
+def assemble(turns: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """turns in order; begins: the first row of each conversation. As many batches as offsets of 32 bits need; a single
+    conversation beyond them is an error."""
     role = escaped(turns["role"].combine_chunks()).cast(pa.large_string())
     text = escaped(turns["text"].combine_chunks()).cast(pa.large_string())
     n = turns.num_rows
@@ -66,6 +69,13 @@ def assemble(turns: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
     sizes[:, 1], sizes[:, 3] = pc.binary_length(role).to_numpy(), pc.binary_length(text).to_numpy()
     ends = np.cumsum(sizes.ravel()).reshape(n, 5)
     starts = ends - sizes
+    if ends[-1, 4] > MOST_BYTES:
+        if len(begins) == 1:
+            raise ValueError("a formatted conversation of more than 2 GiB does not fit a string")
+        half = len(begins) // 2
+        yield from assemble(turns.slice(0, int(begins[half])), begins[:half])
+        yield from assemble(turns.slice(int(begins[half])), begins[half:] - begins[half])
+        return
     buffer = np.empty(int(ends[-1, 4]), np.uint8)
     for k, constant in ((0, OPEN), (2, MIDDLE), (4, CLOSE)):
         buffer[starts[:, k][:, None] + np.arange(len(constant))] = np.frombuffer(constant, np.uint8)
@@ -81,7 +91,7 @@ def assemble(turns: pa.Table, begins: np.ndarray) -> pa.RecordBatch:
     loss = pc.fill_null(pc.equal(turns["role"].combine_chunks(), ASSISTANT), False).to_numpy(zero_copy_only=False)
     per = np.add.reduceat(loss.astype(np.int64), begins) * 2
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32()), pa.array(spans[loss].ravel()))
-    return rows(FORMATTED, conv_id=turns["conv_id"].combine_chunks().take(pa.array(begins)), formatted=formatted, loss_spans=lists)
+    yield rows(FORMATTED, conv_id=turns["conv_id"].combine_chunks().take(pa.array(begins)), formatted=formatted, loss_spans=lists)
 
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,11 +108,11 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([*held, batch]).combine_chunks()
         begins = _begins(table)
         if len(begins) > 1:
-            yield assemble(table.slice(0, int(begins[-1])).combine_chunks(), begins[:-1])
+            yield from assemble(table.slice(0, int(begins[-1])).combine_chunks(), begins[:-1])
         held, last = table.slice(int(begins[-1])).to_batches(), final
     if held:
         table = pa.Table.from_batches(held).combine_chunks()
-        yield assemble(table, _begins(table))
+        yield from assemble(table, _begins(table))
 
 
 def _begins(table: pa.Table) -> np.ndarray:

@@ -7,10 +7,11 @@ m + 1 - Q - k * Q of the item's character q-grams. So the hits of a document's q
 2 (k + 1) diagonals that overlap by half, every band with that many distinct q-grams of the item is retained, and an
 alignment confined to the band verifies it. Nothing within k edits is missed, and only verified items are reported.
 
-Documents are scanned where they are read, without an exchange. The benchmark is sent to the tasks in portions of at most
-about PORTION characters, one scan each, so its size is bounded whatever it holds.
+Documents are scanned where they are read, without an exchange. The benchmark's distinct items are sent to the tasks in
+portions of about PORTION characters, one scan of the documents each; a portion outgrows that only by a single longer item.
 
-Items shorter than Q characters match nothing, nor do null texts. A row without doc_id is reported without one; repeated
+Items shorter than Q characters have no q-gram and allow no edit: an automaton of them finds them as they are. Items without
+any character match nothing, nor do null texts. A row without doc_id is reported without one; repeated
 rows are reported each; of items with equal item_id the nearest counts. Other columns are not read.
 """
 
@@ -19,20 +20,20 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.llm.blocks import FACTOR, runs
-from auditloom.llm.common import chunks, rows
+from auditloom.llm.common import chunks, materialize, rows
 
 Q = 8
 EDITS = 0.1
 #: Characters of items in a portion, and bytes of text scanned at a time.
-PORTION = 2_000_000
+PORTION = 6_000_000
 SCAN_BYTES = 1_000_000
-BITS = 22
 BUCKET_BITS = 20
 
 Item = tuple[int | None, str]
@@ -63,39 +64,53 @@ class Index:
     """q-grams of a portion of items."""
 
     def __init__(self, items: list[Item], edits: float = EDITS):
-        kept = [(i, t) for i, t in ((i, normal(t)) for i, t in items) if len(t) >= Q]
-        self.ids, self.texts = [i for i, _ in kept], [t for _, t in kept]
+        known = sorted(((i, t) for i, t in ((i, normal(t)) for i, t in items) if t), key=lambda x: len(x[1]) < Q)
+        long = [t for _, t in known if len(t) >= Q]
+        self.ids, self.texts = [i for i, _ in known], [t for _, t in known]
         self.codes = [codes(t) for t in self.texts]
-        m = np.array([len(c) for c in self.codes], np.int64)
+        m = np.array([len(t) for t in long], np.int64)
         self.k = np.minimum(np.floor(edits * m).astype(np.int64), (m - Q) // Q)
         self.need = m + 1 - Q - self.k * Q
         self.longest = int(m.max()) if len(m) else 0
-        grams = [runs(c.astype(np.uint64) + np.uint64(1), Q) for c in self.codes]
+        grams = [runs(c.astype(np.uint64) + np.uint64(1), Q) for c in self.codes[: len(long)]]
         flat = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
+        item = np.repeat(np.arange(len(grams), dtype=np.int32), [len(g) for g in grams])
+        at = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams]) if grams else np.zeros(0, np.int32)
         order = np.argsort(flat, kind="stable")
         self.item, self.at = item[order], at[order]
-        self.grams, self.start, self.times = np.unique(flat[order], return_index=True, return_counts=True)
-        self.seen = np.zeros(1 << BITS, bool)
-        self.seen[self.grams >> np.uint64(64 - BITS)] = True
+        self.grams, start, times = np.unique(flat[order], return_index=True, return_counts=True)
+        self.start, self.times = start.astype(np.int32), times.astype(np.int32)
+        # One of sixteen places is taken, so few other q-grams of a text are looked up.
+        self.shift = np.uint64(64 - max(16, len(self.grams).bit_length() + 3))
+        self.seen = np.zeros(1 << 64 - int(self.shift), bool)
+        self.seen[self.grams >> self.shift] = True
+        self.short: ahocorasick.Automaton | None = None
+        if len(long) < len(known):
+            self.short = ahocorasick.Automaton()
+            for i in range(len(long), len(known)):
+                self.short.add_word(self.texts[i], [*self.short.get(self.texts[i], []), i])
+            self.short.make_automaton()
 
     def find(self, texts: list[str]) -> list[tuple[int, int, int]]:
         """(text, item, edits) of all items that the texts (in normal form) hold."""
-        if not len(self.grams) or not texts:
-            return []
+        out = self._find(texts) if len(self.grams) and texts else []
+        if self.short is not None:
+            out += [(d, i, 0) for d, t in enumerate(texts) for i in {i for _, held in self.short.iter(t) for i in held}]
+        return out
+
+    def _find(self, texts: list[str]) -> list[tuple[int, int, int]]:
         arrays = [codes(t) for t in texts]
         bounds = np.concatenate([[0], np.cumsum([len(a) for a in arrays])])
         flat = np.concatenate(arrays)
         h = runs(flat.astype(np.uint64) + np.uint64(1), Q)
-        pos = np.flatnonzero(self.seen[h >> np.uint64(64 - BITS)])
+        pos = np.flatnonzero(self.seen[h >> self.shift])
         g = np.minimum(np.searchsorted(self.grams, h[pos]), len(self.grams) - 1)
         doc = np.searchsorted(bounds, pos, "right") - 1
         ok = (self.grams[g] == h[pos]) & (pos + Q <= bounds[doc + 1])
         pos, g, doc = pos[ok], g[ok], doc[ok]
         hit = np.repeat(np.arange(len(pos)), self.times[g])
         entry = self.start[g][hit] + np.arange(len(hit)) - np.repeat(np.cumsum(self.times[g]) - self.times[g], self.times[g])
-        item, at = self.item[entry], self.at[entry]
+        item, at = self.item[entry].astype(np.int64), self.at[entry].astype(np.int64)
         # Documents are set so far apart that no band reaches into two.
         gap = self.longest * 4 + 64
         diagonal = pos[hit] + doc[hit] * gap - at + gap
@@ -184,11 +199,15 @@ def _clean(batches: Iterator[pa.RecordBatch], items: list[Item]) -> Iterator[pa.
 
 
 def portions(benchmark: DataFrame) -> Iterator[list[Item]]:
-    """The benchmark in portions of about PORTION characters."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
+    """The distinct items of the benchmark in portions of about PORTION characters."""
+    items = materialize(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null").distinct(), "items")
     n = max(1, math.ceil((items.agg(F.sum(F.length("text"))).first()[0] or 0) / PORTION))
+    # Texts of one item_id stay together unless they alone are more than a portion.
+    crowded = items.groupBy(F.xxhash64("item_id").alias("key")).agg(F.sum(F.length("text")).alias("size")).filter(F.col("size") > PORTION).select("key", F.lit(True).alias("crowded"))
+    dealt = items.withColumn("key", F.xxhash64("item_id")).join(crowded, "key", "left")
+    dealt = dealt.withColumn("portion", F.pmod(F.xxhash64("key", F.when(F.col("crowded"), F.col("text"))), F.lit(n)))
     for p in range(n):
-        yield [(r["item_id"], r["text"]) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == p).orderBy("item_id", "text").collect()]
+        yield [(r["item_id"], r["text"]) for r in dealt.filter(F.col("portion") == p).orderBy("item_id", "text").collect()]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -48,6 +48,8 @@ RULES = (
 #: Strings an expression's stretch may expand to before it is cut.
 EXPANSIONS = 64
 REDACTED = "[SECRET]"
+#: Matches of a text that are folded together.
+FOLD = 256
 
 Clause = frozenset[frozenset[str]]
 
@@ -129,22 +131,41 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return held.groupBy("key").agg(F.collect_set("kind").alias("kinds"))  # no more than there are rules
 
 
+def parts_of(values: Column) -> Column:
+    """An array in parts of FOLD."""
+    return F.when(F.size(values) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / FOLD).cast("int")), lambda i: F.slice(values, i * FOLD + 1, FOLD)))
+
+
+def bound(value: Column, use) -> Column:
+    """use(value), the value being computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _spans(rule: Rule, place: int, text: Column) -> Column:
-    """array of struct(start, place, kind, end): matches and what stands between them, added up."""
+    """array of struct(start, place, kind, end): matches and what stands between them, added up. A fold copies what it has at
+    each step, so matches are folded in parts, and then the parts: texts with very many matches stay cheap."""
     pattern = F.lit(rule.pattern)
     match, group = F.regexp_extract_all(text, pattern, F.lit(0)), F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    steps = F.arrays_zip(match.alias("m"), group.alias("g"), F.split(text, rule.pattern, -1).alias("before"))
-    empty = F.array().cast("array<struct<start:long,place:int,kind:string,end:long>>")
+    steps = F.filter(F.arrays_zip(match.alias("m"), group.alias("g"), F.split(text, rule.pattern, -1).alias("before")), lambda s: s["m"].isNotNull())
+    span = "struct<start:long,place:int,kind:string,end:long>"
+    zero, empty = F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{span}>")
+
+    def spanned(start: Column, end: Column) -> Column:
+        return F.struct(start.cast("long").alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), end.cast("long").alias("end"))
 
     def step(acc: Column, s: Column) -> Column:
         start = acc["at"] + F.length(s["before"])
         end = start + F.length(s["m"])
-        span = F.struct(start.cast("long").alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), end.cast("long").alias("end"))
-        kept = F.when(F.length(s["g"]) >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
+        kept = F.when(F.length(s["g"]) >= rule.least, F.concat(acc["out"], F.array(spanned(start, end)))).otherwise(acc["out"])
         return F.struct(end.cast("long").alias("at"), kept.alias("out"))
 
-    found = F.aggregate(F.filter(steps, lambda s: s["m"].isNotNull()), F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(empty)
+    def whole(acc: Column, part: Column) -> Column:
+        moved = F.transform(part["out"], lambda x: spanned(acc["at"] + x["start"], acc["at"] + x["end"]))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    folded = F.transform(parts_of(steps), lambda part: F.aggregate(part, F.struct(zero, empty.alias("out")), step))
+    found = F.flatten(F.aggregate(folded, F.struct(zero, F.array().cast(f"array<array<{span}>>").alias("out")), whole, lambda acc: acc["out"]))
+    return F.when(text.rlike(rule.pattern), F.coalesce(found, empty)).otherwise(empty)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -171,20 +192,47 @@ def digests(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *map(count, base), F.sha2(listed(F.filter("__found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"), listed(F.col("__found")).alias("spans"))
 
 
+def stretches(spans: Column) -> Column:
+    """array of struct(start, end): spans in order, those that overlap as one; folded only where some do."""
+    plain = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    apart = F.forall(F.transform(spans, lambda s, i: (i == 0) | (s["start"] >= F.try_element_at(spans, i)["end"])), lambda x: x)
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        fresh = (F.size(acc) == 0) | (s["start"] >= last["end"])
+        return F.when(fresh, F.concat(acc, F.array(s))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer)))
+
+    return F.when(apart, plain).otherwise(F.aggregate(plain, F.array().cast("array<struct<start:long,end:long>>"), step))
+
+
+def _replaced(text: Column, found: Column) -> Column:
+    """The text with REDACTED for every stretch. Stretches go in parts, so that a text is walked once a part and a part's own
+    text once a stretch."""
+
+    def part(these: Column, i: Column) -> Column:
+        begin = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.try_element_at(found, (i * FOLD).cast("int"))["end"])
+        stop = F.try_element_at(these, F.lit(-1))["end"]
+        body = text.substr((begin + 1).cast("int"), (stop - begin).cast("int"))
+
+        def pieces(y: Column) -> Column:
+            def piece(s: Column, j: Column) -> Column:
+                after = F.when(j == 0, y["begin"]).otherwise(F.try_element_at(these, j)["end"])
+                return F.concat(y["body"].substr((after - y["begin"] + 1).cast("int"), (s["start"] - after).cast("int")), F.lit(REDACTED))
+
+            return F.array_join(F.transform(these, piece), "")
+
+        return bound(F.struct(begin.alias("begin"), body.alias("body")), pieces)
+
+    end = F.try_element_at(found, F.lit(-1))["end"]
+    return F.concat(F.array_join(F.transform(parts_of(found), part), ""), text.substr((end + 1).cast("int"), F.length(text)))
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """The documents (all columns) with every stretch that spans cover replaced by REDACTED."""
     found = scan(docs)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        before = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        fresh = F.struct(s["end"].alias("at"), F.concat(acc["out"], before, F.lit(REDACTED)).alias("out"))
-        longer = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))  # overlaps the last one
-        return F.when((s["start"] >= acc["at"]) | (acc["out"] == ""), fresh).otherwise(longer)
-
-    clean = F.aggregate("__found", start, step, lambda acc: F.concat(acc["out"], F.expr("substring(text, cast(1 as int))").substr((acc["at"] + 1).cast("int"), F.length("text"))))
-    text = F.when(F.size("__found") > 0, clean).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    clean = bound(stretches(F.col("__found")), lambda s: _replaced(F.col("text"), s))
+    return found.withColumn("text", F.when(F.size("__found") > 0, clean).otherwise(F.col("text"))).select(*docs.columns)
 
 
 #: DuckDB's way to the same rows: expressions are matched on every document, without an index. Start and end come from the

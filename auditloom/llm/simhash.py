@@ -18,11 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.llm.common import chunks, groups, materialize, rows
@@ -33,13 +34,13 @@ SEED = 42
 DISTANCE = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
-#: Rows of a cell; the mean bucket that is aimed at when anchors are chosen.
-CELL = 1024
+#: Rows of a cell: 40 bytes each in memory, so a cell is small, and few anchors have more.
+CELL = 16_384
 #: Rows of a cell compared with the others at a time.
-STRIP = 256
-BUCKET = 512
-
-FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+STRIP = 128
+#: Replicas that cost as much as comparing one row with this many others: a replica is written, moved and sorted (microseconds),
+#: a comparison is an exclusive or and a count of bits (a nanosecond).
+REPLICA_COST = 2000
 
 
 def fingerprint(words: list[bytes]) -> int:
@@ -58,10 +59,12 @@ def fingerprint(words: list[bytes]) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text column replaced by its fingerprint."""
     for batch in batches:
         for a, b in chunks(batch.column("text")):
-            texts = batch.column("text").slice(a, b - a).to_pylist()
-            yield rows(FINGERPRINTS, doc_id=batch.column("doc_id").slice(a, b - a), fp=[fingerprint((t or "").encode().lower().split()) for t in texts])
+            part = batch.slice(a, b - a)
+            fp = [fingerprint((t or "").encode().lower().split()) for t in part.column("text").to_pylist()]
+            yield part.set_column(part.schema.get_field_index("text"), "fp", pa.array(fp, pa.int64()))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -117,11 +120,15 @@ def anchors(words: np.ndarray) -> np.ndarray:
 
 
 def finer_blocks(n: int) -> int:
-    """m for n fingerprints, 0 for the code words alone: the mean bucket is to stay below BUCKET rows."""
-    for m in (0, 5, 6, 7, 8):
-        if n * 5.3 / 4096 / 2 ** (42 * (m - 4) // m if m else 0) <= BUCKET:
-            return m
-    return 8
+    """m for n fingerprints, 0 for the code words alone: whichever makes the sum of replicas and comparisons least. Both grow
+    smoothly with n, and the code words alone are best up to about thirty million fingerprints."""
+
+    def cost(m: int) -> float:
+        choices, bits = (comb(m, DISTANCE), 42 * (m - DISTANCE) // m) if m else (1, 0)
+        # Per fingerprint: 5.3 replicas a segment and choice, and one home that meets its bucket.
+        return 3 * choices * (5.3 * REPLICA_COST + n * 5.3 / 4096 / 2**bits)
+
+    return min((0, *range(5, 11)), key=cost)
 
 
 REPLICAS = pa.schema([("t", pa.int32()), ("anchor", pa.int64()), ("exact", pa.int64()), ("home", pa.bool_()), ("node", pa.int64()), ("fp", pa.int64())])
@@ -173,3 +180,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of = materialize(reached, "reached")
     out = prints.join(of, "fp", "left")
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def text_hash(text: Column) -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(text)
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash: of the rows whose fingerprints link up, the one of the smallest doc_id and then text_hash. Here rows and
+    not ids are linked: texts that share a doc_id and nothing else are apart. Rows without doc_id are left out."""
+    rows_ = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), "text")
+    prints = materialize(rows_.mapInArrow(_fingerprints, "doc_id long, text_hash long, fp long"), "simhash")
+    firsts = materialize(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")), "firsts")
+    joined = materialize(connected_components(links(firsts.select(F.col("fp").alias("node"), "fp"), firsts.count())), "components")
+    groups_ = firsts.join(joined.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("component", "fp"))
+    return groups_.agg(F.min("first").alias("first")).select("first.*").distinct()
