@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, a folder of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary folder if all runs in
+    this process (tests), and an error on a cluster, whose executors would each write to a disk of their own."""
     there = spark.sparkContext._jsc.sc().getCheckpointDir()
     if there.isDefined():
         return there.get()
-    own = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="auditloom-")
+    own = spark.conf.get("spark.checkpoint.dir", None)
+    if not own:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        own = tempfile.mkdtemp(prefix="auditloom-")
     spark.sparkContext.setCheckpointDir(own)
     return own
 
