@@ -33,6 +33,7 @@ CONTRACT_RISKS = {
     "call_injection": [r"call\s*\([^)]*address\([^)]*\)[^)]*\)", r"delegatecall\s*\([^)]*abi\.encodeWithSelector"],
     "gas_limit": [r"call\s*\{\s*gas:\s*\d+\s*\}", r"\.call\s*\{[^}]*gas:\s*\d+"],
     "access_control": [r"function\s+\w+\s*\(\s*\)\s*public", r"function\s+\w+\s*\(\s*\)\s*external", r"onlyOwner\s*\(\s*\)\s*public"],
+    "address_predictability": [r"block\.timestamp", r"blockhash\s*\(", r"block\.number"],
 }
 WASM = {
     "wasm": {

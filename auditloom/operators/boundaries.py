@@ -25,8 +25,9 @@ def boundaries(files: DataFrame, patterns: dict[str, dict[str, str]], risks: dic
 
 def boundary_totals(found: DataFrame) -> DataFrame:
     """By language, by boundary, in all; high risk is two kinds or more."""
-    found.createOrReplaceTempView("__boundaries")
-    return found.sparkSession.sql("SELECT coalesce(lang, '*') AS lang, coalesce(boundary, '*') AS boundary, count(*) AS n, count_if(size(risks) >= 2) AS high FROM __boundaries GROUP BY GROUPING SETS ((lang), (boundary), ())")
+    lang, boundary = F.col("lang"), F.col("boundary")
+    sums = found.groupingSets([[lang], [boundary], []], lang, boundary).agg(F.count("*").alias("n"), F.count_if(F.size("risks") >= 2).alias("high"))
+    return sums.select(*[F.coalesce(c, F.lit("*")).alias(c) for c in ("lang", "boundary")], "n", "high")
 
 
 def risk_frequency(found: DataFrame) -> DataFrame:

@@ -10,12 +10,15 @@ from auditloom.functions.text import choose
 
 HIGH_CLASSES = ("memory_corruption", "auth_bypass", "deserialization", "reentrancy", "oracle_manipulation")
 
+#: Ordinals of techniques that come from the CWE begin here.
+CWE_ORDINAL = 100
+
 
 def attack_techniques(findings: DataFrame) -> DataFrame:
     """finding_id, technique, ordinal: those of the class first, then those of the CWE that are not among them."""
     spark = findings.sparkSession
     by_class = frame(spark, "bug_class string, o int, technique string", listed(CLASS_ATTACK))
-    by_cwe = frame(spark, "cwe_id string, o int, technique string", [(k, 100 + i, v) for k, i, v in listed(CWE_ATTACK)])
+    by_cwe = frame(spark, "cwe_id string, o int, technique string", [(k, CWE_ORDINAL + i, v) for k, i, v in listed(CWE_ATTACK)])
     one = findings.select("finding_id", "bug_class").join(F.broadcast(by_class), "bug_class").select("finding_id", "technique", "o")
     two = findings.select("finding_id", "cwe_id").join(F.broadcast(by_cwe), "cwe_id").select("finding_id", "technique", "o")
     return one.unionByName(two).groupBy("finding_id", "technique").agg(F.min("o").alias("ordinal"))
@@ -93,10 +96,11 @@ def class_of_impact(text: Column) -> Column:
     )
 
 
-def narrative(findings: DataFrame) -> DataFrame:
-    """finding_id, text: the class and the first three of its techniques and then the CWE's, in order."""
+def narrative(findings: DataFrame, by_cwe: bool = True) -> DataFrame:
+    """finding_id, text: the class and the first three of its techniques and then, unless by_cwe is off, the CWE's, in order."""
     ranked = F.slice(F.array_sort(F.collect_list(F.struct("ordinal", "technique"))), 1, 3)
-    first = attack_techniques(findings).groupBy("finding_id").agg(F.transform(ranked, lambda x: x["technique"]).alias("t"))
+    known = attack_techniques(findings) if by_cwe else attack_techniques(findings).filter(F.col("ordinal") < CWE_ORDINAL)
+    first = known.groupBy("finding_id").agg(F.transform(ranked, lambda x: x["technique"]).alias("t"))
     return findings.join(first, "finding_id", "left").select("finding_id", F.concat("bug_class", F.lit(" may lead to "), F.coalesce(F.array_join("t", ", "), F.lit("nothing known"))).alias("text"))
 
 

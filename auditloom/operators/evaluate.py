@@ -21,21 +21,23 @@ def file_and_line(location: Column) -> tuple[Column, Column]:
     return F.regexp_extract(location, "^(.*):(.*)$", 1), F.regexp_extract(location, "^(.*):(.*)$", 2).try_cast("int")
 
 
-def band_join(findings: DataFrame, truth: DataFrame, tolerance: int = TOLERANCE) -> DataFrame:
+def band_join(findings: DataFrame, truth: DataFrame, tolerance: int = TOLERANCE, same_path: bool = False) -> DataFrame:
     """Pairs whose lines are at most tolerance apart and where the finding's path ends with the base name (last part) of the
-    labelled one, as equal paths do: an equality join on base name and line bucket.
+    labelled one, as equal paths do: an equality join on base name and line bucket. With same_path only equal paths match.
 
     A base name holds no slash, so it can only end the finding's own base name: distinct names of findings are met with those
     of labels by their suffixes. Keys of many pairs are dealt into cells where every two rows meet once."""
     width = tolerance + 1
     file, line = file_and_line(F.col("location"))
-    a = findings.select("finding_id", F.substring_index(file, "/", -1).alias("name"), line.alias("line")).filter("line is not null")
-    b = truth.select("vuln_id", F.substring_index(file, "/", -1).alias("base"), line.alias("at")).filter("at is not null").withColumn("bucket", F.expr(f"at div {width}"))
+    last = file if same_path else F.substring_index(file, "/", -1)
+    a = findings.select("finding_id", last.alias("name"), line.alias("line")).filter("line is not null")
+    b = truth.select("vuln_id", last.alias("base"), line.alias("at")).filter("at is not null").withColumn("bucket", F.expr(f"at div {width}"))
     bases = b.select("base").distinct()
     longest = F.broadcast(bases.agg(F.coalesce(F.max(F.length("base")), F.lit(0)).alias("longest")))  # one row
     starts = F.expr("sequence(greatest(1, length(name) - longest + 1), length(name) + 1)")
     ends = a.select("name").distinct().join(longest, F.lit(True)).select("name", F.explode(F.transform(starts, lambda i: F.col("name").substr(i, F.length("name")))).alias("base"))
-    a = a.join(ends.join(bases, "base"), "name").withColumn("bucket", F.explode(F.expr(f"array(line div {width} - 1, line div {width}, line div {width} + 1)")))
+    a = a.withColumn("base", F.col("name")) if same_path else a.join(ends.join(bases, "base"), "name")
+    a = a.withColumn("bucket", F.explode(F.expr(f"array(line div {width} - 1, line div {width}, line div {width} + 1)")))
     key = ["base", "bucket"]
     sizes = a.groupBy(key).agg(F.count("*").alias("m")).join(b.groupBy(key).agg(F.count("*").alias("n")), key).filter(F.col("m") * F.col("n") > CELL * CELL)
     sizes = F.broadcast(sizes.select(*key, F.ceil(F.col("m") / CELL).alias("p"), F.ceil(F.col("n") / CELL).alias("q")))  # a row for CELL rows at least
@@ -50,7 +52,7 @@ def _plain(c: str) -> Column:
     return F.regexp_replace(c, "[_-]", "")
 
 
-def scored_pairs(findings: DataFrame, truth: DataFrame) -> DataFrame:
+def scored_pairs(findings: DataFrame, truth: DataFrame, same_path: bool = False) -> DataFrame:
     """finding_id, vuln_id, points (tenths: 5 same location or 3 within the band, 3 same CWE, 2 class in class) of 5 or more,
     match_type, both (same CWE and class), of pairs whose places agree: two equality joins, never all pairs.
 
@@ -58,7 +60,7 @@ def scored_pairs(findings: DataFrame, truth: DataFrame) -> DataFrame:
     listed here but counted by ``match_summary``."""
     f = findings.select("finding_id", "location", F.upper("cwe_id").alias("cwe"), _plain("bug_class").alias("cls"))
     t = truth.select("vuln_id", F.col("location").alias("t_location"), F.upper("cwe_id").alias("t_cwe"), _plain("category").alias("t_cls"))
-    near = band_join(findings, truth).select("finding_id", "vuln_id")
+    near = band_join(findings, truth, same_path=same_path).select("finding_id", "vuln_id")
     exact = f.join(t, F.col("location") == F.col("t_location")).select("finding_id", "vuln_id")
     full = near.unionByName(exact).distinct().join(f, "finding_id").join(t, "vuln_id")
     place = F.when(F.col("location") == F.col("t_location"), 5).otherwise(3)
@@ -72,10 +74,10 @@ def _same_class() -> Column:
     return F.contains("cls", F.col("t_cls")) | F.contains(F.col("t_cls"), F.col("cls"))
 
 
-def match_summary(findings: DataFrame, truth: DataFrame) -> DataFrame:
+def match_summary(findings: DataFrame, truth: DataFrame, same_path: bool = False) -> DataFrame:
     """match_type, points, n, ids (sum of finding ids) of all scored pairs. Those by CWE and class alone are products of group
     sizes, less the ones that have a place too."""
-    placed = materialize(scored_pairs(findings, truth), "placed")
+    placed = materialize(scored_pairs(findings, truth, same_path), "placed")
     listed = placed.groupBy("match_type", "points").agg(F.count("*").alias("n"), F.sum("finding_id").alias("ids"))
     f = findings.groupBy(F.upper("cwe_id").alias("cwe"), _plain("bug_class").alias("cls")).agg(F.count("*").alias("fn"), F.sum("finding_id").alias("fids"))
     t = truth.groupBy(F.upper("cwe_id").alias("t_cwe"), _plain("category").alias("t_cls")).agg(F.count("*").alias("tn"))
@@ -149,6 +151,18 @@ def category_breakdown(truth: DataFrame, found: DataFrame) -> DataFrame:
     return g.agg(F.count("*").alias("total"), F.count("hit").alias("tp"), (F.count("*") - F.count("hit")).alias("fn"))
 
 
+def category_metrics(findings: DataFrame, truth: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per category of the labels: labelled, found (tp), missed (fn), unmatched findings of a CWE that the category has (fp),
+    precision and recall; pairs: finding_id, vuln_id that match. Findings are counted by CWE before they meet categories."""
+    hit = truth.join(pairs.select("vuln_id").distinct().withColumn("hit", F.lit(1)), "vuln_id", "left").groupBy("category")
+    counts = hit.agg(F.count("*").alias("total"), F.count("hit").alias("tp"), (F.count("*") - F.count("hit")).alias("fn"))
+    left = findings.join(pairs.select("finding_id").distinct(), "finding_id", "left_anti").groupBy("cwe_id").agg(F.count("*").alias("n"))
+    fp = truth.select("category", "cwe_id").distinct().join(left, "cwe_id").groupBy("category").agg(F.sum("n").alias("fp"))
+    zero = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    out = counts.join(fp, "category", "left").withColumn("fp", F.coalesce("fp", F.lit(0).cast("long")))
+    return out.withColumns({"precision": zero(F.col("tp"), F.col("tp") + F.col("fp")), "recall": zero(F.col("tp"), F.col("total"))})
+
+
 def recall_at(scored: DataFrame, k: int, group: str) -> DataFrame:
     """scored: group, score, id, relevant -> share of the relevant among the k best of each group."""
     w = Window.partitionBy(group).orderBy(F.desc("score"), "id")

@@ -43,8 +43,9 @@ def taint_flows(files: DataFrame) -> DataFrame:
 
 def flow_totals(flows: DataFrame) -> DataFrame:
     """Counts by source kind, by class, and in all, in one pass."""
-    flows.createOrReplaceTempView("__flows")
-    return flows.sparkSession.sql("SELECT coalesce(source, '*') AS source, coalesce(vulnerability, '*') AS vulnerability, count(*) AS n FROM __flows GROUP BY GROUPING SETS ((source), (vulnerability), ())")
+    source, kind = F.col("source"), F.col("vulnerability")
+    sums = flows.groupingSets([[source], [kind], []], source, kind).agg(F.count("*").alias("n"))
+    return sums.select(*[F.coalesce(c, F.lit("*")).alias(c) for c in ("source", "vulnerability")], "n")
 
 
 def security_commits(commits: DataFrame) -> DataFrame:

@@ -11,9 +11,11 @@ def missed(truth: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def frequencies(missed_: DataFrame) -> DataFrame:
-    """Counts by class, by language, by stage and in all, in one pass."""
-    missed_.createOrReplaceTempView("__missed")
-    return missed_.sparkSession.sql("SELECT coalesce(category, '*') AS category, coalesce(lang, '*') AS lang, coalesce(stage, '*') AS stage, count(*) AS n FROM __missed GROUP BY GROUPING SETS ((category), (lang), (stage), ())")
+    """Counts by class, by language, by stage and in all (a row even if nothing is missed)."""
+    by = ("category", "lang", "stage")
+    sums = missed_.groupingSets([[F.col(c)] for c in by], *map(F.col, by)).agg(F.count("*").alias("n"))
+    sums = sums.unionByName(missed_.agg(F.count("*").alias("n")), allowMissingColumns=True)
+    return sums.select(*[F.coalesce(c, F.lit("*")).alias(c) for c in by], "n")
 
 
 def trending(missed_: DataFrame, n: int = 5) -> DataFrame:

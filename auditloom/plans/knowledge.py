@@ -116,9 +116,14 @@ register(
 )
 register(
     "threat_narrative",
-    lambda s, d: enrich.narrative(domain(s, d, "findings")),
+    lambda s, d: enrich.narrative(domain(s, d, "findings"), by_cwe=False),
     with_sql(["findings"], "SELECT finding_id, bug_class || ' may lead to ' || coalesce(t, 'nothing known') AS text FROM findings LEFT JOIN (SELECT finding_id, string_agg(technique, ', ' ORDER BY ordinal) AS t FROM atk WHERE ordinal < 3 GROUP BY 1) USING (finding_id)", atk=ATTACK),
 )
+register(
+    "threat_narrative_by_cwe",
+    lambda s, d: enrich.narrative(domain(s, d, "findings")),
+    with_sql(["findings"], "SELECT finding_id, bug_class || ' may lead to ' || coalesce(t, 'nothing known') AS text FROM findings LEFT JOIN (SELECT finding_id, string_agg(technique, ', ' ORDER BY r) AS t FROM (SELECT *, row_number() OVER (PARTITION BY finding_id ORDER BY ordinal, technique) AS r FROM atk) WHERE r <= 3 GROUP BY 1) USING (finding_id)", atk=ATTACK),
+)
 register(
     "agent_exposure",
     lambda s, d: domain(s, d, "findings").select("finding_id", exposure.agent_exposure(F.col("severity"), F.col("location")).alias("exposure")),

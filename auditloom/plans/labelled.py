@@ -14,19 +14,34 @@ PLACED = {
     "pf": "SELECT *, regexp_extract(location, '^(.*):(.*)$', 1) AS file, try_cast(regexp_extract(location, '^(.*):(.*)$', 2) AS INT) AS line FROM findings",
     "pt": "SELECT *, regexp_extract(location, '^(.*):(.*)$', 1) AS file, try_cast(regexp_extract(location, '^(.*):(.*)$', 2) AS INT) AS line FROM ground_truth",
 }
+NAME = "ends_with(pf.file, regexp_extract(pt.file, '[^/]*$'))"
 register(
     "band_join",
-    lambda s, d: evaluate.band_join(domain(s, d, "findings"), domain(s, d, "ground_truth")),
+    lambda s, d: evaluate.band_join(domain(s, d, "findings"), domain(s, d, "ground_truth"), same_path=True),
     with_sql(["findings", "ground_truth"], "SELECT finding_id, vuln_id, pf.line - pt.line AS \"offset\" FROM pf JOIN pt ON pf.file = pt.file AND abs(pf.line - pt.line) <= 5", **PLACED),
 )
+register(
+    "band_join_by_name",
+    lambda s, d: evaluate.band_join(domain(s, d, "findings"), domain(s, d, "ground_truth")),
+    with_sql(["findings", "ground_truth"], f"SELECT finding_id, vuln_id, pf.line - pt.line AS \"offset\" FROM pf JOIN pt ON {NAME} AND abs(pf.line - pt.line) <= 5", **PLACED),
+)
 PAIRS = {
     "sp": "SELECT finding_id, vuln_id, CASE WHEN pf.location = pt.location THEN 5 WHEN pf.file = pt.file AND abs(pf.line - pt.line) <= 5 THEN 3 ELSE 0 END AS place, CASE WHEN upper(pf.cwe_id) = upper(pt.cwe_id) THEN 3 ELSE 0 END AS c, CASE WHEN contains(replace(bug_class, '_', ''), replace(category, '_', '')) OR contains(replace(category, '_', ''), replace(bug_class, '_', '')) THEN 2 ELSE 0 END AS b FROM pf JOIN pt ON pf.location = pt.location OR (pf.file = pt.file AND abs(pf.line - pt.line) <= 5) OR pf.cwe_id = pt.cwe_id",
 }
 register(
     "match_pairs",
-    lambda s, d: evaluate.match_summary(domain(s, d, "findings"), domain(s, d, "ground_truth")),
+    lambda s, d: evaluate.match_summary(domain(s, d, "findings"), domain(s, d, "ground_truth"), same_path=True),
     with_sql(["findings", "ground_truth"], "SELECT CASE WHEN place > 0 AND place + c + b >= 8 THEN 'exact' WHEN place > 0 THEN 'fuzzy' ELSE 'cwe_only' END AS match_type, place + c + b AS points, count(*) AS n, CAST(sum(finding_id) AS BIGINT) AS ids FROM sp WHERE place + c + b >= 5 GROUP BY 1, 2", **PLACED, **PAIRS),
 )
+SCORED = {
+    "near": f"SELECT finding_id, vuln_id FROM pf JOIN pt ON {NAME} AND pf.line BETWEEN pt.line - 5 AND pt.line + 5 UNION SELECT finding_id, vuln_id FROM pf JOIN pt ON pf.location = pt.location UNION SELECT finding_id, vuln_id FROM pf JOIN pt ON upper(pf.cwe_id) = upper(pt.cwe_id)",
+    "sp": f"SELECT finding_id, vuln_id, CASE WHEN pf.location = pt.location THEN 5 WHEN {NAME} AND abs(pf.line - pt.line) <= 5 THEN 3 ELSE 0 END AS place, CASE WHEN upper(pf.cwe_id) = upper(pt.cwe_id) THEN 3 ELSE 0 END AS c, CASE WHEN contains(replace(bug_class, '_', ''), replace(category, '_', '')) OR contains(replace(category, '_', ''), replace(bug_class, '_', '')) THEN 2 ELSE 0 END AS b FROM near JOIN pf USING (finding_id) JOIN pt USING (vuln_id)",
+}
+register(
+    "match_pairs_by_name",
+    lambda s, d: evaluate.match_summary(domain(s, d, "findings"), domain(s, d, "ground_truth")),
+    with_sql(["findings", "ground_truth"], "SELECT CASE WHEN place > 0 AND place + c + b >= 8 THEN 'exact' WHEN place > 0 THEN 'fuzzy' ELSE 'cwe_only' END AS match_type, place + c + b AS points, count(*) AS n, CAST(sum(finding_id) AS BIGINT) AS ids FROM sp WHERE place + c + b >= 5 GROUP BY 1, 2", **PLACED, **SCORED),
+)
 
 
 def _assigned(s, d):
@@ -52,14 +67,6 @@ def _rounded(df):
 
 
 register("confusion_metrics", lambda s, d: _rounded(evaluate.confusion(_labelled(s, d))), f"WITH l AS ({LABELLED}) SELECT tp, fp, fn, {RATES} FROM (SELECT {METRICS} FROM l)")
-found = lambda s, d: evaluate.band_join(domain(s, d, "findings"), domain(s, d, "ground_truth"))
-FOUND = {**PLACED, "fo": "SELECT DISTINCT vuln_id FROM pf JOIN pt ON pf.file = pt.file AND abs(pf.line - pt.line) <= 5"}
-MISSED = {**FOUND, "mi": "SELECT * FROM ground_truth WHERE vuln_id NOT IN (SELECT vuln_id FROM fo)"}
-register(
-    "category_breakdown",
-    lambda s, d: evaluate.category_breakdown(domain(s, d, "ground_truth"), found(s, d)),
-    with_sql(["findings", "ground_truth"], "SELECT category, count(*) AS total, count(fo.vuln_id) AS tp, count(*) - count(fo.vuln_id) AS fn FROM ground_truth LEFT JOIN fo USING (vuln_id) GROUP BY 1", **FOUND),
-)
 register(
     "recall_at_k",
     lambda s, d: evaluate.recall_at(_labelled(s, d).selectExpr("source", "n_chars AS score", "doc_id AS id", "truth AS relevant"), 5, "source").withColumn("recall", r6("recall")),
@@ -90,21 +97,48 @@ register(
     lambda s, d: evaluate.false_discovery(table(s, d, "nation").selectExpr("n_nationkey AS id", "cast((n_nationkey * 17 % 25) + 1 as double) / 500 AS p")).withColumn("adjusted", r6("adjusted")),
     f"WITH t AS ({TESTS}), r AS (SELECT *, row_number() OVER (ORDER BY p, id) AS rank, count(*) OVER () AS n FROM t), a AS (SELECT *, least(1.0, min(p * n / rank) OVER (ORDER BY p DESC, id DESC)) AS adj FROM r) SELECT id, p, rank, round(adj, 6) AS adjusted, adj <= 0.05 AS rejected FROM a",
 )
-missed = lambda s, d: feedback.missed(domain(s, d, "ground_truth"), found(s, d))
 both = ["findings", "ground_truth"]
-register("missed_anti", lambda s, d: missed(s, d).select("vuln_id", "category"), with_sql(both, "SELECT vuln_id, category FROM mi", **MISSED))
-register("missed_grouping_sets", lambda s, d: feedback.frequencies(missed(s, d)), with_sql(both, "SELECT coalesce(category, '*') AS category, coalesce(lang, '*') AS lang, coalesce(stage, '*') AS stage, count(*) AS n FROM mi GROUP BY GROUPING SETS ((category), (lang), (stage), ())", **MISSED))
-register("trending_topn", lambda s, d: feedback.trending(missed(s, d)), with_sql(both, "SELECT category, count(*) AS n, min(vuln_id) AS first_seen FROM mi GROUP BY 1 ORDER BY n DESC, first_seen LIMIT 5", **MISSED))
-register("last_k_per_agent", lambda s, d: feedback.last_of_each(missed(s, d)), with_sql(both, "SELECT agent_id, vuln_id, CAST(r AS INT) AS r FROM (SELECT agent_id, vuln_id, row_number() OVER (PARTITION BY agent_id ORDER BY vuln_id DESC) AS r FROM mi) WHERE r <= 5", **MISSED))
-register(
-    "patterns_having",
-    lambda s, d: feedback.patterns(missed(s, d)).withColumn("examples", F.concat_ws(",", F.transform("examples", lambda x: x.cast("string")))),
-    with_sql(both, "SELECT category, count(*) AS n, string_agg(vuln_id, ',' ORDER BY vuln_id) FILTER (r <= 3) AS examples FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY vuln_id) AS r FROM mi) GROUP BY 1 HAVING count(*) >= 3", **MISSED),
-)
+
+
+def _readers(suffix: str, same_path: bool, rule: str) -> None:
+    """Queries over what was found and missed, places being matched by equal paths or by base names."""
+    found = lambda s, d: evaluate.band_join(domain(s, d, "findings"), domain(s, d, "ground_truth"), same_path=same_path)
+    missed = lambda s, d: feedback.missed(domain(s, d, "ground_truth"), found(s, d))
+    FOUND = {**PLACED, "fo": f"SELECT DISTINCT vuln_id FROM pf JOIN pt ON {rule} AND abs(pf.line - pt.line) <= 5"}
+    MISSED = {**FOUND, "mi": "SELECT * FROM ground_truth WHERE vuln_id NOT IN (SELECT vuln_id FROM fo)"}
+    register(
+        "category_breakdown" + suffix,
+        lambda s, d: evaluate.category_breakdown(domain(s, d, "ground_truth"), found(s, d)),
+        with_sql(["findings", "ground_truth"], "SELECT category, count(*) AS total, count(fo.vuln_id) AS tp, count(*) - count(fo.vuln_id) AS fn FROM ground_truth LEFT JOIN fo USING (vuln_id) GROUP BY 1", **FOUND),
+    )
+
+    register("missed_anti" + suffix, lambda s, d: missed(s, d).select("vuln_id", "category"), with_sql(both, "SELECT vuln_id, category FROM mi", **MISSED))
+    register("missed_grouping_sets" + suffix, lambda s, d: feedback.frequencies(missed(s, d)), with_sql(both, "SELECT coalesce(category, '*') AS category, coalesce(lang, '*') AS lang, coalesce(stage, '*') AS stage, count(*) AS n FROM mi GROUP BY GROUPING SETS ((category), (lang), (stage), ())", **MISSED))
+    register("trending_topn" + suffix, lambda s, d: feedback.trending(missed(s, d)), with_sql(both, "SELECT category, count(*) AS n, min(vuln_id) AS first_seen FROM mi GROUP BY 1 ORDER BY n DESC, first_seen LIMIT 5", **MISSED))
+    register("last_k_per_agent" + suffix, lambda s, d: feedback.last_of_each(missed(s, d)), with_sql(both, "SELECT agent_id, vuln_id, CAST(r AS INT) AS r FROM (SELECT agent_id, vuln_id, row_number() OVER (PARTITION BY agent_id ORDER BY vuln_id DESC) AS r FROM mi) WHERE r <= 5", **MISSED))
+    register(
+        "patterns_having" + suffix,
+        lambda s, d: feedback.patterns(missed(s, d)).withColumn("examples", F.concat_ws(",", F.transform("examples", lambda x: x.cast("string")))),
+        with_sql(both, "SELECT category, count(*) AS n, string_agg(vuln_id, ',' ORDER BY vuln_id) FILTER (r <= 3) AS examples FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY vuln_id) AS r FROM mi) GROUP BY 1 HAVING count(*) >= 3", **MISSED),
+    )
+    register(
+        "agent_profile" + suffix,
+        lambda s, d: feedback.agent_profile(missed(s, d)).select("agent_id", "total", F.concat_ws(",", "classes").alias("classes"), F.concat_ws(",", "languages").alias("languages")),
+        with_sql(both, "SELECT agent_id, count(*) AS total, array_to_string(list_sort(list(DISTINCT category)), ',') AS classes, array_to_string(list_sort(list(DISTINCT lang)), ',') AS languages FROM mi GROUP BY 1", **MISSED),
+    )
+    register("recommendations" + suffix, lambda s, d: feedback.recommendations(missed(s, d)), with_sql(both, "SELECT 'Improve ' || lang || ' analysis: ' || count(*) || ' missed' AS text FROM mi GROUP BY lang HAVING count(*) >= 3", **MISSED))
+
+
+_readers("", True, "pf.file = pt.file")
+_readers("_by_name", False, NAME)
 register(
-    "agent_profile",
-    lambda s, d: feedback.agent_profile(missed(s, d)).select("agent_id", "total", F.concat_ws(",", "classes").alias("classes"), F.concat_ws(",", "languages").alias("languages")),
-    with_sql(both, "SELECT agent_id, count(*) AS total, array_to_string(list_sort(list(DISTINCT category)), ',') AS classes, array_to_string(list_sort(list(DISTINCT lang)), ',') AS languages FROM mi GROUP BY 1", **MISSED),
+    "category_metrics_by_name",
+    lambda s, d: evaluate.category_metrics(domain(s, d, "findings"), domain(s, d, "ground_truth"), evaluate.band_join(domain(s, d, "findings"), domain(s, d, "ground_truth"))).withColumns({c: r6(c) for c in ("precision", "recall")}),
+    with_sql(
+        both,
+        "SELECT category, total, tp, total - tp AS fn, fp, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(tp / total, 6) AS recall FROM (SELECT category, count(*) AS total, count(*) FILTER (vuln_id IN (SELECT vuln_id FROM ma)) AS tp FROM ground_truth GROUP BY 1) JOIN (SELECT category, count(finding_id) AS fp FROM (SELECT DISTINCT category, cwe_id FROM ground_truth) g LEFT JOIN (SELECT * FROM findings WHERE finding_id NOT IN (SELECT finding_id FROM ma)) f ON f.cwe_id = g.cwe_id GROUP BY 1) USING (category)",
+        **PLACED,
+        ma=f"SELECT finding_id, vuln_id FROM pf JOIN pt ON {NAME} AND abs(pf.line - pt.line) <= 5",
+    ),
 )
-register("recommendations", lambda s, d: feedback.recommendations(missed(s, d)), with_sql(both, "SELECT 'Improve ' || lang || ' analysis: ' || count(*) || ' missed' AS text FROM mi GROUP BY lang HAVING count(*) >= 3", **MISSED))
 register("paired_bootstrap", lambda s, d: evaluate.bootstrap(_labelled(s, d).selectExpr("doc_id AS id", "cast(truth = guess AS double) AS a", "cast(truth = (n_chars > 2000) AS double) AS b")))
