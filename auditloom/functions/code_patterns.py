@@ -68,3 +68,11 @@ SANITIZER_OUTPUT = {
     "thread_sanitizer": ["data race", "lock-order-inversion", "thread-leak"],
 }
 WEAK_CRYPTO = {"MD5": "md5", "SHA1": "sha1", "DES": "des", "RC4": "rc4"}
+FIX_PATTERNS = [
+    ("add.*check", "Added validation check"), ("add.*null.*check", "Added null pointer check"), ("add.*bounds.*check", "Added bounds check"),
+    ("use.*safe.*function", "Replaced with safe function"), ("add.*lock", "Added locking mechanism"), ("add.*sanitize", "Added input sanitization"),
+    ("change.*size", "Fixed buffer size"), ("add.*length.*check", "Added length check"), ("remove.*unsafe", "Removed unsafe operation"),
+    ("initialize.*variable", "Added variable initialization"),
+]
+NETWORK_FACING = ["live-host", "network-range-own-assets"]
+CROSS_LANGUAGE_CLASSES = ["ffi_boundary", "cross_language"]

@@ -100,12 +100,20 @@ register(
 both = ["findings", "ground_truth"]
 
 
+def _missed_sql(rule: str) -> tuple[dict[str, str], dict[str, str]]:
+    found = {**PLACED, "fo": f"SELECT DISTINCT vuln_id FROM pf JOIN pt ON {rule} AND abs(pf.line - pt.line) <= 5"}
+    return found, {**found, "mi": "SELECT * FROM ground_truth WHERE vuln_id NOT IN (SELECT vuln_id FROM fo)"}
+
+
+BY_PATH = "pf.file = pt.file"
+MISSED_BY_PATH = _missed_sql(BY_PATH)[1]
+
+
 def _readers(suffix: str, same_path: bool, rule: str) -> None:
     """Queries over what was found and missed, places being matched by equal paths or by base names."""
+    FOUND, MISSED = _missed_sql(rule)
     found = lambda s, d: evaluate.band_join(domain(s, d, "findings"), domain(s, d, "ground_truth"), same_path=same_path)
     missed = lambda s, d: feedback.missed(domain(s, d, "ground_truth"), found(s, d))
-    FOUND = {**PLACED, "fo": f"SELECT DISTINCT vuln_id FROM pf JOIN pt ON {rule} AND abs(pf.line - pt.line) <= 5"}
-    MISSED = {**FOUND, "mi": "SELECT * FROM ground_truth WHERE vuln_id NOT IN (SELECT vuln_id FROM fo)"}
     register(
         "category_breakdown" + suffix,
         lambda s, d: evaluate.category_breakdown(domain(s, d, "ground_truth"), found(s, d)),
@@ -129,7 +137,7 @@ def _readers(suffix: str, same_path: bool, rule: str) -> None:
     register("recommendations" + suffix, lambda s, d: feedback.recommendations(missed(s, d)), with_sql(both, "SELECT 'Improve ' || lang || ' analysis: ' || count(*) || ' missed' AS text FROM mi GROUP BY lang HAVING count(*) >= 3", **MISSED))
 
 
-_readers("", True, "pf.file = pt.file")
+_readers("", True, BY_PATH)
 _readers("_by_name", False, NAME)
 register(
     "category_metrics_by_name",
