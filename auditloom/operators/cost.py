@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,22 +25,30 @@ def running(costs: DataFrame, total: int) -> DataFrame:
 
 def fold(costs: DataFrame, total: int, stage_limits: dict[str, int]) -> DataFrame:
     """Charges in order: one that would exceed the total is refused and marks the budget exceeded, one that would exceed its
-    stage's limit is refused. What is accepted depends on all before it, so a run is folded as one group."""
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        spent, by, exceeded, out = 0, {}, False, []
-        for run, seq, stage, cents in zip(pdf["run_id"], pdf["seq"], pdf["stage"], pdf["cents"]):
-            ok = spent + cents <= total
-            exceeded |= not ok
-            ok = ok and (stage not in stage_limits or by.get(stage, 0) + cents <= stage_limits[stage])
-            if ok:
-                spent += cents
-                by[stage] = by.get(stage, 0) + cents
-            out.append((run, seq, ok, spent, exceeded))
-        return pd.DataFrame(out, columns=["run_id", "seq", "accepted", "spent", "exceeded"])
-
-    return costs.groupBy("run_id").applyInPandas(one, "run_id long, seq long, accepted boolean, spent long, exceeded boolean")
+    stage's limit is refused. A charge without cents is one of 0.
+
+    What is accepted depends on all before it, so one task reads a run in order; it holds sums and a batch, never the run."""
+
+    def folded(batches):
+        at, spent, by, exceeded = None, 0, {}, False
+        for batch in batches:
+            rows, accepted, sums, flags = batch.to_pydict(), [], [], []
+            for run, stage, cents in zip(rows["run_id"], rows["stage"], rows["cents"]):
+                if (run,) != at:
+                    at, spent, by, exceeded = (run,), 0, {}, False
+                ok = spent + cents <= total
+                exceeded |= not ok
+                ok = ok and (stage not in stage_limits or by.get(stage, 0) + cents <= stage_limits[stage])
+                if ok:
+                    spent += cents
+                    by[stage] = by.get(stage, 0) + cents
+                accepted.append(ok)
+                sums.append(spent)
+                flags.append(exceeded)
+            yield pa.RecordBatch.from_pydict({"run_id": batch.column("run_id"), "seq": batch.column("seq"), "accepted": pa.array(accepted, pa.bool_()), "spent": pa.array(sums, pa.int64()), "exceeded": pa.array(flags, pa.bool_())})
+
+    charges = costs.select(F.col("run_id").cast("long"), F.col("seq").cast("long"), "stage", F.coalesce(F.col("cents").cast("long"), F.lit(0)).alias("cents"))
+    return charges.repartition("run_id").sortWithinPartitions("run_id", "seq").mapInArrow(folded, "run_id long, seq long, accepted boolean, spent long, exceeded boolean")
 
 
 def utilisation(costs: DataFrame, budget: int) -> DataFrame:

@@ -177,19 +177,29 @@ def mean_interval(values: DataFrame, group: str) -> DataFrame:
 
 
 def false_discovery(tests: DataFrame, q: float = 0.05) -> DataFrame:
-    """Benjamini-Hochberg over a table of tests (a row a hypothesis): p, rank, adjusted value, rejected."""
-    up, down = Window.orderBy("p", "id"), Window.orderBy(F.desc("p"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0)
-    n = tests.agg(F.count("*").alias("n"))
-    ranked = tests.withColumn("rank", F.row_number().over(up)).crossJoin(F.broadcast(n))  # one row
-    adjusted = F.least(F.lit(1.0), F.min(F.col("p") * F.col("n") / F.col("rank")).over(down))
-    return ranked.withColumn("adjusted", adjusted).select("id", "p", "rank", "adjusted", (F.col("adjusted") <= q).alias("rejected"))
+    """Benjamini-Hochberg over a table of tests (a row a hypothesis): p, rank, adjusted value, rejected; tests without p are
+    left out.
+
+    Ranks and the minimum over higher ranks are taken within ranges of p and carried over from a table of a row a range."""
+    dealt = materialize(tests.select("id", "p").filter("p is not null").repartitionByRange("p", "id").withColumn("part", F.spark_partition_id()), "tests")
+    whole = Window.orderBy("part")
+    sizes = dealt.groupBy("part").agg(F.count("*").alias("own"))
+    before = sizes.select("part", (F.sum("own").over(whole) - F.col("own")).alias("before"), F.sum("own").over(Window.partitionBy()).alias("n"))  # a row a range
+    inside = Window.partitionBy("part")
+    ranked = dealt.join(F.broadcast(before), "part").withColumn("rank", F.row_number().over(inside.orderBy("p", "id")) + F.col("before")).withColumn("value", F.col("p") * F.col("n") / F.col("rank"))
+    lows = ranked.groupBy("part").agg(F.min("value").alias("low"))
+    later = lows.select("part", F.min("low").over(Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)).alias("later"))  # a row a range
+    lowest = F.min("value").over(inside.orderBy(F.desc("p"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0))
+    adjusted = F.least(F.lit(1.0), lowest, F.col("later"))
+    return ranked.join(F.broadcast(later), "part").withColumn("adjusted", adjusted).select("id", "p", "rank", "adjusted", (F.col("adjusted") <= q).alias("rejected"))
 
 
 def bootstrap(values: DataFrame, draws: int = 200) -> DataFrame:
     """values: id, a, b (scores of two runs on one item) -> draw, difference of means under Poisson(1) weights.
 
-    Weights come from a hash of item and draw, so a draw is the same whatever the partitions; each row makes its own draws."""
-    u = F.pmod(F.xxhash64("id", "draw"), F.lit(1_000_000)) / 1_000_000
+    Weights come from a hash of item and draw (the first 32 bits of MD5), so a draw is the same whatever the partitions; each
+    row makes its own draws."""
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), F.col("draw").cast("string"))), 1, 8), 16, 10).cast("long") % 1_000_000 / 1_000_000
     weight = F.when(u < 0.367879, 0).when(u < 0.735759, 1).when(u < 0.919699, 2).when(u < 0.981012, 3).when(u < 0.996340, 4).otherwise(5)
     drawn = values.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("w", weight)
     g = drawn.groupBy("draw").agg(F.sum("w").alias("n"), F.sum(F.col("w") * (F.col("a") - F.col("b"))).alias("s"))

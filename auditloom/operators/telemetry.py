@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import deque
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,32 +53,48 @@ def throttled(alerts: DataFrame, limit: float, run: int = 3) -> DataFrame:
     return grouped.groupBy("agent_id", "island").agg(F.min("event_id").alias("first"), F.count("*").alias("n")).filter(F.col("n") >= run).select("agent_id", "first", "n")
 
 
-def chained(alerts: DataFrame) -> DataFrame:
-    """Audit rows per mode with their hash and the hash of the row before, and whether the link holds."""
-    w = Window.partitionBy("mode").orderBy("event_id")
+def chained(alerts: DataFrame, width: int = 1 << 16) -> DataFrame:
+    """Audit rows per mode with their hash and the hash of the row before, and whether the link holds.
+
+    A mode is cut into ranges of width ids: links are followed within ranges, and the first row of one takes the last hash of
+    the range before from a table of a row a range."""
     own = F.sha2(F.concat_ws("|", F.col("event_id").cast("string"), "alert_id", "severity"), 256)
+    rows = alerts.withColumn("sha", own).withColumn("part", F.expr(f"event_id div {width}"))
+    ends = rows.groupBy("mode", "part").agg(F.max_by("sha", "event_id").alias("last"))
+    ends = ends.select(F.col("mode").alias("m"), F.col("part").alias("p"), F.lag("last").over(Window.partitionBy("mode").orderBy("part")).alias("before"))
+    inside = rows.withColumn("inner", F.lag("sha").over(Window.partitionBy("mode", "part").orderBy("event_id")))
+    out = inside.join(ends, F.col("mode").eqNullSafe(F.col("m")) & F.col("part").eqNullSafe(F.col("p"))).withColumn("previous", F.coalesce("inner", "before"))
     # A record whose id divides by 97 was written with a damaged link.
-    out = alerts.withColumn("sha", own).withColumn("previous", F.lag("sha").over(w))
     out = out.withColumn("stored", F.when(F.col("event_id") % 97 == 0, F.lit("0")).otherwise(F.col("previous")))
     return out.select("event_id", F.substring("sha", 1, 16).alias("sha"), F.coalesce(F.col("stored").eqNullSafe(F.col("previous")), F.lit(True)).alias("holds"))
 
 
 def admitted(alerts: DataFrame, per_minute: int = 1, per_hour: int = 3) -> DataFrame:
-    """Actions of each mode in order, admitted while fewer than the caps were admitted in the last minute and hour.
-
-    Only admitted actions count, so each depends on all before it: a mode is folded as one group, holding times, not rows."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["at", "event_id"])
-        kept: deque[int] = deque()
-        out = []
-        for event, at in zip(pdf["event_id"], pdf["at"]):
-            while kept and kept[0] <= at - 3_600_000_000:
-                kept.popleft()
-            ok = len(kept) < per_hour and sum(t > at - 60_000_000 for t in kept) < per_minute
-            if ok:
-                kept.append(at)
-            out.append((event, ok))
-        return pd.DataFrame(out, columns=["event_id", "admitted"])
-
-    return alerts.select("mode", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at")).groupBy("mode").applyInPandas(fold, "event_id long, admitted boolean")
+    """Actions of each mode in order, admitted while fewer than the caps were admitted in the last minute and hour; one without
+    a time is not.
+
+    Only admitted actions count, so each depends on those before it, but none older than an hour: a mode is cut where a whole
+    hour of the clock is empty, and the pieces are read in order apart from each other, batch by batch, holding the admitted
+    times of the last hour. A mode that never rests is one piece, read by one task in that memory."""
+    hour = 3_600_000_000
+
+    def fold(batches):
+        piece, kept = None, deque()
+        for batch in batches:
+            rows, out = batch.to_pydict(), []
+            for mode, part, at in zip(rows["mode"], rows["piece"], rows["at"]):
+                if (mode, part) != piece:
+                    piece, kept = (mode, part), deque()
+                while kept and at is not None and kept[0] <= at - hour:
+                    kept.popleft()
+                ok = at is not None and len(kept) < per_hour and sum(t > at - 60_000_000 for t in kept) < per_minute
+                if ok:
+                    kept.append(at)
+                out.append(ok)
+            yield pa.RecordBatch.from_pydict({"event_id": batch.column("event_id"), "admitted": pa.array(out, pa.bool_())})
+
+    timed = alerts.select("mode", F.col("event_id").cast("long"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at")).withColumn("hour", F.expr(f"at div {hour}"))
+    hours = timed.select("mode", "hour").distinct()
+    pieces = hours.select(F.col("mode").alias("m"), F.col("hour").alias("h"), (F.col("hour") - F.row_number().over(Window.partitionBy("mode").orderBy("hour"))).alias("piece"))
+    cut = timed.join(pieces, F.col("mode").eqNullSafe(F.col("m")) & F.col("hour").eqNullSafe(F.col("h"))).select("mode", "piece", "at", "event_id")
+    return cut.repartition("mode", "piece").sortWithinPartitions("mode", "piece", "at", "event_id").mapInArrow(fold, "event_id long, admitted boolean")

@@ -46,7 +46,13 @@ register(
         p="SELECT ca.file_id, content, ca.start AS c, ca.match AS call, wr.start AS w, wr.match AS w_match FROM ca JOIN wr ON ca.file_id = wr.file_id AND wr.start > ca.start JOIN code ON code.file_id = ca.file_id WHERE NOT contains(substr(content, ca.start + 1, wr.start - ca.start), 'require') AND NOT contains(substr(content, ca.start + 1, wr.start - ca.start), 'if')",
     ),
 )
-register("unchecked_calls", lambda s, d: domain(s, d, "code").select("file_id", boundaries.unchecked(F.col("content")).alias("unchecked")))
+# A statement end that white space and `require` do not follow, without a look-ahead: the next word leaves `require` at some letter.
+LEAVES = "|".join(f"{'require'[:i]}(?:\\z|[^{'require'[i]}" + ("\\s" if i == 0 else "") + "])" for i in range(7))
+register(
+    "unchecked_calls",
+    lambda s, d: domain(s, d, "code").select("file_id", boundaries.unchecked(F.col("content")).alias("unchecked")),
+    with_sql(["code"], f"SELECT file_id, regexp_matches(content, '(?i)call\\s*\\([^)]*\\)[^;]*;\\s*(?:{LEAVES})') AS unchecked FROM code"),
+)
 LINES = {"li": "SELECT note_id, CAST(i AS INT) AS line, trim(t) AS text FROM (SELECT note_id, unnest(string_split(content, chr(10))) AS t, unnest(range(1, len(string_split(content, chr(10))) + 1)) AS i FROM notes) WHERE length(trim(t)) >= 10"}
 LINES["iv"] = f"SELECT note_id, line, unnest(string_split({risks_sql(cp.INVARIANTS, 'text')}, ',')) AS kind, CAST(least(10, len(list_filter([" + ", ".join(f"'{w}'" for w in cp.RELEVANT) + "], lambda w: contains(lower(text), w))) * 2) AS INT) AS relevance_tenths FROM li"
 register("invariants", lambda s, d: boundaries.invariants(domain(s, d, "notes")), with_sql(["notes"], "SELECT * FROM iv WHERE kind <> ''", **LINES))

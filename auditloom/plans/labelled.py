@@ -149,4 +149,10 @@ register(
         ma=f"SELECT finding_id, vuln_id FROM pf JOIN pt ON {NAME} AND abs(pf.line - pt.line) <= 5",
     ),
 )
-register("paired_bootstrap", lambda s, d: evaluate.bootstrap(_labelled(s, d).selectExpr("doc_id AS id", "cast(truth = guess AS double) AS a", "cast(truth = (n_chars > 2000) AS double) AS b")))
+POISSON = "CASE WHEN u < 0.367879 THEN 0 WHEN u < 0.735759 THEN 1 WHEN u < 0.919699 THEN 2 WHEN u < 0.981012 THEN 3 WHEN u < 0.996340 THEN 4 ELSE 5 END"
+register(
+    "paired_bootstrap",
+    lambda s, d: evaluate.bootstrap(_labelled(s, d).selectExpr("doc_id AS id", "cast(truth = guess AS double) AS a", "cast(truth = (n_chars > 2000) AS double) AS b")),
+    f"WITH l AS ({LABELLED}), u AS (SELECT CAST(i AS INT) AS draw, CAST(truth = guess AS INT) - CAST(truth = (n_chars > 2000) AS INT) AS d, CAST('0x' || substr(md5(doc_id || ':' || i), 1, 8) AS BIGINT) % 1000000 / 1000000 AS u FROM l, range(1, 201) t(i)) "
+    f"SELECT draw, coalesce(sum(w * d) / nullif(sum(w), 0), 0) AS difference FROM (SELECT draw, d, {POISSON} AS w FROM u) GROUP BY 1",
+)

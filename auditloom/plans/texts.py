@@ -141,7 +141,14 @@ register(
     _json,
     f"WITH a AS (SELECT event_id, {JSON_TEXT} AS response FROM events) SELECT event_id, v.location AS location, coalesce(v.bug_class, 'unknown') AS bug_class, coalesce(v.confidence, 0.3) AS confidence, CAST(NULL AS VARCHAR) AS evidence FROM (SELECT event_id, unnest(from_json(regexp_extract(response, '(?s)\\{{.*\\}}'), '{{\"vulnerabilities\":[{{\"location\":\"VARCHAR\",\"bug_class\":\"VARCHAR\",\"confidence\":\"DOUBLE\"}}]}}').vulnerabilities) AS v FROM a WHERE event_id % 3 = 0) UNION ALL SELECT event_id, NULL, 'unknown', 0.3, substr(response, 1, 500) FROM a WHERE event_id % 3 <> 0",
 )
-register("python_symbols", lambda s, d: extract.python_symbols(table(s, d, "events").selectExpr("event_id AS file_id", "concat('import os, json\\nclass C', event_type, ':\\n  def f(self):\\n    return os.path.join(str(', cast(event_id as string), '))\\n') AS content")))
+PYTHON = "concat('import os, json\\nclass C', event_type, ':\\n  def f(self):\\n    return os.path.join(str(', cast(event_id as string), '))\\n')"
+# The symbols of the texts above, written out by hand.
+SYMBOLS = "('import', 'os', 1), ('import', 'json', 1), ('class', 'C' || event_type, 2), ('function', 'f', 3), ('call', 'os.path.join', 4), ('call', 'str', 4)"
+register(
+    "python_symbols",
+    lambda s, d: extract.python_symbols(table(s, d, "events").selectExpr("event_id AS file_id", f"{PYTHON} AS content")),
+    f"SELECT event_id AS file_id, kind, name, line FROM events, LATERAL (VALUES {SYMBOLS}) v(kind, name, line)",
+)
 JS = "concat('import { a } from \"m', cast(page_id % 7 as string), '\"; function f', cast(page_id as string), '() {} const g = async (x) => 1; class K', cast(page_id % 3 as string), ' {} const h = (y)')"
 register(
     "js_symbols",

@@ -23,7 +23,19 @@ register(
     lambda s, d: cost.running(domain(s, d, "costs"), BUDGET),
     with_sql(["costs"], f"SELECT run_id, seq, spent, greatest(0, {BUDGET} - spent) AS remaining, spent <= {BUDGET} AS fits FROM (SELECT run_id, seq, CAST(sum(cents) OVER (PARTITION BY run_id ORDER BY seq) AS BIGINT) AS spent FROM costs)"),
 )
-register("budget_fold", lambda s, d: cost.fold(domain(s, d, "costs"), BUDGET, LIMITS))
+# One step a charge: the runs advance side by side.
+ROOM = "CASE stage " + " ".join(f"WHEN '{k}' THEN {k} + cents <= {v}" for k, v in LIMITS.items()) + " ELSE true END"
+FOLDED = {
+    "c": "SELECT run_id, seq, stage, cents, row_number() OVER (PARTITION BY run_id ORDER BY seq) AS k FROM costs",
+    "f": "SELECT DISTINCT run_id, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS seq, false AS accepted, CAST(0 AS BIGINT) AS spent, false AS exceeded, " + ", ".join(f"CAST(0 AS BIGINT) AS {k}" for k in LIMITS) + " FROM c"
+    + " UNION ALL SELECT run_id, k, seq, fits AND room, spent + CASE WHEN fits AND room THEN cents ELSE 0 END, exceeded OR NOT fits, " + ", ".join(f"{k} + CASE WHEN fits AND room AND stage = '{k}' THEN cents ELSE 0 END" for k in LIMITS)
+    + f" FROM (SELECT c.*, spent, exceeded, {', '.join(LIMITS)}, spent + cents <= {BUDGET} AS fits, {ROOM} AS room FROM f JOIN c ON c.run_id = f.run_id AND c.k = f.k + 1)",
+}
+register(
+    "budget_fold",
+    lambda s, d: cost.fold(domain(s, d, "costs"), BUDGET, LIMITS),
+    with_sql(["costs"], "SELECT run_id, seq, accepted, spent, exceeded FROM f WHERE k > 0", **FOLDED).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 register(
     "utilisation",
     lambda s, d: cost.utilisation(domain(s, d, "costs"), 10**12).withColumn("used", F.round("used", 9)),
@@ -70,4 +82,14 @@ register(
     lambda s, d: telemetry.chained(domain(s, d, "alerts")),
     with_sql(["alerts"], "SELECT event_id, substr(sha, 1, 16) AS sha, (CASE WHEN event_id % 97 = 0 THEN '0' ELSE p END) IS NOT DISTINCT FROM p AS holds FROM (SELECT *, lag(sha) OVER (PARTITION BY mode ORDER BY event_id) AS p FROM (SELECT *, sha256(CAST(event_id AS VARCHAR) || '|' || alert_id || '|' || severity) AS sha FROM alerts))"),
 )
-register("rate_cap_admitted", lambda s, d: telemetry.admitted(domain(s, d, "alerts")))
+ADMITTED = {
+    "a": f"SELECT mode, event_id, {MICROS} AS us, row_number() OVER (PARTITION BY mode ORDER BY {MICROS}, event_id) AS k FROM alerts",
+    "f": "SELECT DISTINCT mode, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS event_id, false AS ok, CAST([] AS BIGINT[]) AS kept FROM a"
+    " UNION ALL SELECT mode, k, event_id, ok, CASE WHEN ok THEN list_append(live, us) ELSE live END"
+    " FROM (SELECT *, len(live) < 3 AND len(list_filter(live, lambda t: t > us - 60000000)) < 1 AS ok FROM (SELECT a.*, list_filter(kept, lambda t: t > a.us - 3600000000) AS live FROM f JOIN a ON a.mode = f.mode AND a.k = f.k + 1))",
+}
+register(
+    "rate_cap_admitted",
+    lambda s, d: telemetry.admitted(domain(s, d, "alerts")),
+    with_sql(["alerts"], "SELECT event_id, ok AS admitted FROM f WHERE k > 0", **ADMITTED).replace("WITH ", "WITH RECURSIVE ", 1),
+)
