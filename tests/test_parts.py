@@ -4,7 +4,7 @@ import datetime
 import hashlib
 import random
 
-from auditloom.operators import cost, evaluate, telemetry
+from auditloom.operators import cost, dedup, evaluate, telemetry
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -68,3 +68,25 @@ def test_false_discovery_over_ranges(spark):
     got = evaluate.false_discovery(spark.createDataFrame(rows, "id long, p double").repartition(3)).collect()
     assert {x["id"]: (x["rank"], round(x["adjusted"], 9), x["rejected"]) for x in got} == want
     assert evaluate.false_discovery(spark.createDataFrame([], "id long, p double")).count() == 0
+
+
+def test_agglomerative_by_all_pairs(spark):
+    r = random.Random(9)
+    rows = [(g, i, [r.gauss(0, 1) for _ in range(3)]) for g in (1, 2) for i in range(g * 40, g * 40 + 30)]
+
+    def cosine(a, b):
+        return sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+
+    want = set()
+    for g in (1, 2):
+        vectors = {i: v for h, i, v in rows if h == g}
+        clusters = [{i} for i in vectors]
+        while len(clusters) > max(1, int(len(vectors) * 0.15)):
+            far = lambda a, b: sum(1 - cosine(vectors[i], vectors[j]) for i in a for j in b) / len(a) / len(b)
+            a, b = min(((a, b) for k, a in enumerate(clusters) for b in clusters[:k]), key=lambda p: far(*p))
+            clusters = [c for c in clusters if c not in (a, b)] + [a | b]
+        want |= {frozenset(c) for c in clusters}
+    got = {}
+    for x in dedup.agglomerative(spark.createDataFrame(rows, "label int, vec_id long, embedding array<double>"), "label", 0.85).collect():
+        got.setdefault((x["label"], x["cluster"]), set()).add(x["vec_id"])
+    assert {frozenset(c) for c in got.values()} == want
