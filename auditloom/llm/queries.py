@@ -1,4 +1,4 @@
-"""The queries of the ten operators over the synthetic tables, and SQL where it can express them.
+"""The queries of the operators over the synthetic tables, and SQL where it can express them.
 
 Each query applies its operator with production parameters to its whole table."""
 
@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditloom.llm import bpe, chat_format, decontaminate, embedding_dedup, lang_id, lm, secrets, simhash, substring_dedup, token_store
+from auditloom.llm import bpe, chat_format, decontaminate, divergence, embedding_dedup, lang_id, lm, secrets, simhash, substring_dedup, token_store
 from auditloom.llm.common import shared_dir, table
 from auditloom.llm.tokenization import default_path
 
@@ -61,6 +61,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_token_store": op2_token_store,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_source_divergence": op11_source_divergence,
 }
 
-SQL: dict[str, str] = {"op3_secrets": secrets.SQL, "op8_chat_format": chat_format.SQL}
+SQL: dict[str, str] = {"op3_secrets": secrets.SQL, "op8_chat_format": chat_format.SQL, "op11_source_divergence": divergence.SQL}
