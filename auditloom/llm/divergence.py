@@ -123,7 +123,10 @@ def _dense(row: dict) -> np.ndarray:
 
 def _cell(slices: pa.Table) -> pa.Table:
     """Partial sums of abs(p - q) for the ordered pairs of different groups of a cell."""
+    own = slices["ci"][0] == slices["cj"][0]
     slices = slices.to_pylist()
+    if len(slices) == 1 and not own:  # the other block has no group
+        return PARTIAL.empty_table()
     a, b = slices[0], slices[-1]
     p, q = _dense(a), _dense(b)
     left, right = ([g["source"] for g in x["groups"]] for x in (a, b))

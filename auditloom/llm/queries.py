@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auditloom.llm import bpe, chat_format, collocations, decontaminate, divergence, embedding_dedup, lang_id, lm, secrets, simhash, substring_dedup, token_store
+from auditloom.llm import bpe, chat_format, collocations, decontaminate, divergence, embedding_dedup, fingerprints, lang_id, lm, secrets, simhash, substring_dedup, token_store
 from auditloom.llm.common import shared_dir, table
 from auditloom.llm.tokenization import default_path
 
@@ -65,6 +65,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.report(table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_source_divergence": op11_source_divergence,
+    "op12_fingerprints": op12_fingerprints,
     "op13_collocations": op13_collocations,
 }
 
