@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditloom.llm.blocks import cut_parts, extent, from_planes, measured, mixed, packed, planes, runs, unpacked
+from auditloom.llm.blocks import FACTOR, cut_parts, extent, from_planes, measured, mixed, packed, planes, unpacked
 from auditloom.llm.common import chunks, materialize
 
 LEAST = 100
@@ -42,7 +42,7 @@ LONGEST = 5
 TOP = 2000
 SAMPLE = 4
 #: Words that a task numbers before it sends their keys.
-FLUSH = 3_000_000
+FLUSH = 1_500_000
 #: The filter: slices of 2^20 bits, 16 bits a phrase, PROBES of them set.
 SLICES, SLICE_BITS, PROBES = 256, 20, 4
 FEW = 10_000
@@ -56,7 +56,7 @@ COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.str
 
 
 class Grams:
-    """Words of some documents as numbers, and the keys of the phrases that begin at each of them."""
+    """Words of some documents as numbers, and the keys of the phrases that begin at them."""
 
     def __init__(self):
         self.vocabulary: dict[bytes, int] = defaultdict(count().__next__)
@@ -83,31 +83,36 @@ class Grams:
         salt = np.array([xxhash.xxh64_intdigest(x.encode(), 1) for x in self.langs], np.uint64)
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.vocabulary], np.uint64)
         self.h = mixed(hashes[self.id] + salt[self.lang])
-        self.keys: dict[int, np.ndarray] = {}
+        # Words of a language are numbered, so that what concerns single words is worked out once a word.
+        self.word = self.lang * len(hashes) + self.id
+        self.word_keys = tagged(mixed(mixed((hashes[None, :] + salt[:, None]).ravel())), 1)
         return self
 
-    def key(self, k: int) -> np.ndarray:
-        """Keys of the k-word phrases, their low bits k; where the piece is too short they mean nothing."""
-        if k not in self.keys:
-            out = np.zeros(len(self.h), np.uint64)
-            some = runs(self.h, k)
-            out[: len(some)] = some & np.uint64(2**64 - 8) | np.uint64(k)
-            self.keys[k] = out
-        return self.keys[k]
+    def key(self, k: int, at: np.ndarray) -> np.ndarray:
+        """Keys of the k-word phrases that begin at these places, their low bits k."""
+        if k == 1:
+            return self.word_keys[self.word[at]]
+        out = self.h[at]
+        for j in range(1, k):
+            out = out * np.uint64(FACTOR) + self.h[at + j]
+        return tagged(mixed(out), k)
 
     def counted(self, known: "Known | None") -> Iterator[tuple[int, np.ndarray]]:
         """k and the places of the k-word phrases that are in S or its border, level by level; without S, words and pairs."""
         yield 1, np.arange(len(self.h))
-        inside = None if known is None else known.has(self.key(1))
+        if known is None:
+            yield 2, np.flatnonzero(self.left >= 2)
+            return
+        inside = known.has(self.word_keys)[self.word]
         for k in range(2, LONGEST + 1):
-            fits = self.left >= k
-            if inside is None:
-                yield k, np.flatnonzero(fits)
-                return
-            at = np.flatnonzero(fits & inside & np.append(inside[1:], False))
+            at = np.flatnonzero((self.left >= k) & inside & np.append(inside[1:], False))
             yield k, at
             inside = np.zeros(len(self.h), bool)
-            inside[at] = known.has(self.key(k)[at])
+            inside[at] = known.has(self.key(k, at))
+
+
+def tagged(x: np.ndarray, k: int) -> np.ndarray:
+    return x & np.uint64(2**64 - 8) | np.uint64(k)
 
 
 class Known:
@@ -127,10 +132,12 @@ class Known:
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         base = slice_of(keys, self.slices) << SLICE_BITS
-        out = np.ones(len(keys), bool)
-        for place in self.places(keys):
-            place += base
-            out &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+        left = np.arange(len(keys))
+        for place in self.places(keys):  # the first bit rules most keys out
+            place = place[left] + base[left]
+            left = left[(self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)]
+        out = np.zeros(len(keys), bool)
+        out[left] = True
         return out
 
 
@@ -200,15 +207,17 @@ def _tally(docs: DataFrame, choose: Callable[[Grams], list[np.ndarray]], parts:
 
 def proposed(sample: DataFrame, parts: int, least: int) -> DataFrame:
     """Keys of the phrases that are frequent in the sample."""
-    short = _tally(sample, lambda g: [g.key(k)[at] for k, at in g.counted(None)], parts, least, "proposed")
+    short = _tally(sample, lambda g: [g.key(k, at) for k, at in g.counted(None)], parts, least, "proposed")
     filter_ = known(short)
 
     def longer(g: Grams) -> list[np.ndarray]:
-        pair = (g.left >= 2) & Known(filter_.value).has(g.key(2))
+        inside = Known(filter_.value)
+        pair, some = np.zeros(len(g.h), bool), np.flatnonzero(g.left >= 2)
+        pair[some] = inside.has(g.key(2, some))
         out, run = [np.zeros(0, np.uint64)], pair
         for k in range(3, LONGEST + 1):
-            run = run & np.append(pair[k - 2 :], np.zeros(k - 2, bool))
-            out.append(g.key(k)[np.flatnonzero(run)])
+            run = run & np.append(pair[k - 2 :], np.zeros(min(k - 2, len(pair)), bool))
+            out.append(g.key(k, np.flatnonzero(run)))
         return out
 
     return short.select("key").unionByName(_tally(sample, longer, parts, least, "proposed").select("key"))
@@ -227,7 +236,7 @@ def frequent(docs: DataFrame, parts: int, least: int, sample: int) -> DataFrame:
         def added(g: Grams, now=now, before=before) -> list[np.ndarray]:
             """What S and its border have, without what an earlier pass has counted."""
             old = {} if before is None else dict(g.counted(Known(before.value)))
-            return [g.key(k)[np.setdiff1d(at, old[k], assume_unique=True) if k in old else at] for k, at in g.counted(Known(now.value))]
+            return [g.key(k, np.setdiff1d(at, old[k], assume_unique=True) if k in old else at) for k, at in g.counted(Known(now.value))]
 
         new = _tally(docs, added, parts, least, "frequent")
         found = new if found is None else found.unionByName(new)
@@ -243,8 +252,13 @@ def _spell(batches: Iterator[pa.RecordBatch], keys) -> Iterator[pa.RecordBatch]:
     for g in _grams(batches):
         words, langs = list(g.vocabulary), list(g.langs)
         out: list[tuple] = [(langs[i], 0, "", n) for i, n in enumerate(np.bincount(g.lang, minlength=len(langs)).tolist()) if n]
+        times = np.bincount(g.word, minlength=len(g.word_keys))
+        many = np.flatnonzero(inside.has(g.word_keys) & (times > 0)).tolist()
+        out += [(langs[i // len(words)], 1, words[i % len(words)].decode(), int(times[i])) for i in many]
         for k, at in g.counted(inside):
-            key = g.key(k)[at]
+            if k == 1:
+                continue
+            key = g.key(k, at)
             ok = inside.has(key)
             at, key = at[ok], key[ok]
             _, first, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)

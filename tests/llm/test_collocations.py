@@ -70,8 +70,8 @@ def test_colliding_keys_and_full_filters(spark, monkeypatch):
     monkeypatch.setattr(collocations.Known, "has", lambda self, keys: np.ones(len(keys), bool))
     assert got(collocations.collocations(frame(spark, rows), 5, 30)) == want
     monkeypatch.undo()
-    whole = collocations.Grams.key
-    monkeypatch.setattr(collocations.Grams, "key", lambda self, k: whole(self, k) & np.uint64(0xF000000000000007))
+    whole = collocations.tagged
+    monkeypatch.setattr(collocations, "tagged", lambda x, k: whole(x, k) & np.uint64(0xF000000000000007))
     assert got(collocations.collocations(frame(spark, rows), 5, 30)) == want
 
 
