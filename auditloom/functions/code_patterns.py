@@ -76,3 +76,23 @@ FIX_PATTERNS = [
 ]
 NETWORK_FACING = ["live-host", "network-range-own-assets"]
 CROSS_LANGUAGE_CLASSES = ["ffi_boundary", "cross_language"]
+# What names a contract, its scopes, blocks of foreign functions and calls of them.
+CONTRACT_HEAD = [r"contract\s+(\w+)\s*is", r"contract\s+(\w+)\s*\{"]
+CONTRACT_SCOPES = [("in_contract", r"(?:contract|library|interface)\s+(\w+)[^{};]*\{"), ("in_function", r"function\s+(\w+)[^{};]*\{")]
+WASM_SCOPES = [("in_function", r"\(\s*func\s+\$?(\w+)")]
+WASM_EACH = [
+    ("memory_access", r"i32\.load"), ("memory_access", r"i64\.load"), ("memory_access", r"f32\.load"), ("memory_access", r"f64\.load"),
+    ("memory_access", r"i32\.store"), ("memory_access", r"i64\.store"), ("memory_access", r"f32\.store"), ("memory_access", r"f64\.store"),
+    ("table_access", "call_indirect"), ("table_access", r"table\.get"), ("table_access", r"table\.set"), ("table_access", r"table\.grow"), ("table_access", r"table\.size"),
+    ("host_import", r"call\s+import"), ("host_import", r"import\s+\w+"), ("host_import", r"\.import"), ("export", r"export\s+"), ("export", r'\(export\s+"'),
+]
+EXTERN_BLOCK = r'extern\s*"C"\s*\{'
+BLOCK_FUNCTION = r"fn\s+(\w+)\s*\([^)]*\)"
+MANUAL_MEMORY = ["malloc", "free", "alloc", "dealloc"]
+CTYPES = [r"ctypes\.CDLL\(([^)]+)\)", r"ctypes\.WinDLL\(([^)]+)\)", r"ctypes\.CFUNCTYPE\(([^)]+)\)", r"ctypes\.POINTER\(([^)]+)\)"]
+# Risks of contract calls, unchecked returns among them.
+CALL_RISKS = {
+    "delegatecall_risk": CONTRACT_RISKS["delegatecall_risk"], "extcode_size": CONTRACT_RISKS["extcode_size"], "reentrancy": CONTRACT_RISKS["reentrancy"],
+    "unchecked_return": [r"call\s*\([^)]*\)[^;]*;(?!\s*require)"], "call_injection": CONTRACT_RISKS["call_injection"], "gas_limit": CONTRACT_RISKS["gas_limit"],
+    "access_control": CONTRACT_RISKS["access_control"], "address_predictability": CONTRACT_RISKS["address_predictability"],
+}

@@ -56,6 +56,10 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
         "file_id": "p_partkey", "lang": cases("p_partkey", ["rust", "python", "solidity", "wasm", "go"]),
         "content": "CASE p_partkey % 5 WHEN 0 THEN concat('extern \"C\" fn f', cast(p_partkey as string), '() {', chr(10), 'unsafe { raw_pointer }', chr(10), '#[no_mangle]', chr(10), 'static mut X; memcpy(d, s, n + 1); fn main() {}') WHEN 1 THEN concat('import ctypes', chr(10), 'lib = ctypes.CDLL(None)', chr(10), 'password = \"x\"; MD5', chr(10), 'app.run()', chr(10), CASE p_size % 2 WHEN 0 THEN 'CString::new' ELSE 'Box::leak' END) WHEN 2 THEN concat('contract C', cast(p_size as string), ' is Base {', chr(10), 'function pay(address a) public {', chr(10), 'a.call(x);', CASE p_size % 3 WHEN 0 THEN ' require(ok);' ELSE ' ' END, ' balance[m] = 0; totalSupply;', chr(10), 'a.delegatecall (data); extcodesize(a) > 0; allowance[b]; }}') WHEN 3 THEN concat('(module (import \"env\" \"f\") (i32.load (0) + 4 )', chr(10), 'memory.grow call_indirect global.get export x)', cast(p_size as string)) ELSE concat('x := C.puts', chr(10), 'p := unsafe.Pointer(q)', chr(10), 'callback lifetime ', cast(p_size as string)) END",
     }),
+    "units": ("part", {
+        "file_id": "p_partkey", "lang": cases("p_partkey", ["rust", "python", "solidity", "wasm"]),
+        "content": "CASE p_partkey % 4 WHEN 0 THEN concat('extern \"C\" {', chr(10), ' fn malloc_', cast(p_partkey as string), '(n: usize) -> *mut u8;', chr(10), CASE p_size % 2 WHEN 0 THEN 'fn plain(a: i32);' ELSE 'fn hook(x: i32) { if x { unsafe { y } } }' END, chr(10), 'fn last();', chr(10), '}', chr(10), CASE p_size % 3 WHEN 0 THEN 'extern  \"C\"  { fn other(x: i32); }' ELSE '' END, chr(10), 'fn main() { unsafe { free(p) } }') WHEN 1 THEN concat('import ctypes', chr(10), 'lib = ctypes.CDLL(\"x', cast(p_partkey as string), '.so\")', chr(10), 'P = ctypes.POINTER(ctypes.c_int)', chr(10), 'Q = ctypes.POINTER(ctypes.c_void_p)', chr(10), CASE p_size % 2 WHEN 0 THEN 'F = ctypes.CFUNCTYPE(None, ctypes.c_int)' ELSE 'W = ctypes.WinDLL(name); ctypes.CDLL()' END) WHEN 2 THEN concat('library L {', chr(10), 'function helper(uint a) internal { x.staticcall(data); }', chr(10), '}', chr(10), 'contract C', cast(p_size as string), CASE p_size % 2 WHEN 0 THEN ' is Base {' ELSE ' {' END, chr(10), '  function pay(address a) public {', chr(10), CASE p_size % 4 WHEN 0 THEN repeat('// pad ', 40) ELSE '' END, 'if (ok) { a.call{value: 1, gas: ', cast(p_size * 100 as string), '}(abi.encode(address(t', cast(p_partkey as string), '))); }', chr(10), '}', chr(10), CASE p_size % 3 WHEN 0 THEN 'function drain() external { require(ok); owner.delegatecall(data); msg.value; }' WHEN 1 THEN 'modifier m { create2(salt); if (extcode(a) && extcodesize(b) > 1) { update(); } }' ELSE 'receive() { selfdestruct(address( owner )); callcode(x); }' END, chr(10), '} a.send(1);', chr(10), '  external last') ELSE concat('(module m', cast(p_partkey as string), chr(10), '(import \"env\" \"f', cast(p_size % 5 as string), '\")', chr(10), '(func $run (param i32)', chr(10), '(i32.load offset=', cast(p_size as string), ' (i32.const 0)))', chr(10), '(func $go (call_indirect table=', cast(p_size % 3 as string), ' (i32.store8 (i32.const 4))))', chr(10), 'call import x', chr(10), '(export \"run\" (func $run)))') END",
+    }),
     "notes": ("supplier", {
         "note_id": "s_suppkey", "content": "CASE s_suppkey % 4 WHEN 0 THEN concat('The caller must hold the lock', chr(10), 'short', chr(10), 'it always returns is positive; at most ', cast(s_suppkey as string)) WHEN 1 THEN 'Ensures that the result is sorted and never changes' WHEN 2 THEN concat('   maximum size of buffer  ', chr(10), 'range between zero and ten; property of x') ELSE 'nothing to see in here' END",
     }),
