@@ -2,46 +2,20 @@
 
 from __future__ import annotations
 
-import math
-
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.functions.storage import materialize
+from auditloom.operators import similarity
 from auditloom.operators.graph import connected_components
 
-#: Vectors of a block in the exact self-join.
-BLOCK = 2000
-
+#: Links of clusters up to so many are joined in one task.
+SMALL = 10_000
 
 def cosine_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
-    """i < j, sim >= threshold of all vectors (vec_id, embedding), exactly.
-
-    Low thresholds leave no index to prune by, so blocks of vectors meet block by block: a task multiplies two blocks and
-    returns the pairs that reach the threshold only. Zero vectors are similar to nothing; null ones are left out."""
-    sound = vectors.filter("vec_id is not null and embedding is not null and size(embedding) > 0").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    blocks = max(1, math.ceil(sound.count() / BLOCK))
-    own = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    dealt = sound.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    cells = dealt.select("vec_id", "v", "own", F.least("own", "other").alias("ci"), F.greatest("own", "other").alias("cj"))
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(pdf["ci"].iloc[0]), int(pdf["cj"].iloc[0])
-        pdf = pdf[pdf["v"].map(len) == len(pdf["v"].iloc[0])]
-        ids, own, x = pdf["vec_id"].to_numpy(), pdf["own"].to_numpy(), np.stack(pdf["v"].to_numpy())
-        n = np.sqrt((x * x).sum(axis=1))
-        x = x / np.where(n > 0, n, 1)[:, None]
-        a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        s = x[a] @ x[b].T
-        p, q = np.nonzero(s >= threshold)
-        keep = a[p] < b[q] if i == j else np.ones(len(p), bool)
-        p, q = p[keep], q[keep]
-        return pd.DataFrame({"i": np.minimum(ids[a[p]], ids[b[q]]), "j": np.maximum(ids[a[p]], ids[b[q]]), "sim": s[p, q]})
-
-    return cells.groupBy("ci", "cj").applyInPandas(compare, "i long, j long, sim double")
+    """i < j, sim >= threshold of all vectors (vec_id, embedding), exactly. Zero vectors are similar to nothing; null ones are left out."""
+    return similarity.pairs(vectors, threshold)
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -54,8 +28,7 @@ def jaccard(a: Column, b: Column) -> Column:
 def dbscan(vectors: DataFrame, eps: float = 0.5) -> DataFrame:
     """vec_id, root: clusters of cosine distance up to eps with two members at least, which are the components of the links;
     root is the smallest member, null for noise."""
-    pairs = materialize(cosine_pairs(vectors, 1 - eps).select("i", "j"), "pairs")
-    found = connected_components(pairs, "i", "j")
+    found = connected_components(similarity.stars(vectors, 1 - eps), small=SMALL)
     return vectors.select("vec_id").join(found.select(F.col("node").alias("vec_id"), F.col("component").alias("root")), "vec_id", "left")
 
 

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.functions.storage import materialize
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: int = 0) -> DataFrame:
     """node, component (the smallest node reachable) of every node of the undirected edges.
 
     Alternating star contraction: the large star links each greater neighbour of a node to the node's smallest neighbour, the
     small star each smaller neighbour and the node itself; a logarithmic number of rounds leaves stars around the smallest
     nodes. The minima are summed map-side and written before they are joined, so that both sides of the join come straight
     from tables and Spark can split a hub's edges. Each round is a table in the shared folder. Nothing is collected but the
-    count and a hash sum of the edges, which stop changing at the end. Null ends and loops are left out."""
+    count and a hash sum of the edges, which stop changing at the end. Null ends and loops are left out.
+    Up to ``small`` edges (of whole numbers) are joined in one task instead of rounds."""
     now = materialize(edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).filter("u < v").distinct(), "edges")
     state = _state(now)
     if state[0] == 0:
         return now.select(F.col("v").alias("node"), F.col("u").alias("component"))
+    if state[0] <= small:
+        return now.coalesce(1).mapInArrow(_joined, "node long, component long")
     while True:
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))  # v: the centre
         least = materialize(both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m")), "stars")
@@ -39,3 +44,22 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("v", "u") % 1_000_003).alias("h")).first()
     return row["n"], row["h"] or 0
+
+
+def _joined(batches):
+    edges = pa.Table.from_batches(list(batches))
+    v, u = (edges[c].to_numpy() for c in ("v", "u"))
+    nodes, place = np.unique(np.concatenate([v, u]), return_inverse=True)
+    yield pa.record_batch([pa.array(nodes), pa.array(least_labels(nodes, place[: len(v)], place[len(v) :]))], names=["node", "component"])
+
+
+def least_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least label that each place reaches by links i - j."""
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        if (new == label).all():
+            return new
+        label = new
