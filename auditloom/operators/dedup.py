@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditloom.operators import similarity
 from auditloom.operators.graph import connected_components
+from auditloom.operators.linkage import agglomerative  # noqa: F401
 
 #: Links of clusters up to so many are joined in one task.
 SMALL = 10_000
 
+
 def cosine_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
     """i < j, sim >= threshold of all vectors (vec_id, embedding), exactly. Zero vectors are similar to nothing; null ones are left out."""
     return similarity.pairs(vectors, threshold)
@@ -35,31 +35,3 @@ def dbscan(vectors: DataFrame, eps: float = 0.5) -> DataFrame:
 def cluster_sizes(labels: DataFrame) -> DataFrame:
     """Members a cluster, noise as root null."""
     return labels.groupBy("root").agg(F.count("*").alias("n"))
-
-
-def agglomerative(vectors: DataFrame, group: str, threshold: float = 0.85) -> DataFrame:
-    """Average linkage on cosine distance within each group down to max(1, int(n * (1 - threshold))) clusters.
-
-    Sequential by nature; a group is what one report holds (a few hundred findings)."""
-
-    def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
-        x = np.stack(pdf["embedding"].to_numpy()).astype(float)
-        norm = np.sqrt((x * x).sum(axis=1))
-        x = x / np.where(norm > 0, norm, 1)[:, None]
-        d = 1 - x @ x.T
-        n = len(x)
-        np.fill_diagonal(d, np.inf)
-        size, label = np.ones(n), np.arange(n)
-        for _ in range(n - max(1, int(n * (1 - threshold)))):
-            a, b = sorted(np.unravel_index(int(d.argmin()), d.shape))
-            d[a] = d[:, a] = (d[a] * size[a] + d[b] * size[b]) / (size[a] + size[b])
-            d[b] = d[:, b] = np.inf
-            d[a, a] = np.inf
-            size[a] += size[b]
-            label[label == b] = a
-        return pd.DataFrame({group: pdf[group], "vec_id": pdf["vec_id"], "cluster": np.unique(label, return_inverse=True)[1]})
-
-    return vectors.select(group, "vec_id", "embedding").groupBy(group).applyInPandas(cluster, f"{group} int, vec_id long, cluster int")
-
-

@@ -132,7 +132,16 @@ register(
 COMPONENTS = f"WITH RECURSIVE v AS ({VECTORS}), p AS ({PAIRS}), e AS MATERIALIZED (SELECT i AS a, j AS b FROM p WHERE sim >= 0.4 UNION SELECT j, i FROM p WHERE sim >= 0.4), r AS (SELECT a AS n, b AS m FROM e UNION SELECT r.n, e.b FROM r JOIN e ON r.m = e.a), lab AS (SELECT vec_id, (SELECT CASE WHEN min(m) IS NULL THEN NULL ELSE least(min(m), vec_id) END FROM r WHERE r.n = vec_id) AS root FROM embeddings) "
 register("dbscan_components", lambda s, d: dedup.dbscan(table(s, d, "embeddings"), EPS), COMPONENTS + "SELECT vec_id, root FROM lab")
 register("cluster_merge", lambda s, d: dedup.cluster_sizes(dedup.dbscan(table(s, d, "embeddings"), EPS)), COMPONENTS + "SELECT root, count(*) AS n FROM lab GROUP BY root")
-register("agglomerative", lambda s, d: dedup.agglomerative(table(s, d, "embeddings").selectExpr("vec_id", "embedding", "cast(vec_id div 200 as int) AS report"), "report"))
+LINKED = """WITH RECURSIVE v AS (SELECT CAST(vec_id // 200 AS INT) AS report, vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+s AS (SELECT report, count(*) - greatest(1, CAST(floor(count(*) * (1 - 0.85::DOUBLE)) AS BIGINT)) AS need FROM v GROUP BY report),
+c AS (
+    SELECT report, id, 1 AS n, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS m, [id] AS members, need FROM v JOIN s USING (report)
+    UNION ALL
+    SELECT l.report, l.id, l.n + coalesce(o.n, 0), CASE WHEN o.id IS NULL THEN l.m ELSE list_transform(list_zip(l.m, o.m), lambda z: (z[1] * l.n + z[2] * o.n) / (l.n + o.n)) END, list_concat(l.members, coalesce(o.members, [])), l.need - 1
+    FROM c l JOIN (SELECT a.report, arg_min({'a': a.id, 'b': b.id}, {'d': round(1 - list_dot_product(a.m, b.m), 10), 'a': a.id, 'b': b.id}) AS p FROM c a JOIN c b ON a.report = b.report AND a.id < b.id WHERE a.need > 0 GROUP BY a.report) x ON x.report = l.report
+    LEFT JOIN c o ON o.report = l.report AND l.id = x.p.a AND o.id = x.p.b WHERE l.need > 0 AND l.id <> x.p.b
+) SELECT report, unnest(members) AS vec_id, CAST(cluster AS INT) AS cluster FROM (SELECT report, members, dense_rank() OVER (PARTITION BY report ORDER BY list_min(members)) - 1 AS cluster FROM c WHERE need = 0)"""
+register("agglomerative", lambda s, d: dedup.agglomerative(table(s, d, "embeddings").selectExpr("vec_id", "embedding", "cast(vec_id div 200 as int) AS report"), "report"), LINKED)
 
 
 def _jaccard(s, d):
