@@ -2,14 +2,15 @@
 
 Texts are lower-cased in A-Z, split at ``[.,;:!?]`` and line ends into pieces and these at blanks into words. All is per lang.
 
-1. Propose: in one of ``SAMPLE`` documents (by hash of id and text), phrases of one to five words that reach a threshold
-   lowered by 2.5 standard deviations are the proposal S: words and pairs in one pass, longer phrases over frequent pairs in a second.
+1. Propose: of the pieces of all documents one in ``SAMPLE`` is drawn (by hash of id, text and place, so copies and repeated lines are
+   drawn apart); phrases of one to five words that reach a threshold lowered by 3.5 standard deviations there are the proposal S:
+   words and pairs in one pass, longer phrases over frequent pairs in a second.
 2. Count: one pass over all documents counts S and its negative border exactly: a phrase counts if both its parts without the
    last and without the first word are in S (every word counts). The border is never listed; what does not occur needs no count.
 3. Expand: border phrases that reach the threshold (failures) join S, and another full pass counts what that adds to the
    border; so on until a pass has no failure. Every frequent phrase is then counted: its parts are frequent, thus in S.
 4. Confirm: counts so far are of 61-bit hashes, which can only be too high. A last pass counts the words themselves of what reached the
-   threshold, so results are exact whatever collides and whatever the sample held.
+   threshold, dealt into the same parts, so results are exact whatever collides and whatever the sample held.
 5. Cuts, scores and containment are joins of the counted phrases.
 
 A task sends the distinct keys of about ``FLUSH`` words, sorted and cut by their top bits into parts, packed (see blocks.py);
@@ -26,10 +27,11 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,7 +54,10 @@ END = b"\xff"
 LOWER = bytes(255 if c in b".,;:!?\n\x0b\x0c\r" else c | 0x20 if 65 <= c <= 90 else c for c in range(256))
 SENT = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 MERGED = pa.schema([("key", pa.int64()), ("n", pa.int64())])
-COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
+SPELLED = pa.schema([("part", pa.int32()), *((f.name, pa.list_(f.type)) for f in COUNTED)])
+#: Tosses of the sample, taken from a place that a document's hash gives.
+TOSSES = np.random.default_rng(20240701).random(65_521)
 
 
 class Grams:
@@ -66,8 +71,8 @@ class Grams:
         self.of: list[tuple[int, int]] = []
         self.size = 0
 
-    def add(self, lang: str, text: str) -> None:
-        words = text.encode().translate(LOWER).replace(END, b" \xff ").split()
+    def add(self, lang: str, text: bytes) -> None:
+        words = text.replace(END, b" \xff ").split()
         words.append(END)
         self.ids.append(np.fromiter(map(self.vocabulary.__getitem__, words), np.int32, len(words)))
         self.of.append((self.langs[lang], len(words)))
@@ -166,12 +171,22 @@ def known(keys: DataFrame):
     return keys.sparkSession.sparkContext.broadcast(bytes(bits))
 
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
+def drawn(text: bytes, doc_id: int | None, one_in: int) -> bytes:
+    """The pieces of a text that the sample has."""
+    pieces = text.split(END)
+    at = xxhash.xxh64_intdigest(text, (doc_id or 0) & 0xFFFFFFFF) % len(TOSSES)
+    heads = TOSSES[(at + np.arange(len(pieces))) % len(TOSSES)] < 1 / one_in
+    return END.join(compress(pieces, heads.tolist()))
+
+
+def _grams(batches: Iterator[pa.RecordBatch], one_in: int = 1) -> Iterator[Grams]:
     held = Grams()
     for batch in batches:
-        langs, text = batch.column("lang").to_pylist(), batch.column("text")
+        ids, langs, text = batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), batch.column("text")
         for a, z in chunks(text):
             for i, t in enumerate(text.slice(a, z - a).to_pylist(), a):
+                t = t.encode().translate(LOWER)
+                t = t if one_in == 1 else drawn(t, ids[i], one_in)
                 if t:
                     held.add(langs[i], t)
                 if held.size >= FLUSH:
@@ -181,8 +196,8 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
         yield held.close()
 
 
-def _send(batches: Iterator[pa.RecordBatch], choose: Callable[[Grams], list[np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
-    for g in _grams(batches):
+def _send(batches: Iterator[pa.RecordBatch], choose: Callable[[Grams], list[np.ndarray]], parts: int, one_in: int) -> Iterator[pa.RecordBatch]:
+    for g in _grams(batches, one_in):
         keys, n = np.unique(np.concatenate(choose(g)), return_counts=True)
         sent = [(p, packed(keys[s]), planes(n[s])) for p, s in cut_parts(keys, parts)]
         yield pa.record_batch([pa.array([r[i] for r in sent], f.type) for i, f in enumerate(SENT)], schema=SENT)
@@ -199,15 +214,15 @@ def _merge(sent: pa.Table, least: int) -> pa.Table:
     return pa.table([keys[starts[many]].view(np.int64), n[many]], schema=MERGED)
 
 
-def _tally(docs: DataFrame, choose: Callable[[Grams], list[np.ndarray]], parts: int, least: int, name: str) -> DataFrame:
-    """Keys that reach a count over all documents."""
-    sent = docs.mapInArrow(lambda it: _send(it, choose, parts), "part int, keys binary, counts binary")
+def _tally(docs: DataFrame, choose: Callable[[Grams], list[np.ndarray]], parts: int, least: int, name: str, one_in: int = 1) -> DataFrame:
+    """Keys that reach a count over all documents, or over a sample of their pieces."""
+    sent = docs.mapInArrow(lambda it: _send(it, choose, parts, one_in), "part int, keys binary, counts binary")
     return materialize(sent.groupBy("part").applyInArrow(lambda t: _merge(t, least), "key long, n long"), name)
 
 
-def proposed(sample: DataFrame, parts: int, least: int) -> DataFrame:
+def proposed(docs: DataFrame, parts: int, least: int, one_in: int) -> DataFrame:
     """Keys of the phrases that are frequent in the sample."""
-    short = _tally(sample, lambda g: [g.key(k, at) for k, at in g.counted(None)], parts, least, "proposed")
+    short = _tally(docs, lambda g: [g.key(k, at) for k, at in g.counted(None)], parts, least, "proposed", one_in)
     filter_ = known(short)
 
     def longer(g: Grams) -> list[np.ndarray]:
@@ -220,15 +235,13 @@ def proposed(sample: DataFrame, parts: int, least: int) -> DataFrame:
             out.append(g.key(k, np.flatnonzero(run)))
         return out
 
-    return short.select("key").unionByName(_tally(sample, longer, parts, least, "proposed").select("key"))
+    return short.select("key").unionByName(_tally(docs, longer, parts, least, "proposed", one_in).select("key"))
 
 
 def frequent(docs: DataFrame, parts: int, least: int, sample: int) -> DataFrame:
     """Keys of all phrases that occur often enough (and of what shares a key with others and so seems to)."""
     mean = least / sample
-    lowered = max(1, math.floor(mean - 2.5 * math.sqrt(mean)))
-    part = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0)
-    s = proposed(part, parts, lowered)
+    s = proposed(docs, parts, max(1, math.floor(mean - 3.5 * math.sqrt(mean))), sample)
     before, found = None, None
     while True:
         now = known(s)
@@ -246,33 +259,48 @@ def frequent(docs: DataFrame, parts: int, least: int, sample: int) -> DataFrame:
         s, before = s.unionByName(failed), now
 
 
-def _spell(batches: Iterator[pa.RecordBatch], keys) -> Iterator[pa.RecordBatch]:
-    """(lang, k, phrase, n) of the phrases whose keys are known; k = 0: words of each language."""
+def _spell(batches: Iterator[pa.RecordBatch], keys, parts: int) -> Iterator[pa.RecordBatch]:
+    """The phrases whose keys are known with their counts in a batch, as lists a part; k = 0: words of each language."""
     inside = Known(keys.value)
     for g in _grams(batches):
         words, langs = list(g.vocabulary), list(g.langs)
-        out: list[tuple] = [(langs[i], 0, "", n) for i, n in enumerate(np.bincount(g.lang, minlength=len(langs)).tolist()) if n]
         times = np.bincount(g.word, minlength=len(g.word_keys))
-        many = np.flatnonzero(inside.has(g.word_keys) & (times > 0)).tolist()
-        out += [(langs[i // len(words)], 1, words[i % len(words)].decode(), int(times[i])) for i in many]
+        many = np.flatnonzero(inside.has(g.word_keys) & (times > 0))
+        of, n = np.divmod(many, len(words))[0], np.bincount(g.lang, minlength=len(langs))
+        at_key, lang, size, f = [np.zeros(len(langs), np.uint64), g.word_keys[many]], [np.arange(len(langs)), of], [0] * len(langs) + [1] * len(many), [n, times[many]]
+        spelled = [""] * len(langs) + [words[i].decode() for i in (many % len(words)).tolist()]
         for k, at in g.counted(inside):
             if k == 1:
                 continue
             key = g.key(k, at)
             ok = inside.has(key)
             at, key = at[ok], key[ok]
-            _, first, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            distinct, first, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
             first = at[first]
             same = g.lang[at] == g.lang[first[place]]
             for j in range(k):
                 same &= g.id[at + j] == g.id[first[place] + j]
-            if not same.all():  # two phrases share a key: the others are rows of their own
-                n = np.bincount(place[same], minlength=len(first))
-                first, n = np.append(first, at[~same]), np.append(n, np.ones((~same).sum(), np.int64))
-            spelled = [b" ".join([words[i] for i in w]).decode() for w in np.stack([g.id[first + j] for j in range(k)], axis=1).tolist()]
-            out += zip([langs[i] for i in g.lang[first].tolist()], [k] * len(first), spelled, n.tolist())
-        for a in range(0, len(out), 50_000):
-            yield pa.record_batch([pa.array([r[i] for r in out[a : a + 50_000]], f.type) for i, f in enumerate(COUNTED)], schema=COUNTED)
+            if not same.all():  # two phrases share a key: the others are counted one by one
+                n = np.append(np.bincount(place[same], minlength=len(first)), np.ones((~same).sum(), np.int64))
+                first, distinct = np.append(first, at[~same]), np.append(distinct, key[~same])
+            spelled += [b" ".join([words[i] for i in w]).decode() for w in np.stack([g.id[first + j] for j in range(k)], axis=1).tolist()]
+            size += [k] * len(first)
+            at_key.append(distinct)
+            lang.append(g.lang[first])
+            f.append(n)
+        at_key = np.concatenate(at_key)
+        order = np.argsort(at_key, kind="stable")
+        table = pa.table([pa.array(langs).take(pa.array(np.concatenate(lang))), pa.array(size, pa.int32()), pa.array(spelled, pa.string()), pa.array(np.concatenate(f))], schema=COUNTED).take(pa.array(order))
+        sent = [(p, *(table[c][s].combine_chunks() for c in COUNTED.names)) for p, s in cut_parts(at_key[order], parts)]
+        lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(r[i]) for r in sent)]), pa.int32()), pa.concat_arrays([r[i] for r in sent])) for i in range(1, len(SPELLED))]
+        yield pa.record_batch([pa.array([r[0] for r in sent], pa.int32()), *lists], schema=SPELLED)
+
+
+def _sum(sent: pa.Table, least: int) -> pa.Table:
+    """Exact counts of the phrases of a part that reach the threshold, and of words by language."""
+    rows = pa.table([pc.list_flatten(sent[c]) for c in COUNTED.names], schema=COUNTED)
+    rows = rows.group_by(["lang", "k", "phrase"]).aggregate([("f", "sum")]).select(["lang", "k", "phrase", "f_sum"])
+    return rows.filter(pc.or_(pc.greater_equal(rows["f_sum"], least), pc.equal(rows["k"], 0))).rename_columns(COUNTED.names)
 
 
 def phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
@@ -281,9 +309,9 @@ def phrases(docs: DataFrame, least: int = LEAST, sample: int = SAMPLE) -> tuple[
     _, parts = extent(sizes)
     docs = docs.select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     keys = known(frequent(docs, parts, least, sample).select("key"))
-    spelled = docs.select("lang", "text").mapInArrow(lambda it: _spell(it, keys), "lang string, k int, phrase string, n long")
-    counts = materialize(spelled.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("f")), "phrases")
-    return counts.filter((F.col("k") > 0) & (F.col("f") >= least)), counts.filter("k = 0").select("lang", F.col("f").alias("n"))
+    sent = docs.mapInArrow(lambda it: _spell(it, keys, parts), "part int, lang array<string>, k array<int>, phrase array<string>, f array<long>")
+    counts = materialize(sent.groupBy("part").applyInArrow(lambda t: _sum(t, least), "lang string, k int, phrase string, f long"), "phrases")
+    return counts.filter("k > 0"), counts.filter("k = 0").select("lang", F.col("f").alias("n"))
 
 
 def _slice_of_words(start, size):
