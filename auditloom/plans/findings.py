@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from auditloom.functions.catalogs import REASONING_WORDS, RISK_CLASS, values_sql
-from auditloom.operators import dedup, scan, votes
+from auditloom.operators import dedup, merging, scan, votes
 from auditloom.plans.registry import register
 from auditloom.sources.bindings import domain, table, with_sql
 
@@ -155,3 +155,23 @@ register(
     _jaccard,
     r"WITH w AS (SELECT conv_id, turn, list_distinct(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '')) AS l FROM conversations) SELECT a.conv_id, a.turn, round(CASE WHEN len(a.l) = 0 AND len(b.l) = 0 THEN 1.0 WHEN len(a.l) = 0 OR len(b.l) = 0 THEN 0.0 ELSE len(list_intersect(a.l, b.l)) / len(list_distinct(list_concat(a.l, b.l))) END, 6) AS jaccard FROM w a JOIN w b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE a.turn % 2 = 0",
 )
+
+
+def _components_sql(name: str, source: str, rules: list[str]) -> dict[str, str]:
+    """Least reachable findings over the links of the rules."""
+    stars = " UNION ".join(f"SELECT finding_id AS a, min(finding_id) OVER (PARTITION BY {r}) AS b FROM {source}" for r in rules)
+    return {f"{name}_e": f"SELECT a, b FROM ({stars}) UNION SELECT b, a FROM ({stars})", f"{name}_r": f"SELECT a AS n, b AS m FROM {name}_e UNION SELECT r.n, e.b FROM {name}_r r JOIN {name}_e e ON r.m = e.a", name: f"SELECT n AS finding_id, min(m) AS cluster FROM {name}_r GROUP BY n"}
+
+
+register(
+    "merge_rules",
+    lambda s, d: merging.merge_findings(domain(s, d, "mergeable")),
+    with_sql(
+        ["mergeable"],
+        "SELECT finding_id, cluster, false AS settled FROM one WHERE cluster NOT IN (SELECT cluster FROM odd) UNION ALL SELECT finding_id, cluster, true FROM two",
+        **_components_sql("one", "mergeable", ["bug_class, function", "cwe_id, pattern"]),
+        odd="SELECT DISTINCT cluster FROM one JOIN mergeable USING (finding_id) GROUP BY cluster, location HAVING count(DISTINCT bug_class) > 1",
+        again="SELECT m.* FROM mergeable m JOIN one USING (finding_id) WHERE cluster IN (SELECT cluster FROM odd)",
+        **_components_sql("two", "again", ["bug_class, function", "bug_class, cwe_id, pattern"]),
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)

@@ -24,6 +24,10 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
         "severity": "CASE o_orderpriority WHEN '1-URGENT' THEN 'critical' WHEN '2-HIGH' THEN 'high' WHEN '3-MEDIUM' THEN 'medium' ELSE 'low' END",
         "address": "o_custkey",
     }),
+    "mergeable": ("orders", {
+        "finding_id": "o_orderkey", "bug_class": cases("o_custkey", BUG_CLASSES), "cwe_id": cases("o_custkey % 15", CWES), "function": "concat('fn', cast(o_custkey as string), '_', cast(o_orderkey % 4 as string))",
+        "pattern": "concat('p', cast(cast(floor(o_orderkey / 8) as bigint) as string))", "location": "concat('src/', cast(cast(floor(o_orderkey / 8) as bigint) as string), ':', cast(o_orderkey % 2 as string))",
+    }),
     "votes": ("lineitem", {
         "finding_id": "l_orderkey", "line": "l_linenumber", "vote": "l_returnflag <> 'R'", "weight": "cast(l_quantity as int)",
         "persona": cases("l_linenumber", ["pro-vulnerability", "anti-vulnerability", "arbiter"]),
