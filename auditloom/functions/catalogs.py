@@ -125,3 +125,32 @@ def values_sql(rows: Iterable[tuple], columns: str, name: str = "c") -> str:
         return "'" + x.replace("'", "''") + "'" if isinstance(x, str) else repr(x)
 
     return "(VALUES " + ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows) + f") {name}({columns})"
+
+
+# Words and tactics by which a catalog is searched for a weakness, and what to do against an attack's tactic.
+CWE_KEYWORDS = {
+    "CWE-119": ["buffer", "bounds", "memory", "validate"], "CWE-120": ["buffer", "overflow", "memory", "validate"], "CWE-121": ["stack", "buffer", "overflow"], "CWE-122": ["heap", "buffer", "overflow"],
+    "CWE-125": ["out-of-bounds", "memory", "read"], "CWE-190": ["integer", "overflow", "wrap", "validate"], "CWE-191": ["integer", "underflow", "wrap"], "CWE-362": ["race", "condition", "concurrency", "thread"],
+    "CWE-367": ["time-of-check", "time-of-use", "race"], "CWE-20": ["input", "validation", "sanitize"], "CWE-78": ["command", "injection", "shell", "os"], "CWE-79": ["cross-site", "xss", "scripting", "sanitize"],
+    "CWE-89": ["sql", "injection", "query", "parameterize"], "CWE-94": ["code", "injection", "eval", "dynamic"], "CWE-287": ["authentication", "credential", "identity"], "CWE-306": ["authentication", "missing", "credential"],
+    "CWE-352": ["cross-site", "forgery", "csrf", "token"], "CWE-400": ["resource", "exhaustion", "denial", "rate"], "CWE-502": ["deserialization", "untrusted", "marshal"], "CWE-522": ["credential", "password", "storage", "hash"],
+    "CWE-732": ["permission", "authorization", "access"], "CWE-798": ["hardcoded", "credential", "password"], "CWE-918": ["server-side", "request", "ssrf", "forgery"], "CWE-476": ["null", "pointer", "dereference", "reference"],
+    "CWE-416": ["use-after-free", "memory", "dangling"], "CWE-772": ["resource", "leak", "memory", "unreachable"], "CWE-835": ["infinite", "loop", "resource", "exhaustion"], "CWE-295": ["certificate", "validation", "trust", "identity", "authentication"],
+    "CWE-296": ["certificate", "authentication", "identity", "bypass"], "CWE-297": ["certificate", "validation", "spoofing", "man-in-middle"], "CWE-326": ["encryption", "key", "strength", "cryptography", "weak"],
+    "CWE-523": ["certificate", "transmission", "exposure", "credential"], "CWE-649": ["reliance", "obfuscation", "authentication", "crypto"],
+}
+CWE_TACTICS = {
+    "CWE-119": ["Harden"], "CWE-120": ["Harden"], "CWE-125": ["Harden"], "CWE-190": ["Harden"], "CWE-362": ["Harden", "Isolate"], "CWE-20": ["Harden", "Detect"], "CWE-78": ["Harden", "Detect"], "CWE-79": ["Harden", "Detect"],
+    "CWE-89": ["Harden", "Detect"], "CWE-287": ["Harden"], "CWE-306": ["Harden"], "CWE-400": ["Harden", "Detect"], "CWE-502": ["Harden", "Detect"], "CWE-522": ["Harden"], "CWE-476": ["Harden"], "CWE-416": ["Harden"],
+    "CWE-295": ["Harden", "Detect"], "CWE-296": ["Harden"], "CWE-297": ["Harden", "Detect"], "CWE-326": ["Harden"], "CWE-523": ["Harden", "Isolate"], "CWE-649": ["Harden"],
+}
+DEFAULT_TACTICS = ["Harden", "Detect"]
+COUNTERMEASURES = {
+    "Execution": ["Implement application allowlisting (D3FEND: Application Control)"],
+    "Privilege Escalation": ["Enforce principle of least privilege (D3FEND: Privilege Restriction)", "Monitor for anomalous privilege usage"],
+    "Defense Evasion": ["Enable comprehensive logging and tamper protection", "Deploy behavioral detection for obfuscated execution"],
+    "Credential Access": ["Use hardware security modules for credential storage", "Implement multi-factor authentication"],
+    "Initial Access": ["Harden public-facing interfaces (D3FEND: Attack Surface Reduction)", "Deploy Web Application Firewall with known exploit signatures"],
+    "Impact": ["Implement rate limiting and resource quotas", "Deploy automated rollback for integrity violations"],
+    "Persistence": ["Monitor for unauthorized software installations", "Verify integrity of critical binaries at startup"],
+}

@@ -35,7 +35,7 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
     }),
     "ground_truth": ("part", {
         "vuln_id": "p_partkey", "category": cases("p_partkey", BUG_CLASSES), "cwe_id": cases("p_partkey", CWES),
-        "location": "concat('src/', CASE p_partkey % 7 WHEN 0 THEN 'kernel' WHEN 1 THEN 'driver' WHEN 2 THEN 'nginx' WHEN 3 THEN 'azure' WHEN 4 THEN 'redis' WHEN 5 THEN 'crypto' ELSE 'core' END, '/f', cast(p_partkey % 50 as string), '.c:', cast(p_size * 8 as string))",
+        "location": "concat('src/', CASE p_partkey % 7 WHEN 0 THEN 'kernel' WHEN 1 THEN 'driver' WHEN 2 THEN 'nginx' WHEN 3 THEN 'azure' WHEN 4 THEN 'redis' WHEN 5 THEN 'crypto' ELSE 'core' END, CASE WHEN p_partkey % 9 = 4 THEN '/g' ELSE '/f' END, cast(p_partkey % 50 as string), '.c:', cast(p_size * 8 as string))",
         "lang": cases("p_size", ["c", "rust", "solidity", "python"]), "stage": cases("p_partkey", ["scan", "validate", "dedup"]), "agent_id": "p_size",
     }),
     "files": ("documents", {
@@ -64,6 +64,20 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
         "file_id": "p_partkey", "lang": cases("p_partkey", ["rust", "python", "solidity", "wasm"]),
         "content": "CASE p_partkey % 4 WHEN 0 THEN concat('extern \"C\" {', chr(10), ' fn malloc_', cast(p_partkey as string), '(n: usize) -> *mut u8;', chr(10), CASE p_size % 2 WHEN 0 THEN 'fn plain(a: i32);' ELSE 'fn hook(x: i32) { if x { unsafe { y } } }' END, chr(10), 'fn last();', chr(10), '}', chr(10), CASE p_size % 3 WHEN 0 THEN 'extern  \"C\"  { fn other(x: i32); }' ELSE '' END, chr(10), 'fn main() { unsafe { free(p) } }') WHEN 1 THEN concat('import ctypes', chr(10), 'lib = ctypes.CDLL(\"x', cast(p_partkey as string), '.so\")', chr(10), 'P = ctypes.POINTER(ctypes.c_int)', chr(10), 'Q = ctypes.POINTER(ctypes.c_void_p)', chr(10), CASE p_size % 2 WHEN 0 THEN 'F = ctypes.CFUNCTYPE(None, ctypes.c_int)' ELSE 'W = ctypes.WinDLL(name); ctypes.CDLL()' END) WHEN 2 THEN concat('library L {', chr(10), 'function helper(uint a) internal { x.staticcall(data); }', chr(10), '}', chr(10), 'contract C', cast(p_size as string), CASE p_size % 2 WHEN 0 THEN ' is Base {' ELSE ' {' END, chr(10), '  function pay(address a) public {', chr(10), CASE p_size % 4 WHEN 0 THEN repeat('// pad ', 40) ELSE '' END, 'if (ok) { a.call{value: 1, gas: ', cast(p_size * 100 as string), '}(abi.encode(address(t', cast(p_partkey as string), '))); }', chr(10), '}', chr(10), CASE p_size % 3 WHEN 0 THEN 'function drain() external { require(ok); owner.delegatecall(data); msg.value; }' WHEN 1 THEN 'modifier m { create2(salt); if (extcode(a) && extcodesize(b) > 1) { update(); } }' ELSE 'receive() { selfdestruct(address( owner )); callcode(x); }' END, chr(10), '} a.send(1);', chr(10), '  external last') ELSE concat('(module m', cast(p_partkey as string), chr(10), '(import \"env\" \"f', cast(p_size % 5 as string), '\")', chr(10), '(func $run (param i32)', chr(10), '(i32.load offset=', cast(p_size as string), ' (i32.const 0)))', chr(10), '(func $go (call_indirect table=', cast(p_size % 3 as string), ' (i32.store8 (i32.const 4))))', chr(10), 'call import x', chr(10), '(export \"run\" (func $run)))') END",
     }),
+    "catalog": ("supplier", {
+        "technique_id": "concat('D3-X', cast(s_suppkey as string))", "tactic": cases("s_suppkey", ["Detect", "Isolate", "Deceive"]), "technique": cases("s_suppkey", ["Memory Checks", "Credential Hygiene"]), "level_0": "''", "level_1": "''",
+        "definition": "CASE s_suppkey % 6 WHEN 0 THEN 'Checks buffer bounds;  memory.' WHEN 1 THEN 'Rotate every credential and password, storage' WHEN 2 THEN 'Limits resource exhaustion (rate)' WHEN 3 THEN 'Race detection, by thread; \"sanitize\"' WHEN 4 THEN 'Certificate pinning' ELSE 'decoys' END",
+    }),
+    "ontology_map": ("customer", {"cwe_id": cases("c_custkey", ["CWE-190", "CWE-476", "CWE-326", "CWE-119"]), "technique_id": "concat('D3-O', cast(c_custkey % 7 as string))"}),
+    "ontology_known": ("customer", {"technique_id": "concat('D3-O', cast(c_custkey % 5 as string))"}),
+    "hierarchy": ("part", {
+        "technique_id": "p_partkey", "parent": "CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE cast(floor(p_partkey / 3) as bigint) END", "other": "CASE WHEN p_partkey % 5 = 0 THEN cast(floor(p_partkey / 7) as bigint) ELSE NULL END",
+        "tactic": "CASE p_size % 6 WHEN 0 THEN 'Harden' WHEN 1 THEN 'Detect' WHEN 2 THEN 'Isolate' WHEN 3 THEN 'Deceive' WHEN 4 THEN 'Restore' ELSE NULL END",
+    }),
+    "attack_tactics": ("orders", {
+        "finding_id": "o_orderkey", "one": cases("o_custkey", ["Execution", "Impact", "Persistence", "Discovery", "Credential Access"]), "two": cases("o_orderkey", ["Impact", "Initial Access", "Execution"]),
+        "technique_id": "concat('D3-', cast(o_custkey % 9 as string))", "label": "concat('Technique ', cast(o_custkey % 9 as string))", "tactic": cases("o_custkey", ["Harden", "Detect"]),
+    }),
     "notes": ("supplier", {
         "note_id": "s_suppkey", "content": "CASE s_suppkey % 4 WHEN 0 THEN concat('The caller must hold the lock', chr(10), 'short', chr(10), 'it always returns is positive; at most ', cast(s_suppkey as string)) WHEN 1 THEN 'Ensures that the result is sorted and never changes' WHEN 2 THEN concat('   maximum size of buffer  ', chr(10), 'range between zero and ten; property of x') ELSE 'nothing to see in here' END",
     }),

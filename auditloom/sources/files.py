@@ -56,6 +56,16 @@ def commit_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.size(parts) >= 5).select(*[F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(("commit_id", "author", "mail", "date", "message"))])
 
 
+def ontology_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(technique_id, label, tactic, description) and (cwe_id, ordinal, technique_id) of an ontology; techniques without a tactic
+    are ``unknown``. A file without one of its two parts gives an empty table."""
+    technique = "struct<label:string,tactic:string,description:string>"
+    raw = spark.read.schema(f"techniques map<string,{technique}>, cwe_mappings map<string,array<string>>").option("multiLine", True).json(path)
+    techniques = raw.select(F.explode("techniques").alias("technique_id", "t")).select("technique_id", "t.label", F.coalesce("t.tactic", F.lit("unknown")).alias("tactic"), "t.description")
+    mapped = raw.select(F.explode("cwe_mappings").alias("cwe_id", "t")).select("cwe_id", F.posexplode("t").alias("ordinal", "technique_id"))
+    return techniques, mapped
+
+
 def write_log(events: DataFrame, path: str) -> None:
     """One JSON object a line."""
     events.select(F.to_json(F.struct(*events.columns)).alias("value")).write.text(path)
