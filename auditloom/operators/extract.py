@@ -7,8 +7,9 @@ import ast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.functions.catalogs import COMMIT_WORDS, FLOW_CLASS, PATCH_WORDS, SANITIZERS, SENSITIVE, TAINT_SINKS, TAINT_SOURCES, frame
+from auditloom.functions.catalogs import COMMIT_WORDS, FLOW_CLASS, PATCH_WORDS, SENSITIVE, TAINT_SINKS, TAINT_SOURCES, frame
 from auditloom.functions.text import any_of, line_of, matches
+from auditloom.operators import taint
 
 
 def pattern_hits(files: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -26,18 +27,11 @@ def sensitive_data(files: DataFrame) -> DataFrame:
 
 
 def taint_flows(files: DataFrame) -> DataFrame:
-    """Sources and later sinks of one file with no sanitizer between them, and the class of the flow.
-
-    Hits of a file are joined by file, so pairs are bounded by what one file holds."""
-    spark = files.sparkSession
-    rows = lambda c: [(k, p) for k, ps in c.items() for p in ps]
-    source = pattern_hits(files, frame(spark, "kind string, pattern string", rows(TAINT_SOURCES))).select("file_id", F.col("kind").alias("source"), F.col("start").alias("source_at"))
-    sink = pattern_hits(files, frame(spark, "kind string, pattern string", rows(TAINT_SINKS))).select("file_id", F.col("kind").alias("sink"), F.col("start").alias("sink_at"))
-    pairs = source.join(sink, "file_id").filter("sink_at > source_at").join(files.select("file_id", "content"), "file_id")
-    between = F.col("content").substr(F.col("source_at") + 1, F.col("sink_at") - F.col("source_at"))
-    open_ = pairs.filter(~between.rlike("(?i)" + "|".join(SANITIZERS)))
-    classes = frame(spark, "source string, sink string, vulnerability string", [(a, b, v) for (a, b), v in FLOW_CLASS.items()])
-    flows = open_.join(F.broadcast(classes), ["source", "sink"], "left")
+    """Sources and later sinks of one file with no sanitizer between them, and the class of the flow, by one set of rules
+    (see taint.flows for those of four languages)."""
+    found = taint.open_flows(files.select("file_id", F.lit("any").alias("lang"), "content"), {"any": TAINT_SOURCES}, {"any": TAINT_SINKS})
+    classes = frame(files.sparkSession, "source string, sink string, vulnerability string", [(a, b, v) for (a, b), v in FLOW_CLASS.items()])
+    flows = found.join(F.broadcast(classes), ["source", "sink"], "left")
     return flows.select("file_id", "source", "sink", "source_at", "sink_at", F.coalesce("vulnerability", F.lit("Unsanitized Data Flow")).alias("vulnerability"))
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from auditloom.functions.catalogs import COMMIT_WORDS, FLOW_CLASS, PATCH_WORDS, SANITIZERS, SENSITIVE, TAINT_SINKS, TAINT_SOURCES, values_sql
 from auditloom.functions.text import matches, window
-from auditloom.operators import extract
+from auditloom.functions import taint_rules
+from auditloom.operators import extract, taint
 from auditloom.plans.registry import register
 from auditloom.sources.bindings import domain, table, with_sql
 
@@ -50,10 +51,6 @@ register(
 )
 
 
-def _flows(s, d):
-    return extract.taint_flows(domain(s, d, "files"))
-
-
 def flow_sql(sources: dict, sinks: dict, classes: dict) -> dict[str, str]:
     rows = lambda c: values_sql([(k, p) for k, ps in c.items() for p in ps], "kind, pattern", "r")
     return {
@@ -65,7 +62,32 @@ def flow_sql(sources: dict, sinks: dict, classes: dict) -> dict[str, str]:
     }
 
 
-register("taint_flows", _flows, with_sql(["files"], "SELECT * FROM fl", **flow_sql(TAINT_SOURCES, TAINT_SINKS, FLOW_CLASS)))
+def _program_flows(s, d):
+    return taint.flows(domain(s, d, "programs")).withColumn("confidence", F.round("confidence", 6))
+
+
+def program_hits(rules: dict) -> str:
+    """Hits of a language's own rules. A pattern may stand under several kinds."""
+    rows = values_sql([(lang, k, p) for lang, kinds in rules.items() for k, ps in kinds.items() for p in ps], "rl, kind, pattern", "r")
+    return "SELECT h.file_id, lang, kind, h.start, content, CAST(length(substr(content, 1, h.start)) - length(replace(substr(content, 1, h.start), chr(10), '')) + 1 AS INT) AS line FROM (" + hits_sql("programs", "content", "file_id", rows).replace("PARTITION BY file_id, pattern", "PARTITION BY file_id, rl, kind, pattern") + ") h JOIN programs p ON p.file_id = h.file_id AND lang = rl"
+
+
+PROGRAMS = {
+    "so": program_hits(taint_rules.SOURCES),
+    "si": program_hits(taint_rules.SINKS),
+    "pf": "SELECT so.file_id, so.lang, so.kind AS source, si.kind AS sink, so.start AS source_at, si.start AS sink_at, so.line AS source_line, si.line AS sink_line, CASE "
+    + " ".join(f"WHEN so.lang = '{lang}' AND regexp_matches(so.content, '{'|'.join(ps)}') THEN '{taint_rules.EXTENSION[lang]}->native'" for lang, ps in taint_rules.NATIVE.items())
+    + " ELSE 'none' END AS boundary, coalesce(c.v, 'Unsanitized Data Flow') AS vulnerability, round(least(1.0, greatest(0.3, 1 - (si.start - so.start) / 1000)), 6) AS confidence "
+    + "FROM so JOIN si ON so.file_id = si.file_id AND si.start > so.start LEFT JOIN "
+    + values_sql([(a, b, v) for (a, b), v in taint_rules.FLOW_CLASSES.items()], "a, b, v")
+    + " ON c.a = so.kind AND c.b = si.kind WHERE NOT regexp_matches(substr(so.content, so.start + 1, si.start - so.start), '(?i)" + "|".join(SANITIZERS) + "')",
+}
+register("taint_flows", _program_flows, with_sql(["programs"], "SELECT * FROM pf", **PROGRAMS))
+register(
+    "taint_summary",
+    lambda s, d: taint.flow_summary(taint.flows(domain(s, d, "programs"))),
+    with_sql(["programs"], "SELECT coalesce(boundary, '*') AS boundary, coalesce(vulnerability, '*') AS vulnerability, count(*) AS n, count(*) FILTER (confidence >= 0.7) AS high, count(*) FILTER (boundary <> 'none') AS crossing FROM pf GROUP BY GROUPING SETS ((boundary), (vulnerability), ())", **PROGRAMS),
+)
 
 
 def _pages_as_files(s, d):

@@ -41,6 +41,10 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
     "files": ("documents", {
         "file_id": "doc_id", "path": "concat('repo/', source, '/d', cast(doc_id as string), CASE lang WHEN 'en' THEN '.py' WHEN 'de' THEN '.rs' WHEN 'fr' THEN '.js' ELSE '.go' END)", "content": "text",
     }),
+    "programs": ("documents", {
+        "file_id": "doc_id", "lang": cases("doc_id", ["python", "rust", "javascript", "go"]),
+        "content": "concat(CASE doc_id % 4 WHEN 0 THEN concat('import os', chr(10), CASE doc_id % 3 WHEN 0 THEN 'data = input (\"x\")' WHEN 1 THEN 'data = requests.get(u); flask.request.args' ELSE 'cfg = json.load(f); with open (p)' END) WHEN 1 THEN CASE doc_id % 3 WHEN 0 THEN 'unsafe  fn f() { env::var(k)' WHEN 1 THEN 'let b = reqwest::get(u)' ELSE 'let f = File::open(p); args()' END WHEN 2 THEN CASE doc_id % 3 WHEN 0 THEN 'const fs = require(\"fs\"); prompt (q)' WHEN 1 THEN 'fetch (u); new WebSocket(v)' ELSE 'fs.readFileSync(p)' END ELSE CASE doc_id % 3 WHEN 0 THEN 'fmt.Scan(x)' WHEN 1 THEN 'net/http.Get(u)' ELSE 'import \"C\"; os.Open(p)' END END, chr(10), text, chr(10), CASE doc_id % 5 WHEN 0 THEN 'x.Strip ()' WHEN 1 THEN 'y = Validated' ELSE '' END, chr(10), CASE doc_id % 4 WHEN 0 THEN 'cursor.executemany(q); subprocess.run(c)' WHEN 1 THEN 'conn.execute(q); std::ptr::write(p, v)' WHEN 2 THEN 'db.query(q); eval (c); fs.writeFile(p)' ELSE 'db.Exec(q); exec.Command(c)' END, chr(10), CASE doc_id % 7 WHEN 0 THEN 'escape; ctypes.CDLL; requests.post(u); WebAssembly.x; eval (z); File::create(p)' ELSE 'ioutil.WriteFile(p); open (a, \"w\")' END)",
+    }),
     "alerts": ("events", {
         "event_id": "event_id", "alert_id": "concat(cast(user_id as string), '-', event_type)", "ts": "ts", "mode": "event_type",
         "severity": "CASE event_id % 4 WHEN 0 THEN 'low' WHEN 1 THEN 'medium' WHEN 2 THEN 'high' ELSE 'critical' END", "anomaly": "value", "agent_id": "user_id",
