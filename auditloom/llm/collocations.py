@@ -8,7 +8,9 @@ Texts are lower-cased in A-Z, split at ``[.,;:!?]`` and line ends into pieces an
 2. Count: one pass over all documents counts S and its negative border exactly: a phrase counts if both its parts without the
    last and without the first word are in S (every word counts). The border is never listed; what does not occur needs no count.
 3. Expand: border phrases that reach the threshold (failures) join S, and another full pass counts what that adds to the
-   border; so on until a pass has no failure. Every frequent phrase is then counted: its parts are frequent, thus in S.
+   border. What it counts anew stands for part of S at once, so longer phrases over it are counted in the same pass, and the
+   set is closed after it: the parts of a frequent phrase are frequent, so by induction on its length each is in S, a failure
+   or counted anew, and the phrase itself is counted. No failure, no such pass.
 4. Confirm: counts so far are of 61-bit hashes, which can only be too high. A last pass counts the words themselves of what reached the
    threshold, dealt into the same parts, so results are exact whatever collides and whatever the sample held.
 5. Cuts, scores and containment are joins of the counted phrases.
@@ -44,7 +46,7 @@ LONGEST = 5
 TOP = 2000
 SAMPLE = 4
 #: Words that a task numbers before it sends their keys.
-FLUSH = 1_500_000
+FLUSH = 1_200_000
 #: The filter: slices of 2^20 bits, 16 bits a phrase, PROBES of them set.
 SLICES, SLICE_BITS, PROBES = 256, 20, 4
 FEW = 10_000
@@ -80,16 +82,16 @@ class Grams:
 
     def close(self) -> "Grams":
         ids = np.concatenate(self.ids)
-        lang = np.repeat(*np.array(self.of, np.int64).T)
-        ends = np.flatnonzero(ids == 0)
-        left = ends[np.searchsorted(ends, np.arange(len(ids)))] - np.arange(len(ids))  # words of the piece from here on
+        lang = np.repeat(*np.array(self.of, np.int32).T)
+        ends = np.flatnonzero(ids == 0).astype(np.int32)
+        left = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(len(ids), dtype=np.int32)  # words of the piece from here on
         at = left > 0
         self.id, self.lang, self.left = ids[at], lang[at], left[at]
         salt = np.array([xxhash.xxh64_intdigest(x.encode(), 1) for x in self.langs], np.uint64)
         hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.vocabulary], np.uint64)
         self.h = mixed(hashes[self.id] + salt[self.lang])
         # Words of a language are numbered, so that what concerns single words is worked out once a word.
-        self.word = self.lang * len(hashes) + self.id
+        self.word = self.lang * np.int32(len(hashes)) + self.id
         self.word_keys = tagged(mixed(mixed((hashes[None, :] + salt[:, None]).ravel())), 1)
         return self
 
@@ -115,6 +117,19 @@ class Grams:
             inside = np.zeros(len(self.h), bool)
             inside[at] = known.has(self.key(k, at))
 
+    def added(self, known: "Known", before: "Known") -> Iterator[tuple[int, np.ndarray]]:
+        """k and the places of the k-word phrases that a larger S adds to what has been counted, those over added ones too."""
+        was, inside = before.has(self.word_keys)[self.word], known.has(self.word_keys)[self.word]
+        for k in range(2, LONGEST + 1):
+            fits = self.left >= k
+            old, at = fits & was & np.append(was[1:], False), np.flatnonzero(fits & inside & np.append(inside[1:], False))
+            new = ~old[at]
+            yield k, at[new]
+            key = self.key(k, at)
+            was, inside = np.zeros(len(self.h), bool), np.zeros(len(self.h), bool)
+            was[at] = before.has(key) & ~new
+            inside[at] = known.has(key) | new
+
 
 def tagged(x: np.ndarray, k: int) -> np.ndarray:
     return x & np.uint64(2**64 - 8) | np.uint64(k)
@@ -242,21 +257,13 @@ def frequent(docs: DataFrame, parts: int, least: int, sample: int) -> DataFrame:
     """Keys of all phrases that occur often enough (and of what shares a key with others and so seems to)."""
     mean = least / sample
     s = proposed(docs, parts, max(1, math.floor(mean - 3.5 * math.sqrt(mean))), sample)
-    before, found = None, None
-    while True:
-        now = known(s)
-
-        def added(g: Grams, now=now, before=before) -> list[np.ndarray]:
-            """What S and its border have, without what an earlier pass has counted."""
-            old = {} if before is None else dict(g.counted(Known(before.value)))
-            return [g.key(k, np.setdiff1d(at, old[k], assume_unique=True) if k in old else at) for k, at in g.counted(Known(now.value))]
-
-        new = _tally(docs, added, parts, least, "frequent")
-        found = new if found is None else found.unionByName(new)
-        failed = materialize(new.filter(F.col("key").bitwiseAND(7) < LONGEST).join(s, "key", "left_anti").select("key"), "failed")
-        if failed.isEmpty():
-            return found
-        s, before = s.unionByName(failed), now
+    first = known(s)
+    found = _tally(docs, lambda g: [g.key(k, at) for k, at in g.counted(Known(first.value))], parts, least, "frequent")
+    failed = materialize(found.filter(F.col("key").bitwiseAND(7) < LONGEST).join(s, "key", "left_anti").select("key"), "failed")
+    if failed.isEmpty():
+        return found
+    second = known(s.unionByName(failed))
+    return found.unionByName(_tally(docs, lambda g: [g.key(k, at) for k, at in g.added(Known(second.value), Known(first.value))], parts, least, "frequent"))
 
 
 def _spell(batches: Iterator[pa.RecordBatch], keys, parts: int) -> Iterator[pa.RecordBatch]:
