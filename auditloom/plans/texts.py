@@ -15,7 +15,6 @@ from auditloom.sources.bindings import domain, table, with_sql
 PROSE_SOURCES = {"user_input": ["tion", "ing"], "file": ["oux"]}
 PROSE_SINKS = {"sql_query": ["erehe"], "code_eval": ["ouble", "leaux"]}
 LINT = [("shout", "[A-Z]{3,}"), ("assign", r"\w+\s*=\s*\S"), ("todo", "todo|fixme"), ("trailing", r"[,;]$")]
-CLASS_WORDS = {"buffer_overflow": ["th", "er"], "injection": ["ou", "la"], "race_condition": ["der", "ung", "ch"], "logic_error": ["ció", "os"]}
 
 
 def hits_sql(source: str, text: str, key: str, rules: str) -> str:
@@ -136,15 +135,6 @@ register(
 )
 
 
-def _scores(s, d):
-    return table(s, d, "conversations").select("conv_id", "turn", extract.class_scores(F.col("text"), CLASS_WORDS).alias("b")).select("conv_id", "turn", "b.score", "b.bug_class")
-
-
-register(
-    "patch_class_score",
-    _scores,
-    "SELECT conv_id, turn, CAST(b.s AS INT) AS score, b.c AS bug_class FROM (SELECT conv_id, turn, list_max([" + ", ".join("{'s': " + " + ".join(f"len(regexp_extract_all(text, '{p}'))" for p in ps) + f", 'o': {-i}, 'c': '{k}'}}" for i, (k, ps) in enumerate(CLASS_WORDS.items())) + "]) AS b FROM conversations)",
-)
 register(
     "line_lint",
     lambda s, d: extract.line_lint(domain(s, d, "files"), LINT),

@@ -28,6 +28,12 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
         "finding_id": "o_orderkey", "bug_class": cases("o_custkey", BUG_CLASSES), "cwe_id": cases("o_custkey % 15", CWES), "function": "concat('fn', cast(o_custkey as string), '_', cast(o_orderkey % 4 as string))",
         "pattern": "concat('p', cast(cast(floor(o_orderkey / 8) as bigint) as string))", "location": "concat('src/', cast(cast(floor(o_orderkey / 8) as bigint) as string), ':', cast(o_orderkey % 2 as string))",
     }),
+    "patches": ("orders", {
+        "patch_id": "o_orderkey", "bug_class": "CASE o_orderkey % 4 WHEN 0 THEN 'race_condition' WHEN 1 THEN 'logic_error' WHEN 2 THEN 'Overflow' ELSE NULL END",
+        "description": "CASE o_orderkey % 11 WHEN 0 THEN 'Buffer overflow in parser' WHEN 1 THEN 'Use after free of a dangling pointer' WHEN 2 THEN 'integer overflow of the size' WHEN 3 THEN 'race condition (TOCTOU)' WHEN 4 THEN 'NULL dereference' WHEN 5 THEN 'SQL injection via query format' WHEN 6 THEN 'Reentrancy: external call, state change' WHEN 7 THEN 'wasm linear memory' WHEN 8 THEN 'extern block' WHEN 9 THEN 'delegatecall' ELSE 'misc fix' END",
+        "pre": "CASE o_custkey % 8 WHEN 0 THEN concat('  strcpy(d, s); free(p); use(p); free(p) ', repeat('- ', 40), 'sprintf(b, x) ', chr(10)) WHEN 1 THEN 'delete q; x = q->a; eval(z)' WHEN 2 THEN 'if (p) p = 1; malloc(n + 1 + 2)' WHEN 3 THEN 'Select * from t where a = + b; f\"{x}\"' WHEN 4 THEN '#[repr(C)] extern \"C\" unsafe block' WHEN 5 THEN 'call.delegatecall(x); extcodesize(y); selfdestruct(z); extcodesize(w); extcodesize(v); selfdestruct(u)' WHEN 6 THEN 'ptr->a ? b : c; role check is missing' ELSE 'memory grow; native method; interop' END",
+        "post": "CASE o_orderkey % 3 WHEN 0 THEN 'free(q); check; free(q)' WHEN 1 THEN 'add bounds check then act' ELSE NULL END",
+    }),
     "votes": ("lineitem", {
         "finding_id": "l_orderkey", "line": "l_linenumber", "vote": "l_returnflag <> 'R'", "weight": "cast(l_quantity as int)",
         "persona": cases("l_linenumber", ["pro-vulnerability", "anti-vulnerability", "arbiter"]),
