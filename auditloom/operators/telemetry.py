@@ -98,3 +98,39 @@ def admitted(alerts: DataFrame, per_minute: int = 1, per_hour: int = 3) -> DataF
     pieces = hours.select(F.col("mode").alias("m"), F.col("hour").alias("h"), (F.col("hour") - F.row_number().over(Window.partitionBy("mode").orderBy("hour"))).alias("piece"))
     cut = timed.join(pieces, F.col("mode").eqNullSafe(F.col("m")) & F.col("hour").eqNullSafe(F.col("h"))).select("mode", "piece", "at", "event_id")
     return cut.repartition("mode", "piece").sortWithinPartitions("mode", "piece", "at", "event_id").mapInArrow(fold, "event_id long, admitted boolean")
+
+
+def novelty(alerts: DataFrame, horizon_seconds: int = 86_400) -> DataFrame:
+    """agent_id, event_id, novelty: ``seen`` if the agent had an alert of this mode within the horizon before, ``near-variant`` if it
+    had one of another mode, else ``novel``."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    timed = alerts.select("agent_id", "event_id", "mode", at.alias("at"))
+    near = lambda *keys: F.coalesce(F.col("at") - F.lag("at").over(Window.partitionBy(*keys).orderBy("at", "event_id")) <= horizon_seconds * 1_000_000, F.lit(False))
+    return timed.select("agent_id", "event_id", F.when(near("agent_id", "mode"), "seen").when(near("agent_id"), "near-variant").otherwise("novel").alias("novelty"))
+
+
+def throttle_levels(alerts: DataFrame, budget: float, run: int = 3, levels: int = 3) -> DataFrame:
+    """agent_id, event_id, level: each time ``run`` alerts in a row (by ts, event_id) are above the budget, sensitivity falls by one level,
+    from levels - 1 down to 0; the count begins anew."""
+    order = Window.partitionBy("agent_id").orderBy("at", "event_id")
+    marked = alerts.select("agent_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), F.coalesce(F.col("anomaly") > budget, F.lit(False)).alias("over"))
+    island = F.row_number().over(order) - F.row_number().over(Window.partitionBy("agent_id", "over").orderBy("at", "event_id"))
+    inside = F.row_number().over(Window.partitionBy("agent_id", "island").orderBy("at", "event_id"))
+    falls = marked.withColumn("island", island).filter("over").withColumn("k", inside).filter(F.col("k") % run == 0)
+    return falls.select("agent_id", "event_id", F.greatest(F.lit(0), levels - 1 - F.row_number().over(order)).alias("level"))
+
+
+def heartbeats(alerts: DataFrame, until_micros: int, step_seconds: int = 3600) -> DataFrame:
+    """mode, at (microseconds), n: the alerts of each step of time, also where there are none, from a mode's first alert to
+    the last step that ends before until."""
+    step = step_seconds * 1_000_000
+    slots = alerts.select("mode", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(step)).alias("slot")).groupBy("mode", "slot").agg(F.count("*").alias("n"))
+    last = (until_micros - 1) // step - 1
+    all_ = slots.groupBy("mode").agg(F.min("slot").alias("first")).filter(F.col("first") <= last).select("mode", F.explode(F.sequence("first", F.lit(last))).alias("slot"))
+    return all_.join(slots, ["mode", "slot"], "left").select("mode", ((F.col("slot") + 1) * step).alias("at"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def sensitive_enough(alerts: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """alerts (event_id, score in -1..1, lower is odder; novelty) against cutoffs (sensitivity, cutoff, accepted: array of novelty
+    classes) -> sensitivity, event_id of those that pass; a row a sensitivity."""
+    return alerts.join(cutoffs, (F.col("score") < F.col("cutoff")) & F.array_contains("accepted", F.col("novelty"))).select("sensitivity", "event_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from auditloom.functions.catalogs import frame, values_sql
 from auditloom.operators import cost, telemetry
 from auditloom.plans.registry import register
 from auditloom.sources.bindings import domain, with_sql
@@ -93,3 +94,51 @@ register(
     lambda s, d: telemetry.admitted(domain(s, d, "alerts")),
     with_sql(["alerts"], "SELECT event_id, ok AS admitted FROM f WHERE k > 0", **ADMITTED).replace("WITH ", "WITH RECURSIVE ", 1),
 )
+register(
+    "alert_novelty",
+    lambda s, d: telemetry.novelty(domain(s, d, "alerts")),
+    with_sql(["alerts"], f"SELECT agent_id, event_id, CASE WHEN us - lag(us) OVER (PARTITION BY agent_id, mode ORDER BY us, event_id) <= 86400000000 THEN 'seen' WHEN us - lag(us) OVER (PARTITION BY agent_id ORDER BY us, event_id) <= 86400000000 THEN 'near-variant' ELSE 'novel' END AS novelty FROM (SELECT *, {MICROS} AS us FROM alerts)"),
+)
+LEVELS = {
+    "o": f"SELECT agent_id, event_id, coalesce(anomaly > 20.0, false) AS high, row_number() OVER (PARTITION BY agent_id ORDER BY {MICROS}, event_id) AS k FROM alerts",
+    "fold": "SELECT agent_id, event_id, k, CASE WHEN high THEN 1 ELSE 0 END AS run, 2 AS level, false AS fell FROM o WHERE k = 1"
+    " UNION ALL SELECT o.agent_id, o.event_id, o.k, CASE WHEN NOT high THEN 0 WHEN run = 2 THEN 0 ELSE run + 1 END, CASE WHEN high AND run = 2 THEN greatest(0, level - 1) ELSE level END, high AND run = 2 FROM fold JOIN o ON o.agent_id = fold.agent_id AND o.k = fold.k + 1",
+}
+register("throttle_levels", lambda s, d: telemetry.throttle_levels(domain(s, d, "alerts"), 20.0), with_sql(["alerts"], "SELECT agent_id, event_id, level FROM fold WHERE fell", **LEVELS).replace("WITH ", "WITH RECURSIVE ", 1))
+
+
+def _beats(s, d):
+    a = domain(s, d, "alerts")
+    return telemetry.heartbeats(a, a.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()[0] or 0)
+
+
+register(
+    "heartbeats",
+    _beats,
+    with_sql(
+        ["alerts"],
+        "SELECT r.mode, (slot + 1) * 3600000000 AS at, count(b.slot2) AS n FROM (SELECT mode, unnest(range(min(slot2), (SELECT (max(us) - 1) // 3600000000 FROM b))) AS slot FROM b GROUP BY mode) r LEFT JOIN b ON b.mode = r.mode AND b.slot2 = r.slot GROUP BY ALL",
+        b=f"SELECT mode, {MICROS} AS us, {MICROS} // 3600000000 AS slot2 FROM alerts",
+    ).replace("AS at,", 'AS "at",'),
+)
+# Cutoffs and accepted novelty of the sensitivities.
+CUTOFFS = [("low", -0.6, ["novel"]), ("medium", -0.4, ["near-variant", "novel"]), ("high", -0.2, ["seen", "near-variant", "novel"])]
+SCORED = "cast(event_id * 37 % 201 - 100 as double) / 100"
+register(
+    "sensitivity_gate",
+    lambda s, d: telemetry.sensitive_enough(
+        telemetry.novelty(domain(s, d, "alerts")).select("event_id", "novelty", F.expr(SCORED).alias("score")), F.broadcast(frame(s, "sensitivity string, cutoff double, accepted array<string>", CUTOFFS))
+    ),
+    with_sql(
+        ["alerts"],
+        f"SELECT sensitivity, event_id FROM (SELECT event_id, novelty, {SCORED} AS score FROM n) JOIN (VALUES " + ", ".join(f"('{a}', {b}::DOUBLE, {c})" for a, b, c in CUTOFFS) + ") c(sensitivity, cutoff, accepted) ON score < cutoff AND list_contains(accepted, novelty)",
+        n=f"SELECT event_id, CASE WHEN us - lag(us) OVER (PARTITION BY agent_id, mode ORDER BY us, event_id) <= 86400000000 THEN 'seen' WHEN us - lag(us) OVER (PARTITION BY agent_id ORDER BY us, event_id) <= 86400000000 THEN 'near-variant' ELSE 'novel' END AS novelty FROM (SELECT *, {MICROS} AS us FROM alerts)",
+    ),
+)
+# What a mode's alerts are bound to.
+MODE_TECHNIQUES = [("purchase", "D3-NTA"), ("signup", "D3-PA"), ("error", "D3-PA"), ("error", "D3-IPCTA"), ("view", "D3-FA"), ("click", "D3-SCA")]
+register(
+    "alert_counters",
+    lambda s, d: domain(s, d, "alerts").join(F.broadcast(frame(s, "mode string, technique string", MODE_TECHNIQUES)), "mode").groupBy("mode", "severity", "technique").agg(F.count("*").alias("n")),
+    with_sql(["alerts"], "SELECT mode, severity, technique, count(*) AS n FROM alerts JOIN " + values_sql(MODE_TECHNIQUES, "m, technique", "t") + " ON m = mode GROUP BY 1, 2, 3"),
+)
