@@ -91,10 +91,11 @@ register(
     lambda s, d: evaluate.mean_interval(table(s, d, "events").selectExpr("event_type", "value"), "event_type").select("event_type", "n", *[F.round(c, 4).alias(c) for c in ("mean", "low", "high")]),
     "SELECT event_type, count(*) AS n, round(avg(value), 4) AS mean, round(avg(value) - 1.96 * stddev_samp(value) / sqrt(count(*)), 4) AS low, round(avg(value) + 1.96 * stddev_samp(value) / sqrt(count(*)), 4) AS high FROM events GROUP BY 1",
 )
-TESTS = "SELECT n_nationkey AS id, cast((n_nationkey * 17 % 25) + 1 as double) / 500 AS p FROM nation"
+CHANCE = "power(cast((event_id * 7919 % 10007) + 1 as double) / 10007, 3)"
+TESTS = f"SELECT event_id AS id, {CHANCE} AS p FROM events"
 register(
     "false_discovery",
-    lambda s, d: evaluate.false_discovery(table(s, d, "nation").selectExpr("n_nationkey AS id", "cast((n_nationkey * 17 % 25) + 1 as double) / 500 AS p")).withColumn("adjusted", r6("adjusted")),
+    lambda s, d: evaluate.false_discovery(table(s, d, "events").selectExpr("event_id AS id", f"{CHANCE} AS p")).withColumn("adjusted", r6("adjusted")),
     f"WITH t AS ({TESTS}), r AS (SELECT *, row_number() OVER (ORDER BY p, id) AS rank, count(*) OVER () AS n FROM t), a AS (SELECT *, least(1.0, min(p * n / rank) OVER (ORDER BY p DESC, id DESC)) AS adj FROM r) SELECT id, p, rank, round(adj, 6) AS adjusted, adj <= 0.05 AS rejected FROM a",
 )
 both = ["findings", "ground_truth"]
@@ -150,9 +151,17 @@ register(
     ),
 )
 POISSON = "CASE WHEN u < 0.367879 THEN 0 WHEN u < 0.735759 THEN 1 WHEN u < 0.919699 THEN 2 WHEN u < 0.981012 THEN 3 WHEN u < 0.996340 THEN 4 ELSE 5 END"
+WEIGHED = f"SELECT draw, d, {POISSON} AS w FROM (SELECT draw, d, (y * 69621 % 2147483647 + y * y % 2147483647) % 2147483647 / 2147483647 AS u FROM (SELECT i AS draw, d, (id % 2147483647 * 16807 + (i * 48271 + 12345) % 2147483647) % 2147483647 AS y FROM l, range(1, {{n}}) t(i)))"
+DRAWN = "SELECT CAST(draw AS INT) AS draw, coalesce(sum(w * d) / nullif(sum(w), 0), 0) AS difference FROM w GROUP BY 1"
 register(
     "paired_bootstrap",
-    lambda s, d: evaluate.bootstrap(_labelled(s, d).selectExpr("doc_id AS id", "cast(truth = guess AS double) AS a", "cast(truth = (n_chars > 2000) AS double) AS b")),
-    f"WITH l AS ({LABELLED}), u AS (SELECT CAST(i AS INT) AS draw, CAST(truth = guess AS INT) - CAST(truth = (n_chars > 2000) AS INT) AS d, CAST('0x' || substr(md5(doc_id || ':' || i), 1, 8) AS BIGINT) % 1000000 / 1000000 AS u FROM l, range(1, 201) t(i)) "
-    f"SELECT draw, coalesce(sum(w * d) / nullif(sum(w), 0), 0) AS difference FROM (SELECT draw, d, {POISSON} AS w FROM u) GROUP BY 1",
+    lambda s, d: evaluate.bootstrap(_labelled(s, d).selectExpr("doc_id AS id", "cast(truth = guess AS double) AS a", "cast(truth = (n_chars > 2000) AS double) AS b"), 200),
+    f"WITH l0 AS ({LABELLED}), l AS (SELECT doc_id AS id, CAST(truth = guess AS INT) - CAST(truth = (n_chars > 2000) AS INT) AS d FROM l0), w AS ({WEIGHED.format(n=201)}) " + DRAWN,
+)
+RUNS = "SELECT event_id AS id, value AS a, value * (0.9 + cast(event_id % 7 AS double) / 40) AS b FROM events"
+register(
+    "bootstrap_interval",
+    lambda s, d: evaluate.bootstrap_interval(table(s, d, "events").selectExpr("event_id AS id", "value AS a", "value * (0.9 + cast(event_id % 7 AS double) / 40) AS b")).select("n", *(r6(c).alias(c) for c in ("difference", "low", "high", "effect"))),
+    f"WITH r AS ({RUNS}), l AS (SELECT id, a - b AS d FROM r), w AS ({WEIGHED.format(n=10_001)}), x AS ({DRAWN}) "
+    "SELECT count(*) AS n, round(avg(a) - avg(b), 6) AS difference, round((SELECT quantile_cont(difference, 0.025) FROM x), 6) AS low, round((SELECT quantile_cont(difference, 0.975) FROM x), 6) AS high, round((avg(a) - avg(b)) / sqrt((var_samp(a) + var_samp(b)) / 2), 6) AS effect FROM r",
 )
