@@ -154,3 +154,25 @@ COUNTERMEASURES = {
     "Impact": ["Implement rate limiting and resource quotas", "Deploy automated rollback for integrity violations"],
     "Persistence": ["Monitor for unauthorized software installations", "Verify integrity of critical binaries at startup"],
 }
+
+# What the agents' path binds a class to, and what it takes where the class is unknown.
+AGENT_ANALYTICS = {
+    "buffer-overflow": ["pattern-matching", "static-analysis", "sanitizer"], "use-after-free": ["static-analysis", "sanitizer", "taint-analysis"], "race-condition": ["static-analysis", "dynamic-analysis", "sanitizer"],
+    "auth-bypass": ["pattern-matching", "static-analysis", "access-control-audit"], "integer-overflow": ["static-analysis", "sanitizer", "symbolic-execution"], "deserialization": ["static-analysis", "pattern-matching", "taint-analysis"],
+    "type-confusion": ["static-analysis", "type-checking", "sanitizer"], "sql-injection": ["pattern-matching", "static-analysis", "taint-analysis"], "xss": ["pattern-matching", "static-analysis", "taint-analysis"],
+    "path-traversal": ["pattern-matching", "static-analysis", "access-control-audit"], "reentrancy": ["static-analysis", "symbolic-execution", "formal-verification"], "oracle-manipulation": ["static-analysis", "data-flow-analysis", "formal-verification"],
+    "account-confusion": ["static-analysis", "access-control-audit", "pattern-matching"], "arithmetic-overflow": ["static-analysis", "sanitizer", "symbolic-execution"], "irp-flaw": ["static-analysis", "pattern-matching", "formal-verification"],
+    "vm-escape": ["static-analysis", "formal-verification", "access-control-audit"],
+}
+AGENT_DEFENCES = {
+    "buffer-overflow": ["D3-SCH", "D3-AH", "D3-MA"], "use-after-free": ["D3-SCH", "D3-MA", "D3-PA"], "race-condition": ["D3-SCH", "D3-MA", "D3-EI"], "auth-bypass": ["D3-CH", "D3-AH", "D3-NTA"],
+    "integer-overflow": ["D3-SCH", "D3-MA"], "deserialization": ["D3-SCH", "D3-AH", "D3-PA"], "type-confusion": ["D3-SCH", "D3-MA"], "sql-injection": ["D3-AH", "D3-NTA"], "xss": ["D3-AH", "D3-NTA"],
+    "path-traversal": ["D3-AH", "D3-MA"], "reentrancy": ["D3-SCH", "D3-MA"], "oracle-manipulation": ["D3-AH", "D3-NTA"], "account-confusion": ["D3-CH", "D3-AH"], "arithmetic-overflow": ["D3-SCH", "D3-MA"],
+    "irp-flaw": ["D3-SCH", "D3-MA", "D3-EI"], "vm-escape": ["D3-EI", "D3-MA", "D3-NI"],
+}
+AGENT_ATTACKS = {
+    "buffer-overflow": ["T1203", "T1068"], "use-after-free": ["T1203", "T1068"], "race-condition": ["T1203", "T1499"], "auth-bypass": ["T1078", "T1552"], "integer-overflow": ["T1203"], "deserialization": ["T1203", "T1059"],
+    "type-confusion": ["T1203", "T1068"], "sql-injection": ["T1190"], "xss": ["T1189", "T1059"], "path-traversal": ["T1083", "T1041"], "reentrancy": ["T1649"], "oracle-manipulation": ["T1649"], "account-confusion": ["T1078"],
+    "arithmetic-overflow": ["T1203"], "irp-flaw": ["T1068", "T1203"], "vm-escape": ["T1565", "T1203"],
+}
+AGENT_DEFAULTS = (["static-analysis", "pattern-matching"], ["D3-SCH", "D3-AH"], ["T1203"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.functions.catalogs import frame
@@ -37,15 +37,17 @@ def risk_frequency(found: DataFrame) -> DataFrame:
 def reentrancy(files: DataFrame) -> DataFrame:
     """Each external call with the first later state write that no ``require`` or ``if`` stands before.
 
-    A forward as-of join within a file: pairs are bounded by the file."""
-    text = files.select("file_id", "content")
-    calls = text.select("file_id", F.explode(matches(F.col("content"), EXTERNAL_CALL)).alias("c"))
-    writes = text.select("file_id", F.explode(matches(F.col("content"), STATE_WRITE)).alias("w"))
-    pairs = calls.join(writes, "file_id").filter("w.start > c.start").join(text, "file_id")
-    between = F.col("content").substr(F.col("c.start") + 1, F.col("w.start") - F.col("c.start"))
-    bare = pairs.filter(~F.contains(between, F.lit("require")) & ~F.contains(between, F.lit("if")))
-    g = bare.groupBy("file_id", F.col("c.start").alias("call_at"), F.col("c.text").alias("call"), F.col("content")).agg(F.min_by("w.text", "w.start").alias("write"))
-    return g.select("file_id", line_of(F.col("content"), F.col("call_at")).alias("line"), "call_at", "call", "write")
+    Sorted windows a file: the next write and the end of the next guard are looked up for each call; if a guard ends before that write,
+    later writes have it before them as well. Texts are read where hits are found and go no further."""
+    text = F.col("content")
+    rules = frame(files.sparkSession, "role string, pattern string", [("call", EXTERNAL_CALL), ("write", STATE_WRITE), ("guard", "require|if")])
+    hit = files.select("file_id", "content").join(F.broadcast(rules), F.lit(True)).select("file_id", "role", "content", F.explode(matches(text, F.col("pattern"))).alias("m"))
+    hit = hit.select("file_id", "role", F.col("m.start").alias("at"), F.col("m.end").alias("end"), F.col("m.text").alias("text"), F.when(F.col("role") == "call", line_of(text, F.col("m.start"))).alias("line"))
+    later = Window.partitionBy("file_id").orderBy("at")
+    write = F.min(F.when(F.col("role") == "write", F.struct("at", "text"))).over(later.rangeBetween(1, Window.unboundedFollowing))
+    guard = F.min(F.when(F.col("role") == "guard", F.col("end"))).over(later.rangeBetween(0, Window.unboundedFollowing))
+    found = hit.withColumn("w", write).withColumn("g", guard).filter("role = 'call' AND w IS NOT NULL AND (g IS NULL OR w.at < g)")
+    return found.select("file_id", "line", F.col("at").alias("call_at"), F.col("text").alias("call"), F.col("w.text").alias("write"))
 
 
 def unchecked(text: Column) -> Column:
@@ -128,8 +130,25 @@ def grounded(alerts: DataFrame) -> DataFrame:
 
 
 def keyword_search(catalog: DataFrame, words: DataFrame) -> DataFrame:
-    """words (query) against keywords (entry_id, keyword): either holds the other."""
-    return catalog.join(F.broadcast(words), F.expr("contains(keyword, query) OR contains(query, keyword)")).select("query", "entry_id").distinct()
+    """words (query) against keywords (entry_id, keyword): either holds the other.
+
+    Distinct words meet distinct words, by the rarest trigram of the one that lies within the other; those too short for
+    a trigram are tried against all distinct ones. Entries are joined to what was found."""
+    queries, held = words.select("query").distinct(), catalog.select("keyword").distinct()
+    one = _within(queries.withColumnRenamed("query", "a"), held.withColumnRenamed("keyword", "b")).select(F.col("a").alias("query"), F.col("b").alias("keyword"))
+    two = _within(held.withColumnRenamed("keyword", "a"), queries.withColumnRenamed("query", "b")).select(F.col("b").alias("query"), F.col("a").alias("keyword"))
+    return one.unionByName(two).distinct().join(catalog, "keyword").select("query", "entry_id").distinct()
+
+
+def _within(inner: DataFrame, outer: DataFrame) -> DataFrame:
+    """a, b of distinct words: all pairs of which b holds a."""
+    grams = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.col(c).substr(i, F.lit(3)))))
+    index = outer.filter(F.length("b") >= 3).withColumn("gram", grams("b"))
+    asked = inner.filter(F.length("a") >= 3).withColumn("gram", grams("a")).join(index.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left")
+    rarest = asked.groupBy("a").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))  # a trigram that no word has: no pair
+    long = rarest.join(index, "gram").filter(F.contains("b", "a")).select("a", "b")
+    short = inner.filter(F.length("a") < 3).join(outer, F.expr("contains(b, a)")).select("a", "b")
+    return long.unionByName(short)
 
 
 def verification_targets(files: DataFrame) -> DataFrame:

@@ -35,3 +35,12 @@ def dbscan(vectors: DataFrame, eps: float = 0.5) -> DataFrame:
 def cluster_sizes(labels: DataFrame) -> DataFrame:
     """Members a cluster, noise as root null."""
     return labels.groupBy("root").agg(F.count("*").alias("n"))
+
+
+def merged(findings: DataFrame, labels: DataFrame) -> DataFrame:
+    """findings (finding_id, confidence), labels (finding_id, root: null for noise) -> a row a member: merged_id (D- and the
+    representative's id), cluster_id (the root, or noise- and the finding's id), size, finding_id, score (the member's
+    confidence), representative. The first member stands for its cluster; noise is a cluster of one."""
+    held = findings.join(labels, "finding_id").withColumn("cluster_id", F.coalesce(F.col("root").cast("string"), F.concat(F.lit("noise-"), F.col("finding_id").cast("string"))))
+    sizes = held.groupBy("cluster_id").agg(F.count("*").alias("size"), F.min("finding_id").alias("first"))
+    return held.join(sizes, "cluster_id").select(F.concat(F.lit("D-"), F.col("first").cast("string")).alias("merged_id"), "cluster_id", "size", "finding_id", F.col("confidence").alias("score"), (F.col("finding_id") == F.col("first")).alias("representative"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditloom.functions.catalogs import CLASS_ATTACK, CLASS_D3FEND, CLASS_D3FEND_DEFAULT, CLASS_SERVICE, CONTROLS, CWE_ATTACK, CWE_D3FEND, SERVICES, frame, listed
+from auditloom.functions.catalogs import AGENT_ANALYTICS, AGENT_ATTACKS, AGENT_DEFAULTS, AGENT_DEFENCES, CLASS_ATTACK, CLASS_D3FEND, CLASS_D3FEND_DEFAULT, CLASS_SERVICE, CONTROLS, CWE_ATTACK, CWE_D3FEND, SERVICES, frame, listed
 from auditloom.functions.text import choose
 
 HIGH_CLASSES = ("memory_corruption", "auth_bypass", "deserialization", "reentrancy", "oracle_manipulation")
@@ -109,3 +109,16 @@ def action_plan(findings: DataFrame, n: int = 10) -> DataFrame:
     rank = F.create_map(*[F.lit(x) for kv in (("critical", 0), ("high", 1), ("medium", 2), ("low", 3)) for x in kv])[F.col("severity")]
     todo = compliance(findings).filter("status = 'non-compliant'").join(findings.select("finding_id", "severity"), "finding_id")
     return todo.orderBy(rank, "finding_id", "framework", "control").limit(n).select("finding_id", "framework", "control", "severity")
+
+
+def agent_bindings(findings: DataFrame) -> DataFrame:
+    """findings: finding_id, bug_class (with hyphens), attack_ids (array or null) -> finding_id, analytics, defences, attacks: by class,
+    each with a default; attacks that a finding brings along stand as they are (none of them counts as none)."""
+    def bound(table: dict[str, list[str]], default: list[str]) -> Column:
+        lists = F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+        return F.coalesce(F.try_element_at(lists, F.col("bug_class")), F.array(*map(F.lit, default)))
+
+    tables = (AGENT_ANALYTICS, AGENT_DEFENCES, AGENT_ATTACKS)
+    analytics, defences, attacks = (bound(t, d) for t, d in zip(tables, AGENT_DEFAULTS))
+    own = F.when(F.size("attack_ids") > 0, F.col("attack_ids"))
+    return findings.select("finding_id", analytics.alias("analytics"), defences.alias("defences"), F.coalesce(own, attacks).alias("attacks"))

@@ -43,7 +43,7 @@ def band_join(findings: DataFrame, truth: DataFrame, tolerance: int = TOLERANCE,
     a = a.withColumn("bucket", F.explode(F.expr(f"array(line div {width} - 1, line div {width}, line div {width} + 1)")))
     key = ["base", "bucket"]
     sizes = a.groupBy(key).agg(F.count("*").alias("m")).join(b.groupBy(key).agg(F.count("*").alias("n")), key).filter(F.col("m") * F.col("n") > CELL * CELL)
-    sizes = F.broadcast(sizes.select(*key, F.ceil(F.col("m") / CELL).alias("p"), F.ceil(F.col("n") / CELL).alias("q")))  # a row for CELL rows at least
+    sizes = sizes.select(*key, F.ceil(F.col("m") / CELL).alias("p"), F.ceil(F.col("n") / CELL).alias("q"))  # a row for CELL rows at least; Spark sees at run time whether it is short
     own = lambda c, k: F.pmod(F.xxhash64(c), F.coalesce(k, F.lit(1)))
     each = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(k), F.lit(1)) - 1))
     a = a.join(sizes, key, "left").withColumn("i", own("finding_id", F.col("p"))).withColumn("j", each("q")).drop("p", "q")

@@ -96,11 +96,9 @@ def estimates(answers: DataFrame) -> DataFrame:
 
 def recommendations(findings: DataFrame, sheets: DataFrame) -> DataFrame:
     """findings (finding_id, bug_class, cwe_id), sheets (name, priority, kind, value, ordinal): the sheets of a finding's class,
-    then of its CWE that are not among them; ranked by priority, and by that order within one.
-
-    The catalog is an input table of a few hundred rows at most."""
+    then of its CWE that are not among them; ranked by priority, and by that order within one."""
     asked = findings.select("finding_id", F.explode(F.array(F.struct(F.lit("class").alias("kind"), F.col("bug_class").alias("value"), F.lit(0).alias("step")), F.struct(F.lit("cwe").alias("kind"), F.col("cwe_id").alias("value"), F.lit(1).alias("step")))).alias("a")).select("finding_id", "a.*")
-    hit = asked.join(F.broadcast(sheets), ["kind", "value"]).groupBy("finding_id", "name", "priority").agg(F.min(F.struct("step", "ordinal")).alias("first"))
+    hit = asked.join(sheets, ["kind", "value"]).groupBy("finding_id", "name", "priority").agg(F.min(F.struct("step", "ordinal")).alias("first"))
     rank = F.coalesce(F.create_map(*[F.lit(x) for kv in (("critical", 0), ("high", 1), ("medium", 2), ("low", 3)) for x in kv])[F.col("priority")], F.lit(4))
     w = Window.partitionBy("finding_id").orderBy(rank, "first", "name")
     return hit.select("finding_id", "name", "priority", F.row_number().over(w).alias("place"))

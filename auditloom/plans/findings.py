@@ -132,6 +132,11 @@ register(
 COMPONENTS = f"WITH RECURSIVE v AS ({VECTORS}), p AS ({PAIRS}), e AS MATERIALIZED (SELECT i AS a, j AS b FROM p WHERE sim >= 0.4 UNION SELECT j, i FROM p WHERE sim >= 0.4), r AS (SELECT a AS n, b AS m FROM e UNION SELECT r.n, e.b FROM r JOIN e ON r.m = e.a), lab AS (SELECT vec_id, (SELECT CASE WHEN min(m) IS NULL THEN NULL ELSE least(min(m), vec_id) END FROM r WHERE r.n = vec_id) AS root FROM embeddings) "
 register("dbscan_components", lambda s, d: dedup.dbscan(table(s, d, "embeddings"), EPS), COMPONENTS + "SELECT vec_id, root FROM lab")
 register("cluster_merge", lambda s, d: dedup.cluster_sizes(dedup.dbscan(table(s, d, "embeddings"), EPS)), COMPONENTS + "SELECT root, count(*) AS n FROM lab GROUP BY root")
+register(
+    "cluster_members",
+    lambda s, d: dedup.merged(table(s, d, "embeddings").selectExpr("vec_id AS finding_id", "cast(vec_id * 37 % 101 as double) / 100 AS confidence"), dedup.dbscan(table(s, d, "embeddings"), EPS).withColumnRenamed("vec_id", "finding_id")),
+    COMPONENTS + ", h AS (SELECT coalesce(CAST(root AS VARCHAR), 'noise-' || vec_id) AS cluster_id, vec_id AS finding_id, CAST(vec_id * 37 % 101 AS DOUBLE) / 100 AS score FROM lab) SELECT 'D-' || min(finding_id) OVER w AS merged_id, cluster_id, count(*) OVER w AS size, finding_id, score, finding_id = min(finding_id) OVER w AS representative FROM h WINDOW w AS (PARTITION BY cluster_id)",
+)
 LINKED = """WITH RECURSIVE v AS (SELECT CAST(vec_id // 200 AS INT) AS report, vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 s AS (SELECT report, count(*) - greatest(1, CAST(floor(count(*) * (1 - 0.85::DOUBLE)) AS BIGINT)) AS need FROM v GROUP BY report),
 c AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from auditloom.functions.catalogs import CLASS_ATTACK, CLASS_D3FEND, CLASS_D3FEND_DEFAULT, CLASS_SERVICE, CONTROLS, CWE_ATTACK, CWE_D3FEND, EXPOSURE, OWNERS, SERVICES, listed, values_sql
+from auditloom.functions.catalogs import AGENT_ANALYTICS, AGENT_ATTACKS, AGENT_DEFAULTS, AGENT_DEFENCES, CLASS_ATTACK, CLASS_D3FEND, CLASS_D3FEND_DEFAULT, CLASS_SERVICE, CONTROLS, CWE_ATTACK, CWE_D3FEND, EXPOSURE, OWNERS, SERVICES, listed, values_sql
 from auditloom.operators import enrich, exposure, triage
 from auditloom.plans.registry import register
 from auditloom.sources.bindings import domain, with_sql
@@ -150,3 +150,16 @@ register(
     with_sql(["findings"], "SELECT finding_id, framework, control, severity FROM co JOIN findings USING (finding_id) WHERE status = 'non-compliant' ORDER BY CASE severity WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END, finding_id, framework, control LIMIT 10", **COMPLIANCE),
 )
 register("prioritized_order", lambda s, d: _prioritized(s, d).withColumn("priority", r6("priority")).orderBy(F.desc("priority"), "finding_id").limit(50).select("finding_id", "priority"), with_sql(["findings", "intel"], "SELECT finding_id, round(priority, 6) AS priority FROM bd ORDER BY round(priority, 6) DESC, finding_id LIMIT 50", **PRIORITY))
+
+
+def _bound(s, d):
+    f = domain(s, d, "findings").select("finding_id", F.translate("bug_class", "_", "-").alias("bug_class"), F.when(F.col("finding_id") % 5 == 0, F.array(F.lit("T1"), F.col("cwe_id"))).when(F.col("finding_id") % 5 == 1, F.array().cast("array<string>")).alias("attack_ids"))
+    return enrich.agent_bindings(f).select("finding_id", *(F.concat_ws(",", c).alias(c) for c in ("analytics", "defences", "attacks")))
+
+
+_case = lambda table, default: "CASE translate(bug_class, '_', '-') " + " ".join(f"WHEN '{k}' THEN '{','.join(v)}'" for k, v in table.items()) + f" ELSE '{','.join(default)}' END"
+register(
+    "agent_bindings",
+    _bound,
+    with_sql(["findings"], f"SELECT finding_id, {_case(AGENT_ANALYTICS, AGENT_DEFAULTS[0])} AS analytics, {_case(AGENT_DEFENCES, AGENT_DEFAULTS[1])} AS defences, CASE WHEN finding_id % 5 = 0 THEN 'T1,' || cwe_id ELSE {_case(AGENT_ATTACKS, AGENT_DEFAULTS[2])} END AS attacks FROM findings"),
+)
