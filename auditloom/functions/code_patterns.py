@@ -96,3 +96,7 @@ CALL_RISKS = {
     "unchecked_return": [r"call\s*\([^)]*\)[^;]*;(?!\s*require)"], "call_injection": CONTRACT_RISKS["call_injection"], "gas_limit": CONTRACT_RISKS["gas_limit"],
     "access_control": CONTRACT_RISKS["access_control"], "address_predictability": CONTRACT_RISKS["address_predictability"],
 }
+# Comments that span lines, forms of assertions, and what is worth a proof in Python.
+COMMENT_BLOCKS = [r"/\*[\s\S]*?\*/", r'"""[^"]*"""', r"'''[^']*'''"]
+ASSERTIONS = [r"assert\s+(.+)", r"assertEqual\s*\((.+),\s*(.+)\)", r"assertTrue\s*\((.+)\)", r"assertFalse\s*\((.+)\)", r"assertRaises\s*\((.+)\)", r"invariant\s*\((.+)\)", r"assume\s*\((.+)\)", r"require\s*\((.+)\)"]
+PYTHON_TARGETS = {"memory_safety": [r"(del|__del__|gc\.)", r"(weakref|finalize)"], "thread_safety": [r"(threading|Thread|asyncio\.create_task)", r"(lock|Lock|Semaphore)"]}

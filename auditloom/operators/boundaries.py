@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditloom.functions.catalogs import frame
-from auditloom.functions.code_patterns import ENTRY_POINTS, EXTERNAL_CALL, INVARIANTS, RELEVANT, SANITIZER_OUTPUT, STATE_WRITE, WEAK_CRYPTO
+from auditloom.functions.code_patterns import ASSERTIONS, COMMENT_BLOCKS, ENTRY_POINTS, EXTERNAL_CALL, INVARIANTS, PYTHON_TARGETS, RELEVANT, SANITIZER_OUTPUT, STATE_WRITE, WEAK_CRYPTO
 from auditloom.functions.text import any_of, line_of, matches, window
 
 
@@ -152,21 +152,32 @@ def _within(inner: DataFrame, outer: DataFrame) -> DataFrame:
 
 
 def verification_targets(files: DataFrame) -> DataFrame:
-    """file_id, line, name, property, tenths of confidence: C function heads by what stands within 200 characters, unsafe blocks."""
-    head = files.filter("lang IN ('c', 'solidity')").select("file_id", "content", F.explode(matches(F.col("content"), r"\w+\s+\w+\s*\([^)]*\)[^;{]*\{")).alias("m"))
-    context = window(F.col("content"), F.col("m.start"), F.col("m.end"), 200)
-    kind = F.when(context.rlike("(?i)malloc|free|alloc|unique_ptr|shared_ptr"), "memory_safety").when(context.rlike("(?i)pthread|mutex|lock|atomic|race"), "thread_safety").when(context.rlike("(?i)strcpy|strcat|memcpy|sprintf|gets"), "buffer_safety").otherwise("functional")
-    heads = head.select("file_id", line_of(F.col("content"), F.col("m.start")).alias("line"), F.regexp_extract("m.text", r"(\w+)\s*\(", 1).alias("name"), kind.alias("property"), F.lit(7).alias("tenths"))
-    block = files.filter("lang = 'rust'").select("file_id", "content", F.explode(matches(F.col("content"), r"unsafe\s*\{")).alias("m"))
-    return heads.unionByName(block.select("file_id", line_of(F.col("content"), F.col("m.start")).alias("line"), F.lit("unsafe").alias("name"), F.lit("memory_safety").alias("property"), F.lit(9).alias("tenths")))
+    """file_id, line, name, property, tenths of confidence: C functions by what stands within 200 characters (6), unsafe blocks (9),
+    Python code that manages memory or threads (5, a row a pattern and match)."""
+    text = F.col("content")
+    rules = [("c", "", 6, r"(\w+)\s*\([^)]*\)\s*\{"), ("rust", "memory_safety", 9, r"unsafe\s*\{")] + [("python", k, 5, p) for k, ps in PYTHON_TARGETS.items() for p in ps]
+    catalog = frame(files.sparkSession, "lang string, property string, tenths int, pattern string", rules)
+    hit = files.join(F.broadcast(catalog), "lang").select("file_id", "lang", "content", "property", "tenths", "pattern", F.explode(matches(text, F.col("pattern"))).alias("m"))
+    context = window(text, F.col("m.start"), F.col("m.end"), 200)
+    nearby = F.when(context.rlike("malloc|free|alloc|pointer"), "memory_safety").when(context.rlike("thread|lock|mutex|atomic"), "thread_safety").when(context.rlike(r"[+\-*/]"), "arithmetic_correctness").otherwise("functional_correctness")
+    name = F.when(F.col("lang") == "c", F.regexp_extract("m.text", r"(\w+)\s*\(", 1)).when(F.col("lang") == "rust", "unsafe_block").otherwise("unknown")
+    return hit.select("file_id", line_of(text, F.col("m.start")).alias("line"), name.alias("name"), F.when(F.col("lang") == "c", nearby).otherwise(F.col("property")).alias("property"), "tenths")
 
 
 def comment_invariants(files: DataFrame) -> DataFrame:
-    """file_id, kind, tenths: invariants in comments (6) and assertions in code (8)."""
-    comments = files.select("file_id", F.explode(F.regexp_extract_all("content", F.lit(r"(?://|#)\s*([^\n]+)"), F.lit(1))).alias("text"))
-    spoken = comments.select("file_id", F.explode(kinds_in(F.col("text"), INVARIANTS)).alias("kind"), F.lit(6).alias("tenths"))
-    asserted = files.select("file_id", F.explode(F.regexp_extract_all("content", F.lit(r"(?:assert|require|assume)\s*\(([^)]*)\)"), F.lit(1))).alias("text"))
-    return spoken.unionByName(asserted.select("file_id", F.lit("assertion").alias("kind"), F.lit(8).alias("tenths")))
+    """file_id, origin, line (in the file), kind, text, tenths: invariants in comments (6) and assertions (8).
+
+    Comments are blocks (``/* */`` and Python's long strings) and lines that begin with # or //; each of their lines of ten characters or more
+    gives one row a kind. An assertion gives what it asserts."""
+    content = F.col("content")
+    block = files.select("file_id", "content", F.explode(F.array(*map(F.lit, COMMENT_BLOCKS))).alias("p")).select("file_id", "content", F.explode(matches(content, F.col("p"))).alias("m"))
+    blocks = block.select("file_id", line_of(content, F.col("m.start")).alias("first"), F.posexplode(F.split("m.text", "\n", -1)).alias("at", "text")).select("file_id", (F.col("first") + F.col("at")).alias("line"), "text")
+    lines = files.select("file_id", F.posexplode(F.split("content", "\n", -1)).alias("at", "text")).select("file_id", (F.col("at") + 1).alias("line"), "text").filter(F.col("text").rlike(r"^\s*(#|//)"))
+    spoken = blocks.unionByName(lines).withColumn("text", F.regexp_replace("text", r"^\s+|\s+$", "")).filter(F.length("text") >= 10)
+    spoken = spoken.select("file_id", F.lit("comment").alias("origin"), "line", F.explode(kinds_in(F.col("text"), INVARIANTS)).alias("kind"), "text", F.lit(6).alias("tenths"))
+    forms = files.select("file_id", "content", F.explode(F.array(*map(F.lit, ASSERTIONS))).alias("p")).select("file_id", "content", "p", F.explode(matches(content, F.col("p"))).alias("m"))
+    asserted = forms.select("file_id", F.lit("assertion").alias("origin"), line_of(content, F.col("m.start")).alias("line"), F.lit("invariant").alias("kind"), F.expr("regexp_extract(m.text, p, 1)").alias("text"), F.lit(8).alias("tenths"))
+    return spoken.unionByName(asserted)
 
 
 def riskiest(found: DataFrame, n: int = 10) -> DataFrame:

@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Domains of invariants, path prefixes of systems.
-DOMAINS = {"memory": ["buffer", "memory", "pointer"], "concurrency": ["lock", "thread", "race"], "ordering": ["sorted", "range", "maximum"]}
+DOMAINS = {
+    "security": ["vulnerability", "exploit", "attack", "mitigation", "threat", "risk", "protection", "defense", "secure"],
+    "database": ["transaction", "consistency", "isolation", "durability", "query", "index", "schema", "migration"],
+    "network": ["protocol", "connection", "latency", "throughput", "packet", "socket", "bandwidth", "timeout"],
+    "crypto": ["encryption", "decryption", "key", "signature", "hash", "certificate", "authentication", "integrity"],
+    "filesystem": ["file", "directory", "permission", "access", "inode", "mount", "path", "lock"],
+}
+FORMAL = [r"[<>]=?\s*\d+", r"[a-zA-Z_]\w*\s*[<>!=]=\s*[a-zA-Z_]\w*", r"\b(?:true|false|null|undefined)\b", r"\b(?:and|or|not|if|then|else)\b"]
 SYSTEM_PREFIXES = [("windows", ["c:/", "/windows"]), ("macos", ["/library", "/applications", "/users"]), ("linux", ["/usr", "/etc", "/var", "/home", "/opt"])]
 
 
@@ -76,9 +83,8 @@ def domain_of(text: Column) -> Column:
 
 
 def formal_expressions(text: Column) -> Column:
-    """Comparisons and logical words in the text, joined."""
-    found = [F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in (r"[<>]=?\s*\d+", r"(?i)\b(?:true|false|null|undefined)\b", r"(?i)\b(?:and|or|not|if|then|else)\b")]
-    return F.concat_ws(", ", F.concat(*found))
+    """Comparisons with numbers and of names, constants and logical words in the text, joined; one form after the other."""
+    return F.concat_ws(", ", F.concat(*[F.regexp_extract_all(text, F.lit(f"(?i){p}"), F.lit(0)) for p in FORMAL]))
 
 
 def line_context(text: Column, line: Column, around: int) -> Column:

@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 from auditloom.functions import code_patterns as cp
 from auditloom.functions.catalogs import frame, values_sql
 from auditloom.operators import boundaries, extract, scan
+from auditloom.operators import knowledge as kn
 from auditloom.plans.registry import register
 from auditloom.plans.texts import hits_sql
 from auditloom.sources.bindings import cases, domain, with_sql
 from auditloom.sources.files import report
 
+_best = "list_max([" + ", ".join("{'n': " + " + ".join(f"CAST(contains(lower(text), '{w}') AS INT)" for w in ws) + f", 'o': {-i}, 'd': '{k}'}}" for i, (k, ws) in enumerate(kn.DOMAINS.items())) + "])"
+DOMAIN_SQL = f"CASE WHEN ({_best}).n > 0 THEN ({_best}).d ELSE 'general' END"
+FORMAL_SQL = "array_to_string(list_concat(list_concat(list_concat(regexp_extract_all(text, '[<>]=?\\s*\\d+'), regexp_extract_all(text, '(?i)[a-z_]\\w*\\s*[<>!=]=\\s*[a-z_]\\w*')), regexp_extract_all(text, '(?i)\\b(?:true|false|null|undefined)\\b')), regexp_extract_all(text, '(?i)\\b(?:and|or|not|if|then|else)\\b')), ', ')"
 joined = lambda c: F.concat_ws(",", c).alias(c)
 
 
@@ -122,25 +126,30 @@ register(
         "SELECT -1 AS section, '' AS o, '# Findings' AS text UNION ALL SELECT 0, '', '## By class' UNION ALL SELECT 0, '-' || bug_class, '- ' || bug_class || ': ' || count(*) FROM findings GROUP BY bug_class UNION ALL SELECT 1, '', '## Highest' UNION ALL SELECT 1, '-' || lpad(CAST(CAST(trunc(100 - score * 100) AS INT) AS VARCHAR), 3, '0'), '- ' || location || ' ' || bug_class FROM (SELECT * FROM findings ORDER BY score DESC, finding_id LIMIT 5)",
     ),
 )
+LINE_OF = "CAST(length(substr(content, 1, start)) - length(replace(substr(content, 1, start), chr(10), '')) + 1 AS INT)"
 register(
     "verification_targets",
-    lambda s, d: boundaries.verification_targets(domain(s, d, "code")),
+    lambda s, d: boundaries.verification_targets(domain(s, d, "provable")),
     with_sql(
-        ["code"],
-        "SELECT file_id, CAST(length(substr(content, 1, start)) - length(replace(substr(content, 1, start), chr(10), '')) + 1 AS INT) AS line, regexp_extract(match, '(\\w+)\\s*\\(', 1) AS name, CASE WHEN regexp_matches(x, '(?i)malloc|free|alloc|unique_ptr|shared_ptr') THEN 'memory_safety' WHEN regexp_matches(x, '(?i)pthread|mutex|lock|atomic|race') THEN 'thread_safety' WHEN regexp_matches(x, '(?i)strcpy|strcat|memcpy|sprintf|gets') THEN 'buffer_safety' ELSE 'functional' END AS property, 7 AS tenths FROM hc UNION ALL SELECT file_id, CAST(length(substr(content, 1, start)) - length(replace(substr(content, 1, start), chr(10), '')) + 1 AS INT), 'unsafe', 'memory_safety', 9 FROM un JOIN code USING (file_id) WHERE lang = 'rust'",
-        he=hits_sql("code", "content", "file_id", one(r"\w+\s+\w+\s*\([^)]*\)[^;{]*\{")),
-        un=hits_sql("code", "content", "file_id", one(r"unsafe\s*\{")),
-        hc="SELECT *, substr(content, greatest(0, start - 200) + 1, start + length(match) + 200 - greatest(0, start - 200)) AS x FROM he JOIN code USING (file_id) WHERE lang IN ('c', 'solidity')",
+        ["provable"],
+        f"SELECT file_id, {LINE_OF} AS line, CASE lang WHEN 'c' THEN regexp_extract(match, '(\\w+)\\s*\\(', 1) WHEN 'rust' THEN 'unsafe_block' ELSE 'unknown' END AS name, CASE WHEN lang <> 'c' THEN property WHEN regexp_matches(x, 'malloc|free|alloc|pointer') THEN 'memory_safety' WHEN regexp_matches(x, 'thread|lock|mutex|atomic') THEN 'thread_safety' WHEN regexp_matches(x, '[+\\-*/]') THEN 'arithmetic_correctness' ELSE 'functional_correctness' END AS property, tenths FROM hc",
+        he=hits_sql("provable", "content", "file_id", values_sql([("c", "", 6, r"(\w+)\s*\([^)]*\)\s*\{"), ("rust", "memory_safety", 9, r"unsafe\s*\{"), ("python", "memory_safety", 5, r"(del|__del__|gc\.)"), ("python", "memory_safety", 5, "(weakref|finalize)"), ("python", "thread_safety", 5, r"(threading|Thread|asyncio\.create_task)"), ("python", "thread_safety", 5, "(lock|Lock|Semaphore)")], "rl, property, tenths, pattern", "r")),
+        hc="SELECT he.*, lang, content, substr(content, greatest(0, start - 200) + 1, start + length(match) + 200 - greatest(0, start - 200)) AS x FROM he JOIN provable USING (file_id) WHERE lang = rl",
     ),
 )
+_quote = chr(34) * 3
 register(
     "comment_invariants",
-    lambda s, d: boundaries.comment_invariants(domain(s, d, "notes").selectExpr("note_id AS file_id", "concat('x = 1 # ', replace(content, chr(10), ' '), chr(10), 'assert (x > 0)') AS content")),
+    lambda s, d: boundaries.comment_invariants(domain(s, d, "annotated")).select("*", kn.domain_of(F.col("text")).alias("domain"), kn.formal_expressions(F.col("text")).alias("formal")),
     with_sql(
-        ["notes"],
-        f"SELECT file_id, unnest(string_split({risks_sql(cp.INVARIANTS, 't')}, ',')) AS kind, 6 AS tenths FROM c WHERE {risks_sql(cp.INVARIANTS, 't')} <> '' UNION ALL SELECT file_id, 'assertion', 8 FROM (SELECT file_id, unnest(regexp_extract_all(content, '(?:assert|require|assume)\\s*\\(([^)]*)\\)', 1)) FROM f)",
-        f="SELECT note_id AS file_id, concat('x = 1 # ', replace(content, chr(10), ' '), chr(10), 'assert (x > 0)') AS content FROM notes",
-        c="SELECT file_id, unnest(regexp_extract_all(content, '(?://|#)\\s*([^\\n]+)', 1)) AS t FROM f",
+        ["annotated"],
+        f"SELECT file_id, 'comment' AS origin, line, unnest(string_split(k, ',')) AS kind, text, 6 AS tenths, {DOMAIN_SQL} AS domain, {FORMAL_SQL} AS formal FROM sp WHERE k <> '' UNION ALL SELECT file_id, 'assertion', line, 'invariant', text, 8, {DOMAIN_SQL}, {FORMAL_SQL} FROM au",
+        bl=hits_sql("annotated", "content", "file_id", values_sql([(r"/\*[\s\S]*?\*/",), (f'{_quote}[^"]*{_quote}',), ("'''[^']*'''",)], "pattern", "r")),
+        bt=f"SELECT file_id, {LINE_OF} AS first, match FROM bl JOIN annotated USING (file_id)",
+        li="SELECT file_id, CAST(first + i AS INT) AS line, t FROM (SELECT file_id, first, unnest(string_split(match, chr(10))) AS t, unnest(range(len(string_split(match, chr(10))))) AS i FROM bt) UNION ALL SELECT file_id, CAST(i + 1 AS INT), t FROM (SELECT file_id, unnest(string_split(content, chr(10))) AS t, unnest(range(len(string_split(content, chr(10))))) AS i FROM annotated) WHERE regexp_matches(t, '^\\s*(#|//)')",
+        sp=f"SELECT file_id, line, text, {risks_sql(cp.INVARIANTS, 'text')} AS k FROM (SELECT file_id, line, trim(t) AS text FROM li) WHERE length(text) >= 10",
+        as_=hits_sql("annotated", "content", "file_id", values_sql([(r"assert\s+(.+)",), (r"assertEqual\s*\((.+),\s*(.+)\)",), (r"assertTrue\s*\((.+)\)",), (r"assertFalse\s*\((.+)\)",), (r"assertRaises\s*\((.+)\)",), (r"invariant\s*\((.+)\)",), (r"assume\s*\((.+)\)",), (r"require\s*\((.+)\)",)], "pattern", "r")),
+        au=f"SELECT file_id, {LINE_OF} AS line, regexp_extract(match, pattern, 1) AS text FROM as_ JOIN annotated USING (file_id)",
     ),
 )
 register(

@@ -49,7 +49,7 @@ register(
     lambda s, d: domain(s, d, "notes").select("note_id", kn.domain_of(F.col("content")).alias("domain"), kn.formal_expressions(F.col("content")).alias("formal")),
     with_sql(
         ["notes"],
-        "SELECT note_id, CASE WHEN b.n > 0 THEN b.d ELSE 'general' END AS domain, array_to_string(list_concat(list_concat(regexp_extract_all(content, '[<>]=?\\s*\\d+'), regexp_extract_all(content, '(?i)\\b(?:true|false|null|undefined)\\b')), regexp_extract_all(content, '(?i)\\b(?:and|or|not|if|then|else)\\b')), ', ') AS formal FROM (SELECT *, list_max(["
+        "SELECT note_id, CASE WHEN b.n > 0 THEN b.d ELSE 'general' END AS domain, array_to_string(list_concat(list_concat(list_concat(regexp_extract_all(content, '[<>]=?\\s*\\d+'), regexp_extract_all(content, '(?i)[a-z_]\\w*\\s*[<>!=]=\\s*[a-z_]\\w*')), regexp_extract_all(content, '(?i)\\b(?:true|false|null|undefined)\\b')), regexp_extract_all(content, '(?i)\\b(?:and|or|not|if|then|else)\\b')), ', ') AS formal FROM (SELECT *, list_max(["
         + ", ".join("{'n': " + " + ".join(f"CAST(contains(lower(content), '{w}') AS INT)" for w in ws) + f", 'o': {-i}, 'd': '{k}'}}" for i, (k, ws) in enumerate(kn.DOMAINS.items()))
         + "]) AS b FROM notes)",
     ),

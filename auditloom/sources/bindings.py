@@ -88,6 +88,14 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
         "finding_id": "o_orderkey", "one": cases("o_custkey", ["Execution", "Impact", "Persistence", "Discovery", "Credential Access"]), "two": cases("o_orderkey", ["Impact", "Initial Access", "Execution"]),
         "technique_id": "concat('D3-', cast(o_custkey % 9 as string))", "label": "concat('Technique ', cast(o_custkey % 9 as string))", "tactic": cases("o_custkey", ["Harden", "Detect"]),
     }),
+    "provable": ("part", {
+        "file_id": "p_partkey", "lang": cases("p_partkey", ["c", "rust", "python"]),
+        "content": "CASE p_partkey % 3 WHEN 0 THEN concat('int f', cast(p_partkey as string), '(char *s) {', chr(10), CASE p_size % 4 WHEN 0 THEN 'free(s);' WHEN 1 THEN 'mutex_lock(m);' WHEN 2 THEN 'return 1 + 2;' ELSE 'return;' END, ' }', chr(10), repeat('; ', 150), chr(10), 'void g (void) { return; }') WHEN 1 THEN concat('fn a() { unsafe { x } }', chr(10), CASE p_size % 2 WHEN 0 THEN 'unsafe{ y }' ELSE '' END) ELSE concat('import weakref, threading', chr(10), 'del x', chr(10), CASE p_size % 3 WHEN 0 THEN 'with Lock(): gc.collect()' WHEN 1 THEN 'Semaphore(2); finalize(x)' ELSE 'asyncio.create_task(f)' END) END",
+    }),
+    "annotated": ("supplier", {
+        "file_id": "s_suppkey",
+        "content": "concat('/* The caller must hold the lock', chr(10), '   short', chr(10), ' at most ', cast(s_suppkey as string), ' packets; never negative */', chr(10), '  # requires that the key is valid', chr(10), CASE s_suppkey % 3 WHEN 0 THEN concat('assert x > ', cast(s_suppkey as string), ' and y', chr(10), 'self.assertEqual(a, b, c)') WHEN 1 THEN concat('require(ok == done); // must ensure order', chr(10), '// returns is null, always sorted') ELSE concat('\"\"\"Guarantees that', chr(10), 'output must be a hash of the file\"\"\"', chr(10), 'assertRaises(E); assume(n >= 1); invariant (z)') END)",
+    }),
     "notes": ("supplier", {
         "note_id": "s_suppkey", "content": "CASE s_suppkey % 4 WHEN 0 THEN concat('The caller must hold the lock', chr(10), 'short', chr(10), 'it always returns is positive; at most ', cast(s_suppkey as string)) WHEN 1 THEN 'Ensures that the result is sorted and never changes' WHEN 2 THEN concat('   maximum size of buffer  ', chr(10), 'range between zero and ten; property of x') ELSE 'nothing to see in here' END",
     }),
