@@ -18,4 +18,4 @@ def register(name: str, query: Query, sql: str | None = None) -> None:
         SQL[name] = sql
 
 
-from auditloom.plans import code, feeds, findings, knowledge, labelled, ontology, patches, records, scopes, summaries, texts, timeline, versions  # noqa: E402, F401
+from auditloom.plans import code, feeds, findings, knowledge, labelled, lookups, ontology, patches, records, scopes, summaries, texts, timeline, versions  # noqa: E402, F401

@@ -96,6 +96,16 @@ BINDINGS: dict[str, tuple[str, dict[str, str]]] = {
         "file_id": "s_suppkey",
         "content": "concat('/* The caller must hold the lock', chr(10), '   short', chr(10), ' at most ', cast(s_suppkey as string), ' packets; never negative */', chr(10), '  # requires that the key is valid', chr(10), CASE s_suppkey % 3 WHEN 0 THEN concat('assert x > ', cast(s_suppkey as string), ' and y', chr(10), 'self.assertEqual(a, b, c)') WHEN 1 THEN concat('require(ok == done); // must ensure order', chr(10), '// returns is null, always sorted') ELSE concat('\"\"\"Guarantees that', chr(10), 'output must be a hash of the file\"\"\"', chr(10), 'assertRaises(E); assume(n >= 1); invariant (z)') END)",
     }),
+    "maps": ("supplier", {
+        "mapper": "CASE WHEN s_suppkey % 5 = 0 THEN 'iam' WHEN s_suppkey % 5 = 1 THEN 'data_type' WHEN s_suppkey % 5 = 2 THEN 'dlp_action' WHEN s_suppkey % 5 = 3 THEN 'pki_component' ELSE 'attack_pattern' END",
+        "key": "CASE WHEN s_suppkey % 5 = 0 THEN 'pam' WHEN s_suppkey % 5 = 2 THEN CASE s_nationkey % 3 WHEN 0 THEN 'block' WHEN 1 THEN 'audit' ELSE 'encrypt' END ELSE concat('k', cast(s_nationkey % 4 as string)) END",
+        "field": "CASE WHEN s_suppkey % 5 = 0 THEN 'controls' WHEN s_suppkey % 15 = 2 THEN 'description' WHEN s_suppkey % 5 = 4 THEN 'detection' ELSE 'techniques' END", "place": "cast(floor(s_suppkey / 5) as bigint)",
+        "value": "CASE WHEN s_suppkey % 5 = 0 THEN concat(CASE s_suppkey % 4 WHEN 0 THEN 'Vault of ' WHEN 1 THEN 'Credential checkout ' WHEN 2 THEN 'Key ROTATION ' ELSE 'Session recording ' END, cast(s_nationkey as string)) WHEN s_suppkey % 15 = 2 THEN concat('What it does ', cast(s_nationkey as string)) ELSE concat('D3-', cast(s_suppkey % 23 as string)) END",
+    }),
+    "policy_requests": ("customer", {
+        "policy_id": "c_custkey", "one": "concat('k', cast(c_custkey % 4 as string))", "two": "concat('k', cast(c_custkey % 6 as string))", "action": cases("c_custkey", ["block", "audit", "encrypt", "warn", "block"]),
+        "identity": cases("c_custkey", ["root", "service_account", "api_key", "guest"]), "mapper": cases("c_custkey", ["iam", "pki_component", "attack_pattern"]),
+    }),
     "notes": ("supplier", {
         "note_id": "s_suppkey", "content": "CASE s_suppkey % 4 WHEN 0 THEN concat('The caller must hold the lock', chr(10), 'short', chr(10), 'it always returns is positive; at most ', cast(s_suppkey as string)) WHEN 1 THEN 'Ensures that the result is sorted and never changes' WHEN 2 THEN concat('   maximum size of buffer  ', chr(10), 'range between zero and ten; property of x') ELSE 'nothing to see in here' END",
     }),
