@@ -9,6 +9,10 @@ from auditloom.functions.storage import materialize
 from auditloom.operators.graph import connected_components
 
 
+#: Links up to so many are joined in one task, more in rounds.
+SMALL = 100_000
+
+
 def _stars(findings: DataFrame, keys: list[str]) -> DataFrame:
     """Links of the findings with equal keys (none of them null) to the least one."""
     known = findings.dropna(subset=keys)
@@ -26,12 +30,12 @@ def merge_findings(findings: DataFrame) -> DataFrame:
     conflicting components go through the second. Null values link nothing; findings without id are left out."""
     known = findings.filter("finding_id is not null").select("finding_id", "bug_class", "function", "cwe_id", "pattern", "location")
     links = _stars(known, ["bug_class", "function"]).unionByName(_stars(known, ["cwe_id", "pattern"]))
-    found = connected_components(links).select(F.col("node").alias("finding_id"), F.col("component").alias("cluster"))
+    found = connected_components(links, small=SMALL).select(F.col("node").alias("finding_id"), F.col("component").alias("cluster"))
     first = materialize(known.join(found, "finding_id", "left").withColumn("cluster", F.coalesce("cluster", "finding_id")), "clusters")
     placed = first.filter("location is not null").groupBy("cluster", "location").agg(F.min("bug_class").alias("least"), F.max("bug_class").alias("most"))
     odd = materialize(placed.filter("least <> most").select("cluster").distinct(), "conflicts")
     again = materialize(first.join(odd, "cluster", "left_semi").drop("cluster"), "again")
     links = _stars(again, ["bug_class", "function"]).unionByName(_stars(again, ["bug_class", "cwe_id", "pattern"]))
-    found = connected_components(links).select(F.col("node").alias("finding_id"), F.col("component").alias("cluster"))
+    found = connected_components(links, small=SMALL).select(F.col("node").alias("finding_id"), F.col("component").alias("cluster"))
     second = again.join(found, "finding_id", "left").select("finding_id", F.coalesce("cluster", "finding_id").alias("cluster"), F.lit(True).alias("settled"))
     return first.join(odd, "cluster", "left_anti").select("finding_id", "cluster", F.lit(False).alias("settled")).unionByName(second)
