@@ -8,7 +8,7 @@ anew and grown until its first token stands in the left side's encoding and its
 places. Everything between these two is taken from the window.
 
 Null text counts as empty. Every row gives a row; repeated rows and null ids are kept. Strings of added tokens in a text
-become their ids, as in the library. Other columns are not read.
+become their ids, as in the library. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ one preallocated buffer, which is the output column. The loss mask is the spans
 the formatted text, as starts and ends in turn.
 
 Null text or role: empty. Null conv_id: one conversation of its own. Repeated rows are turns of their own; other columns are
-not read. A conversation is a value of the result, so one task holds the longest one and no more than a batch besides.
+not read. A conversation is a value of the result, so one task holds the longest one and no more than a batch besides;
+one beyond 2 GiB is an error. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ portions of about PORTION characters, one scan of the documents each; a portion
 
 Items shorter than Q characters have no q-gram and allow no edit: an automaton of them finds them as they are. Items without
 any character match nothing, nor do null texts. A row without doc_id is reported without one; repeated
-rows are reported each; of items with equal item_id the nearest counts. Other columns are not read.
+rows are reported each; of items with equal item_id the nearest counts. Very long texts are scanned whole. An empty table of either kind gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ cells; every two rows meet in one. Small ones are compared many at a time.
 
 Links need equal, non-null labels and equal lengths. Vectors that are null, empty, zero or hold null or non-finite
 components link with nothing, neither do rows without vec_id; they return with n_links 0 and themselves as component.
-Repeated rows each return and count each other; rows of equal vec_id and other contents are told apart. Other columns are not read.
+Repeated rows each return and count each other; rows of equal vec_id and other contents are told apart. An
+empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

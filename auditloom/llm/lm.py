@@ -16,7 +16,7 @@ counts to parts of the key space, which sum them and answer; a part also tells h
 and those sums go back the same way. So each block scores its documents with exactly the states and arcs they can reach.
 
 Words are lower-cased (A-Z). Null text is one end token. Rows without doc_id count as training rows, held_out false.
-Repeated rows count and return each. An empty training set leaves N = V = 0 and every token at log10(1). Other columns are
+Repeated rows count and return each. Very long texts are whole in one block, which then is larger. An empty table gives no rows. An empty training set leaves N = V = 0 and every token at log10(1). Other columns are
 not read.
 """
 

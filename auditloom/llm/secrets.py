@@ -12,7 +12,8 @@ points, end exclusive; matches that fail a rule's minimum are dropped after matc
 stands in the expression: a shorter run of the same characters can't hold a longer match, so the spans are the same.
 
 Null text counts as empty. Documents are told apart by a hash of id and text, so rows without doc_id, of equal doc_id, and
-repeated rows each get their own spans. Other columns are kept by ``redact`` and not read otherwise.
+repeated rows each get their own spans. Very long texts are read whole by the expressions of one task. An empty table gives no
+rows. Other columns are kept by ``redact`` and not read otherwise.
 """
 
 from __future__ import annotations

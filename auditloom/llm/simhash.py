@@ -11,7 +11,7 @@ and every choice of m - 4 blocks joins the anchor's key. That changes how many r
 
 Null text: no words, fingerprint zero. Documents of equal fingerprints are one node, named by the smallest doc_id, so copies
 are never paired. A row without doc_id gets its fingerprint, links nothing and has no component. Repeated rows each give a
-row. Other columns are not read.
+row. Very long texts are read whole. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

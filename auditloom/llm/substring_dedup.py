@@ -8,14 +8,15 @@ blocks hold earlier documents.
 2. Compile: each block, the shard here, picks from every recurring passage of its own phrases of PHRASE words (of each window
    the one with the least hash) and compiles them into an Aho-Corasick automaton over word numbers.
 3. Stream: all of the block's documents run through its automaton. Around each hit the windows that hold the phrase are looked
-   up among the recurring ones and compared with them word by word. These occurrences, and nothing else, decide: one of a
-   window that an earlier block has is a repeat, and so are all but the first of a window that no earlier block has.
+   up among the recurring ones and compared with them word by word, which within a block settles what hashes leave open: one of a
+   window that an earlier block has is a repeat, and so are all but the first of a window that no earlier block has. That a
+   window recurs in another block rests on its 64-bit hash; the automaton finds the places of it, it rules none of them out.
 
 A shard's automaton has what its own documents can meet, so each document is streamed once and memory is bounded by the
 block, whatever the corpus. Windows are judged on the input. Null text has no words; fewer than WINDOW words are kept as
 they are. Null ids count as smaller than all. Rows of equal doc_id stand in the order of their texts; of repeated rows the
 first is the earlier one. An id of more than two blocks of text is dealt into blocks by text, its repeated rows counted and
-moved once. Other columns are not read.
+moved once. Very long texts are whole in one block, which then is larger. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations

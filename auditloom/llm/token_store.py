@@ -12,7 +12,7 @@ so n distinct keys fill n slots. A slot holds 32 other bits of the key's hash, s
 chance of 2**-32, and the stored key settles that. A lookup reads a few words, whatever the number of keys.
 
 Null text: no ids but the end id. Null keys stand first and are read by ``get(None)``. Rows of equal keys (ordered by text)
-follow each other and are all returned. Other columns are not read. An empty table makes no shard.
+follow each other and are all returned. Other columns are not read. An empty table makes no shard. Very long texts are encoded in pieces.
 """
 
 from __future__ import annotations
