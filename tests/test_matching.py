@@ -51,3 +51,47 @@ def test_greedy_match_by_brute_force(spark):
     f = spark.createDataFrame(found, "finding_id long, location string, cwe_id string, bug_class string")
     t = spark.createDataFrame(labels, "vuln_id long, location string, cwe_id string, category string")
     assert sorted(map(tuple, evaluate.greedy_match(evaluate.scored_pairs(f, t), f, t).collect())) == want
+
+
+def scored(found, labels, by_path):
+    """(match_type, points) -> pairs and sum of finding ids, of all pairs."""
+    out = {}
+    for i, place, cwe, cls in found:
+        for _, at, t_cwe, t_cls in labels:
+            close = near(place, at) and (not by_path or place.rsplit(":", 1)[0] == at.rsplit(":", 1)[0])
+            where = 5 if place == at else 3 if close else 0
+            points = where + 3 * bool(cwe and t_cwe and cwe.upper() == t_cwe.upper())
+            a, b = t_cls.replace("_", "").replace("-", ""), cls.replace("_", "").replace("-", "")
+            points += 2 * (a in b or b in a)
+            if points >= 5:
+                key = ("cwe_only" if not where else "exact" if points >= 8 else "fuzzy", points)
+                n, ids = out.get(key, (0, 0))
+                out[key] = (n + 1, ids + i)
+    return out
+
+
+def both_tables(spark, n, m):
+    draw = random.Random(11)
+    cwes, classes = ["CWE-1", "cwe-1", "CWE-2", None], ["race", "race_condition", "auth-bypass", "x"]
+    found = [(i, p, draw.choice(cwes), draw.choice(classes)) for i, p in enumerate(places(6, n))]
+    labels = [(i, p, draw.choice(cwes), draw.choice(classes)) for i, p in enumerate(places(7, m))]
+    return found, labels, spark.createDataFrame(found, "finding_id long, location string, cwe_id string, bug_class string"), spark.createDataFrame(labels, "vuln_id long, location string, cwe_id string, category string")
+
+
+def test_summary_counts_without_pairs(spark, monkeypatch):
+    found, labels, f, t = both_tables(spark, 200, 90)
+    monkeypatch.setattr(evaluate, "band_join", None)  # pairs are not listed
+    for by_path in (False, True):
+        got = {(r["match_type"], r["points"]): (r["n"], r["ids"]) for r in evaluate.match_summary(f, t, same_path=by_path).collect()}
+        assert got == scored(found, labels, by_path)
+    assert evaluate.match_summary(f.limit(0), t).count() == 0
+
+
+def test_who_is_met_without_pairs(spark):
+    found, labels, f, t = both_tables(spark, 60, 90)
+    edge = spark.createDataFrame([(900, "foo.c:2147483647"), (901, "foo.c:-2147483648")], "id long, location string")
+    f = f.select("finding_id", "location").unionByName(edge.select(edge["id"].alias("finding_id"), "location"))
+    pairs = [(i, j) for i, a, *_ in found for j, b, *_ in labels if near(a, b)]
+    assert sorted(r[0] for r in evaluate.labels_met(f, t).collect()) == sorted({j for _, j in pairs})
+    assert sorted(r[0] for r in evaluate.findings_met(f, t).collect()) == sorted({i for i, _ in pairs})
+    assert {r["vuln_id"] for r in evaluate.band_join(f, t, same_path=True).collect()} == {r[0] for r in evaluate.labels_met(f, t, same_path=True).collect()}
