@@ -90,3 +90,24 @@ def test_agglomerative_by_all_pairs(spark):
     for x in dedup.agglomerative(spark.createDataFrame(rows, "label int, vec_id long, embedding array<double>"), "label", 0.85).collect():
         got.setdefault((x["label"], x["cluster"]), set()).add(x["vec_id"])
     assert {frozenset(c) for c in got.values()} == want
+
+
+def test_weights_by_plain_arithmetic():
+    import numpy as np
+
+    r = random.Random(12)
+    ids = [0, 1, evaluate.PRIME - 1] + [r.randrange(evaluate.PRIME) for _ in range(40)]
+    each = [(i * 48_271 + 12_345) % evaluate.PRIME for i in range(1, 2001)]
+    y = [[(a * 16_807 + e) % evaluate.PRIME for e in each] for a in ids]
+    want = [[sum((v * 69_621 % evaluate.PRIME + v * v % evaluate.PRIME) % evaluate.PRIME / evaluate.PRIME >= c for c in evaluate.POISSON) for v in row] for row in y]
+    got = evaluate._weights(np.array(ids, np.int64) * 16_807 % evaluate.PRIME, np.array(each, np.int64))
+    assert got.tolist() == want
+    # Sums that are 0, 1, 2 and PRIME - 1 before and after they are folded.
+    assert evaluate._weights(np.array([0, evaluate.PRIME - 69_621, evaluate.PRIME - 1]), np.array([0, 1])).tolist()[0][0] == 0
+
+
+def test_draws_are_dealt_evenly(spark):
+    """A small file is one split, but its rows are much work."""
+    values = spark.range(100).selectExpr("id", "1.0D AS a", "0.5D AS b").coalesce(1)
+    plan = evaluate.bootstrap(values, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
