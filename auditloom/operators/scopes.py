@@ -9,6 +9,7 @@ from auditloom.functions.code_patterns import (
     BLOCK_FUNCTION, CALL_RISKS, CONTRACT, CONTRACT_HEAD, CONTRACT_SCOPES, CTYPES, EXTERN_BLOCK, MANUAL_MEMORY, WASM_EACH, WASM_RISKS, WASM_SCOPES,
 )
 from auditloom.functions.catalogs import frame
+from auditloom.functions.cells import spread
 from auditloom.functions.text import line_of, matches, window
 from auditloom.operators.boundaries import kinds_in
 
@@ -67,7 +68,10 @@ def _first(text: Column, pattern: str, group: int = 1) -> Column:
 
 def contract_calls(files: DataFrame) -> DataFrame:
     """A row a native call of a contract: the file's contract and the first function head within 200 characters before, as one
-    reads it without brackets; the contract and function that enclose it by brackets; value, gas and target nearby; risks."""
+    reads it without brackets; the contract and function that enclose it by brackets; value, gas and target nearby; risks.
+
+    Texts are dealt by file once, evenly; what follows stays within a file."""
+    files = spread(files.filter("lang = 'solidity'").select("file_id", "lang", "content"), "file_id")
     hit = _hits(files, "solidity", list(CONTRACT["solidity"].items()))
     text, start, end = F.col("content"), F.col("start"), F.col("end")
     contract = F.coalesce(*[_first(text, p) for p in CONTRACT_HEAD], F.lit("Unknown"))
@@ -87,7 +91,7 @@ def contract_calls(files: DataFrame) -> DataFrame:
         F.coalesce(_first(text.substr(start + 1, end - start + 200), r"address\s*\(\s*([^)]+)\s*\)"), F.lit("unknown")).alias("target"),
         F.array_distinct(F.concat(own, kinds_in(near, CALL_RISKS))).alias("risks"),
     )
-    held = scopes(files.filter("lang = 'solidity'"), CONTRACT_SCOPES, "{}")
+    held = scopes(files, CONTRACT_SCOPES, "{}")
     return innermost(out, held, ["in_contract", "in_function"])
 
 

@@ -68,3 +68,9 @@ def test_calls_know_both_kinds_of_scope(spark):
     rows = scopes.contract_calls(spark.createDataFrame([(1, "solidity", text)], "file_id long, lang string, content string")).orderBy("start").collect()
     # By windows the file has one contract, and a head too far away is lost; by brackets each call has its own.
     assert [(r["contract"], r["function"], r["in_contract"], r["in_function"]) for r in rows] == [("D", "unknown", "C", "far"), ("D", "near", "D", "near"), ("D", "near", None, None)]
+
+
+def test_contract_texts_are_dealt_by_file(spark):
+    files = spark.createDataFrame([(i, "solidity", "contract C { function f() { a.delegatecall(b); } }") for i in range(40)], "file_id long, lang string, content string").coalesce(1)
+    plan = scopes.contract_calls(files)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(file_id" in plan and "REPARTITION_BY_NUM" in plan
