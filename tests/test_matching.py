@@ -95,3 +95,22 @@ def test_who_is_met_without_pairs(spark):
     assert sorted(r[0] for r in evaluate.labels_met(f, t).collect()) == sorted({j for _, j in pairs})
     assert sorted(r[0] for r in evaluate.findings_met(f, t).collect()) == sorted({i for i, _ in pairs})
     assert {r["vuln_id"] for r in evaluate.band_join(f, t, same_path=True).collect()} == {r[0] for r in evaluate.labels_met(f, t, same_path=True).collect()}
+
+
+def test_greedy_assignment_without_pairs(spark, monkeypatch):
+    found, labels, f, t = both_tables(spark, 400, 150)
+    f = f.unionByName(f.filter("finding_id % 7 = 0").selectExpr("finding_id", "'foo.c:9' AS location", "cwe_id", "bug_class"))
+    t = t.unionByName(t.filter("vuln_id % 9 = 0").selectExpr("vuln_id", "'foo.c:9' AS location", "cwe_id", "category"))
+    nulls = f.limit(3).selectExpr("cast(null AS bigint) AS finding_id", "location", "cwe_id", "bug_class").unionByName(f.limit(2).selectExpr("finding_id + 900 AS finding_id", "cast(null AS string) AS location", "cwe_id", "cast(null AS string) AS bug_class"))
+    f = f.unionByName(nulls).repartition(3)
+    want = sorted(map(tuple, evaluate.greedy_match(evaluate.scored_pairs(f, t), f, t).collect()))
+    assert {kind for *_, kind in want} == {"exact", "fuzzy", "cwe_only"}
+    monkeypatch.setattr(evaluate, "band_join", None)  # pairs are not listed
+    for block in (1000, 7):  # blocks of several findings, one finding over two blocks
+        monkeypatch.setattr(evaluate, "BLOCK", block)
+        assert sorted(map(tuple, evaluate.greedy_assignment(f, t).collect())) == want
+    assert evaluate.greedy_assignment(f.limit(0), t).count() == 0
+    parted = f.filter("cwe_id is null").unionByName(f.limit(0)), t.filter("cwe_id is null")
+    monkeypatch.undo()
+    want = sorted(map(tuple, evaluate.greedy_match(evaluate.scored_pairs(*parted), *parted).collect()))
+    assert sorted(map(tuple, evaluate.greedy_assignment(*parted).collect())) == want and want
