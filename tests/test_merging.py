@@ -53,3 +53,21 @@ def test_rules(spark, monkeypatch, seed):
 
 def test_both_kinds_were_met():
     assert settled == {True, False}
+
+
+def test_settled_stars_leave_the_rounds(spark):
+    from auditloom.operators.graph import _marked, connected_components
+
+    draw = random.Random(3)
+    pairs = [(1, 2), (1, 3), (1, 4), (10, 11), (11, 12), (20, 22), (21, 22), (30, 31)]
+    marked = _marked(spark.createDataFrame([(b, a) for a, b in pairs], "v long, u long")).collect()
+    assert {(r["u"], r["v"]) for r in marked if r["settled"]} == {(1, 2), (1, 3), (1, 4), (30, 31)} and len(marked) == len(pairs)
+    pairs += [(draw.randint(100, 900), draw.randint(100, 900)) for _ in range(250)] + [(1000 + i, 1001 + i) for i in range(40)]
+    least = {x: x for pair in pairs for x in pair}
+    for _ in least:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    for small in (0, 20, 10_000):
+        found = connected_components(spark.createDataFrame(pairs, "a long, b long"), small=small).collect()
+        assert sorted(map(tuple, found)) == sorted((x, least[x]) for x in linked)
