@@ -87,6 +87,15 @@ def test_summary_counts_without_pairs(spark, monkeypatch):
     assert evaluate.match_summary(f.limit(0), t).count() == 0
 
 
+def test_summary_of_sums_beyond_64_bits(spark):
+    big = 2**62
+    f = spark.createDataFrame([(big - i, f"a/foo.c:{i}", "CWE-1", "race") for i in range(6)], "finding_id long, location string, cwe_id string, bug_class string")
+    t = spark.createDataFrame([(i, f"a/foo.c:{90 * i}", "cwe-1", "race") for i in range(3)], "vuln_id long, location string, cwe_id string, category string")
+    want = {("exact", 10): (1, big), ("exact", 8): (5, 5 * big - 15), ("cwe_only", 5): (12, 12 * big - 30)}
+    for by_path in (False, True):
+        assert {(r["match_type"], r["points"]): (r["n"], r["ids"]) for r in evaluate.match_summary(f, t, same_path=by_path).collect()} == want
+
+
 def test_who_is_met_without_pairs(spark):
     found, labels, f, t = both_tables(spark, 60, 90)
     edge = spark.createDataFrame([(900, "foo.c:2147483647"), (901, "foo.c:-2147483648")], "id long, location string")
