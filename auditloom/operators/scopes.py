@@ -19,20 +19,25 @@ def scopes(files: DataFrame, heads: list[tuple[str, str]], brackets: str) -> Dat
 
     A head's match holds the scope's opening bracket as its first (round ones) or last character (curly ones), its first group is the
     name. Openings and closings of one depth alternate along a file, so a scope ends at the next bracket of its depth: a running
-    sum and one look ahead, with no pairs. A scope that never closes ends with the file (close null). Brackets in comments
-    and strings count as brackets."""
+    sum and one look ahead. Heads stand among the brackets, each behind its own one, so names take no join, which Spark would
+    broadcast while texts are small files. A scope that never closes ends with the file (close null). Brackets in comments and
+    strings count as brackets."""
     left, right = brackets
-    both = files.select("file_id", F.explode(matches(F.col("content"), f"[\\{left}\\{right}]")).alias("b")).select("file_id", F.col("b.start").alias("at"), (F.col("b.text") == left).alias("opens"))
-    along = Window.partitionBy("file_id").orderBy("at")
-    depth = F.sum(F.when(F.col("opens"), 1).otherwise(-1)).over(along)
-    leveled = both.withColumn("depth", depth + F.when(F.col("opens"), 0).otherwise(1))  # of what the bracket opens or closes
-    paired = leveled.withColumn("close", F.lead("at").over(Window.partitionBy("file_id", "depth").orderBy("at"))).filter("opens")
+    none = F.lit(None).cast("string")
+    events = files.select("file_id", F.explode(matches(F.col("content"), f"[\\{left}\\{right}]")).alias("b"))
+    events = events.select("file_id", F.col("b.start").alias("at"), F.lit(0).alias("rank"), (F.col("b.text") == left).alias("opens"), none.alias("kind"), none.alias("name"))
     at = F.col("m.start") if left == "(" else F.col("m.end") - 1
-    named = [files.select("file_id", F.explode(matches(F.col("content"), p)).alias("m")).select("file_id", at.alias("at"), F.lit(kind).alias("kind"), F.regexp_extract("m.text", p, 1).alias("name")) for kind, p in heads]
-    every = named[0]
-    for more in named[1:]:
-        every = every.unionByName(more)
-    return every.join(paired, ["file_id", "at"]).select("file_id", "kind", "name", F.col("at").alias("open"), "close", "depth")
+    for kind, p in heads:
+        named = files.select("file_id", F.explode(matches(F.col("content"), p)).alias("m"))
+        events = events.unionByName(named.select("file_id", at.alias("at"), F.lit(1).alias("rank"), F.lit(None).cast("boolean").alias("opens"), F.lit(kind).alias("kind"), F.regexp_extract("m.text", p, 1).alias("name")))
+    along = Window.partitionBy("file_id").orderBy("at", "rank")
+    depth = F.sum(F.when(F.col("opens"), 1).when(~F.col("opens"), -1).otherwise(0)).over(along)
+    leveled = events.withColumn("depth", depth + F.when(~F.col("opens"), 1).otherwise(0))  # of what the bracket opens or closes
+    level = Window.partitionBy("file_id", "depth").orderBy("at", "rank")
+    own = F.last(F.when(F.col("opens"), F.col("at")), ignorenulls=True).over(level)
+    bracket = leveled.withColumn("bracket", F.when(F.col("rank") == 0, F.col("at"))).withColumn("own", own)
+    close = F.expr("lead(bracket) IGNORE NULLS OVER (PARTITION BY file_id, depth ORDER BY at, rank)")
+    return bracket.withColumn("close", close).filter("rank = 1 AND own = at").select("file_id", "kind", "name", F.col("at").alias("open"), "close", "depth")
 
 
 def innermost(places: DataFrame, found: DataFrame, kinds: list[str]) -> DataFrame:
@@ -110,7 +115,10 @@ def abi_lines(files: DataFrame) -> DataFrame:
 
 def wasm_boundaries(files: DataFrame) -> DataFrame:
     """A row a boundary of a module in text form and pattern: module, function head within 50 characters before, enclosing function
-    by brackets, memory offset, table index, host name, risks."""
+    by brackets, memory offset, table index, host name, risks.
+
+    Texts are dealt by file once, evenly; what follows stays within a file."""
+    files = spread(files.filter("lang = 'wasm'").select("file_id", "lang", "content"), "file_id")
     hit = _hits(files, "wasm", WASM_EACH)
     text, start, end = F.col("content"), F.col("start"), F.col("end")
     after = text.substr(start + 1, end - start + 100)
@@ -121,7 +129,7 @@ def wasm_boundaries(files: DataFrame) -> DataFrame:
         F.coalesce(_first(after, r"offset\s*=\s*(\d+)").try_cast("long"), F.lit(-1)).alias("memory_offset"), F.coalesce(_first(after, r"table\s*=\s*(\d+)").try_cast("long"), F.lit(-1)).alias("table_index"),
         F.coalesce(_first(after, r"import\s*[\"']([^\"']+)[\"']"), F.lit("unknown")).alias("host"), kinds_in(window(text, start, end, 200), WASM_RISKS).alias("risks"),
     )
-    return innermost(out, scopes(files.filter("lang = 'wasm'"), WASM_SCOPES, "()"), ["in_function"])
+    return innermost(out, scopes(files, WASM_SCOPES, "()"), ["in_function"])
 
 
 def extern_functions(files: DataFrame) -> DataFrame:

@@ -74,3 +74,20 @@ def test_contract_texts_are_dealt_by_file(spark):
     files = spark.createDataFrame([(i, "solidity", "contract C { function f() { a.delegatecall(b); } }") for i in range(40)], "file_id long, lang string, content string").coalesce(1)
     plan = scopes.contract_calls(files)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(file_id" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_scopes_of_modules_are_not_broadcast(spark):
+    text = "(module m (func $a (i32.load (x)) (func $b (i32.store)) (i64.load)) (i32.load) (func c"
+    rows = [(1, "wasm", text), (2, "rust", text), (3, "wasm", None), (4, "wasm", "i32.load ) func (func d i32.store")]
+    out = scopes.wasm_boundaries(spark.createDataFrame(rows, "file_id long, lang string, content string"))
+    assert sorted((r["file_id"], r["start"], r["in_function"]) for r in out.collect()) == [(1, 20, "a"), (1, 44, "b"), (1, 57, "a"), (1, 69, None), (4, 0, None), (4, 24, "d")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Only the catalog of patterns goes to all tasks; brackets and heads are as many as the texts.
+    assert "HashJoin" not in plan and "SortMergeJoin" not in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_heads_keep_their_own_brackets(spark):
+    heads = [("x", r"(\w+)\s*\{"), ("y", r"fn (\w+)\s*\{")]
+    found = scopes.scopes(spark.createDataFrame([(1, "} fn a { { } fn b { } }"), (2, "fn c {")], "file_id long, content string"), heads, "{}")
+    want = [(1, "x", "a", 7, 22, 0), (1, "x", "b", 18, 20, 1), (1, "y", "a", 7, 22, 0), (1, "y", "b", 18, 20, 1), (2, "x", "c", 5, None, 1), (2, "y", "c", 5, None, 1)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
